@@ -79,7 +79,21 @@ def array_string(arr_col: ColumnOrName, fmt: str = "%.6f") -> Column:
 
 
 def count_at_least(thresholds: Sequence[float], score: ColumnOrName) -> Column:
-    """Number of sorted thresholds t with t <= score (0..len(thresholds))."""
-    arr = F.array(*[F.lit(float(t)) for t in thresholds])
+    """Number of sorted thresholds t with t <= score (0..len(thresholds)).
+
+    Built as a balanced binary search of nested CASE expressions (about
+    log2(n) comparisons per row, fully code-generated) instead of a per-row
+    higher-order function over an array, which is interpreted.
+    A null score maps to null.
+    """
+    thr = sorted(float(t) for t in thresholds)
     s = col(score).cast("double")
-    return F.size(F.filter(arr, lambda t: t <= s))
+
+    def search(lo: int, hi: int) -> Column:
+        # answer lies in [lo, hi]; thr[lo-1] <= s < thr[hi] already known
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(s >= F.lit(thr[mid - 1]), search(mid, hi)).otherwise(search(lo, mid - 1))
+
+    return F.when(s.isNull(), F.lit(None).cast("int")).otherwise(search(0, len(thr)))

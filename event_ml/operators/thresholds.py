@@ -57,20 +57,23 @@ def threshold_confusion(
     thr_rows = [(rank + 1, float(values[i])) for rank, i in enumerate(order)]
     thr = spark.createDataFrame(thr_rows, "idx int, threshold double")
     hist = score_histogram(pred, score_col, label_col, [thresholds[i] for i in order])
-    totals = hist.agg(
-        F.coalesce(F.sum("pos"), F.lit(0)).cast("long").alias("n_pos"),
-        F.coalesce(F.sum("neg"), F.lit(0)).cast("long").alias("n_neg"),
-    )
-    # tiny x tiny non-equi join (len(thresholds) x len(thresholds)+1 rows)
-    cum = (
-        thr.join(F.broadcast(hist), F.col("bucket") >= F.col("idx"), "left")
-        .groupBy("idx", "threshold")
-        .agg(
-            F.coalesce(F.sum("pos"), F.lit(0)).cast("long").alias("tp"),
-            F.coalesce(F.sum("neg"), F.lit(0)).cast("long").alias("fp"),
-        )
-    )
-    out = cum.crossJoin(F.broadcast(totals)).select(
+    # The histogram has at most len(thresholds)+1 rows.  Pair every bucket
+    # with the thresholds it clears (tiny x tiny non-equi join) and sum in
+    # one aggregate; the class totals come from the same rows via
+    # ``idx = 0`` (a threshold every bucket clears), so the data is scanned
+    # once.
+    thr0 = thr.unionByName(spark.createDataFrame([(0, None)], "idx int, threshold double"))
+    paired = thr0.join(F.broadcast(hist), F.col("bucket") >= F.col("idx"), "left")
+    cum = paired.groupBy("idx", "threshold").agg(
+        F.coalesce(F.sum("pos"), F.lit(0)).cast("long").alias("tp"),
+        F.coalesce(F.sum("neg"), F.lit(0)).cast("long").alias("fp"),
+    )
+    w_all = Window.partitionBy()
+    totals_col = [
+        F.max(F.when(F.col("idx") == 0, F.col("tp"))).over(w_all).alias("n_pos"),
+        F.max(F.when(F.col("idx") == 0, F.col("fp"))).over(w_all).alias("n_neg"),
+    ]
+    out = cum.select("*", *totals_col).filter(F.col("idx") > 0).select(
         "threshold",
         "tp",
         "fp",

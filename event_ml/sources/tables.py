@@ -105,21 +105,21 @@ SQL_SCORE = "LEAST(10000, CAST(ROUND(l_quantity*100 + l_discount*50000) AS BIGIN
 SQL_EVENTS = f"""ev AS (
   SELECT {SQL_KEY} AS row_key,
          CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y,
-         CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS label,
+         CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS DOUBLE) AS label,
          l_quantity, l_extendedprice, l_discount, l_tax, l_linenumber,
          l_returnflag, l_linestatus, l_suppkey, l_orderkey,
          {SQL_SCORE} AS p
   FROM lineitem)"""
 SQL_DIRTY = f"""dirty AS (
   SELECT {SQL_KEY} AS row_key,
-         CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END AS label,
+         CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS DOUBLE) AS label,
          l_quantity,
          CASE WHEN l_linenumber = 7 AND l_quantity > 45 THEN 'Infinity'::DOUBLE
               ELSE l_extendedprice END AS l_extendedprice,
          CASE WHEN l_linenumber = 3 THEN NULL ELSE l_discount END AS l_discount,
          CASE WHEN l_linenumber = 5 THEN 'NaN'::DOUBLE ELSE l_tax END AS l_tax,
          CAST(NULL AS DOUBLE) AS l_empty,
-         1.0 AS l_const
+         CAST(1 AS DOUBLE) AS l_const
   FROM lineitem)"""
 
 
