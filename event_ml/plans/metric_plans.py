@@ -1 +1,145 @@
-"""Plans (filled in below)."""
+"""Ranking-metric plans on the lineitem binding (score p, label y)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from event_ml.operators import metrics as m
+from event_ml.operators.quality import describe_numeric
+from event_ml.plans.registry import register
+from event_ml.sources.tables import NUMERIC_FEATURES, SQL_EVENTS, events, read_table
+
+SQL_RANKED = f"""WITH {SQL_EVENTS},
+g AS (SELECT p AS score, CAST(SUM(y) AS BIGINT) AS pos, CAST(SUM(1 - y) AS BIGINT) AS neg
+      FROM ev GROUP BY p),
+r AS (SELECT score, pos, neg,
+        CAST(SUM(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS tp,
+        CAST(SUM(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS fp,
+        CAST(SUM(pos) OVER () AS BIGINT) AS n_pos,
+        CAST(SUM(neg) OVER () AS BIGINT) AS n_neg
+      FROM g),
+rb AS (SELECT *, tp - pos AS tp_before, fp - neg AS fp_before FROM r)"""
+
+
+def ranked(spark, sf_dir):
+    return m.ranked_scores(events(spark, sf_dir), "p", "label")
+
+
+@register(
+    "auc_exact",
+    sql=SQL_RANKED
+    + """
+SELECT MAX(n_pos) AS n_pos, MAX(n_neg) AS n_neg,
+       CAST(SUM(CAST(pos AS HUGEINT) * (2 * (n_neg - fp) + neg)) AS DOUBLE)
+         / (CAST(2 AS DOUBLE) * CAST(MAX(n_pos) AS DOUBLE) * CAST(MAX(n_neg) AS DOUBLE)) AS auc,
+       ROUND(SUM(CAST(fp - fp_before AS DOUBLE) / n_neg * (CAST(tp + tp_before AS DOUBLE) / n_pos) / 2), 10)
+         AS roc_auc
+FROM rb""",
+    headline=True,
+)
+def auc_exact(spark, sf_dir):
+    r = ranked(spark, sf_dir)
+    exact = m.auc_exact(events(spark, sf_dir), "p", "label")
+    trap = m.roc_auc_trapezoid(r).select(F.round("roc_auc", 10).alias("roc_auc"))
+    return exact.crossJoin(trap)
+
+
+@register(
+    "roc_points",
+    sql=SQL_RANKED
+    + """
+SELECT CAST(score AS DOUBLE) AS threshold, tp, fp,
+       CAST(fp AS DOUBLE) / n_neg AS fpr, CAST(tp AS DOUBLE) / n_pos AS tpr FROM rb
+UNION ALL SELECT NULL, 0, 0, 0.0, 0.0""",
+)
+def roc_points(spark, sf_dir):
+    return m.roc_points(ranked(spark, sf_dir))
+
+
+@register(
+    "pr_points",
+    sql=SQL_RANKED
+    + """
+SELECT CAST(score AS DOUBLE) AS threshold, CAST(tp AS DOUBLE) / (tp + fp) AS precision,
+       CAST(tp AS DOUBLE) / n_pos AS recall FROM rb
+UNION ALL SELECT NULL, 1.0, 0.0""",
+)
+def pr_points(spark, sf_dir):
+    return m.pr_points(ranked(spark, sf_dir))
+
+
+@register(
+    "average_precision",
+    sql=SQL_RANKED
+    + """
+SELECT ROUND(SUM(CAST(pos AS DOUBLE) / n_pos * (CAST(tp AS DOUBLE) / (tp + fp))), 10) AS average_precision
+FROM rb""",
+)
+def average_precision(spark, sf_dir):
+    return m.average_precision(ranked(spark, sf_dir)).select(
+        F.round("average_precision", 10).alias("average_precision")
+    )
+
+
+@register(
+    "auc_pr",
+    sql=SQL_RANKED
+    + """
+SELECT ROUND(SUM(CAST(pos AS DOUBLE) / n_pos
+   * ((CAST(tp AS DOUBLE) / (tp + fp))
+      + CASE WHEN tp_before + fp_before = 0 THEN CAST(tp AS DOUBLE) / (tp + fp)
+             ELSE CAST(tp_before AS DOUBLE) / (tp_before + fp_before) END) / 2), 10) AS auc_pr
+FROM rb""",
+)
+def auc_pr(spark, sf_dir):
+    return m.auc_pr(ranked(spark, sf_dir)).select(F.round("auc_pr", 10).alias("auc_pr"))
+
+
+@register(
+    "leaderboard",
+    sql=f"""WITH {SQL_EVENTS},
+g AS (SELECT l_linenumber AS model, p AS score, CAST(SUM(y) AS BIGINT) AS pos,
+             CAST(SUM(1 - y) AS BIGINT) AS neg FROM ev GROUP BY l_linenumber, p),
+r AS (SELECT model, score, pos, neg,
+        SUM(neg) OVER (PARTITION BY model ORDER BY score DESC
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+        SUM(pos) OVER (PARTITION BY model) AS n_pos,
+        SUM(neg) OVER (PARTITION BY model) AS n_neg FROM g),
+a AS (SELECT model, CAST(SUM(CAST(pos AS HUGEINT) * (2 * (n_neg - fp) + neg)) AS DOUBLE)
+         / (CAST(2 AS DOUBLE) * CAST(MAX(n_pos) AS DOUBLE) * CAST(MAX(n_neg) AS DOUBLE)) AS auc
+      FROM r GROUP BY model)
+SELECT model, auc, rank() OVER (ORDER BY auc DESC) AS rank, auc - CAST(0.5 AS DOUBLE) AS lift_over_baseline
+FROM a""",
+)
+def leaderboard(spark, sf_dir):
+    ev = events(spark, sf_dir).withColumnRenamed("l_linenumber", "model")
+    per_model = m.auc_exact(ev, "p", "label", group_cols=["model"])
+    return m.leaderboard(per_model, "auc", "model").withColumn("rank", F.col("rank").cast("long"))
+
+
+_SD_PARTS = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, STDDEV_SAMP({c}) AS sd FROM lineitem" for c in NUMERIC_FEATURES
+)
+
+
+def importances(spark, sf_dir):
+    """Feature 'importance' binding: share of the summed standard deviations."""
+    d = describe_numeric(read_table(spark, sf_dir, "lineitem"), NUMERIC_FEATURES, digits=None)
+    return d.select(
+        "feature",
+        F.round(F.col("stddev") / F.sum("stddev").over(Window.partitionBy()), 6).alias("importance"),
+    )
+
+
+@register(
+    "topk_importance",
+    sql=f"""WITH s AS ({_SD_PARTS}),
+t AS (SELECT feature, ROUND(sd / SUM(sd) OVER (), 6) AS importance FROM s)
+SELECT feature, importance, row_number() OVER (ORDER BY importance DESC, feature) AS rank
+FROM t ORDER BY importance DESC, feature LIMIT 3""",
+)
+def topk_importance(spark, sf_dir):
+    return m.top_k(importances(spark, sf_dir), "importance", 3, tie_col="feature").withColumn(
+        "rank", F.col("rank").cast("long")
+    )
