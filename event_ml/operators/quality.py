@@ -105,14 +105,21 @@ def invalid_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def label_distribution(df: DataFrame, label_col: str = "label", digits: int = 2) -> DataFrame:
-    """(label, count, pct) with pct = round(count / total * 100, 2), half-up."""
+    """(label, count, pct) with pct = count / total * 100 rounded half-up.
+
+    The rounding is done in exact integer arithmetic, floor((2 c 10^(d+2) +
+    t) / 2t) / 10^d: percentages of counts often end exactly on a 5 (e.g.
+    33.345), where rounding the binary double is engine-dependent."""
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("count"))
     total = F.sum("count").over(Window.partitionBy())
-    return counts.select(
-        F.col(label_col).alias("label"),
-        "count",
-        F.round(F.col("count") / total * 100, digits).alias("pct"),
-    ).orderBy("label")
+    scale = 10 ** (digits + 2)
+    num = F.col("count") * F.lit(2 * scale) + total
+    pct = F.expr("_num div _den")
+    return (
+        counts.select(F.col(label_col).alias("label"), "count", num.alias("_num"), (2 * total).alias("_den"))
+        .select("label", "count", (pct / F.lit(10**digits)).alias("pct"))
+        .orderBy("label")
+    )
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int | None = 6) -> DataFrame:

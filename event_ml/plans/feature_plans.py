@@ -1 +1,99 @@
-"""Plans (filled in below)."""
+"""Feature plans: engineered columns, assembler report, standardisation
+twin, vector serialisation, PCA variance."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from event_ml.functions.columns import vector_string
+from event_ml.operators import features as fe
+from event_ml.plans.explore_plans import ENG_NAMES, SQL_ENG, lineitem_engineer
+from event_ml.plans.registry import register
+from event_ml.sources.tables import NUMERIC_FEATURES, SQL_DIRTY, SQL_EVENTS, dirty_events, events, read_table
+
+FEATS = NUMERIC_FEATURES
+
+
+@register(
+    "engineered_features",
+    sql=f"""WITH {SQL_EVENTS}, {SQL_ENG}
+SELECT row_key, CAST(y AS INTEGER) AS raw_label, CAST(y AS DOUBLE) AS label, {", ".join(ENG_NAMES)} FROM eng""",
+)
+def engineered_features(spark, sf_dir):
+    ev = events(spark, sf_dir).select("row_key", F.col("y").alias("label"), *FEATS)
+    out = lineitem_engineer().transform(fe.cast_label(ev, "label", "raw_label"))
+    return out.select("row_key", "raw_label", "label", *ENG_NAMES)
+
+
+_VALID = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in FEATS)
+
+
+@register(
+    "assembler_report",
+    sql=f"""WITH {SQL_DIRTY}
+SELECT COUNT(*) AS n_rows,
+       CAST(SUM(CASE WHEN {_VALID} THEN 1 ELSE 0 END) AS BIGINT) AS n_kept,
+       CAST(SUM(CASE WHEN {_VALID} THEN 0 ELSE 1 END) AS BIGINT) AS n_dropped
+FROM dirty""",
+)
+def assembler_report(spark, sf_dir):
+    return fe.assembler_report(dirty_events(spark, sf_dir), FEATS)
+
+
+_STD_STATS = ", ".join(f"AVG({c}) AS mu_{c}, STDDEV_SAMP({c}) AS sd_{c}" for c in FEATS)
+_STD_Z = ", ".join(
+    f"CASE WHEN sd_{c} = 0 THEN CAST(0 AS DOUBLE) ELSE ({c} - mu_{c}) / sd_{c} END AS z_{c}" for c in FEATS
+)
+_STD_OUT = "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS feature, ROUND(MAX(mu_{c}), 9) AS mean, ROUND(MAX(sd_{c}), 9) AS stddev,
+       ROUND(AVG(z_{c}), 6) + CAST(0 AS DOUBLE) AS scaled_mean, ROUND(STDDEV_SAMP(z_{c}), 6) AS scaled_stddev FROM z"""
+    for c in FEATS
+)
+
+
+@register(
+    "standardise_sql",
+    sql=f"""WITH st AS (SELECT {_STD_STATS} FROM lineitem),
+z AS (SELECT st.*, {_STD_Z} FROM lineitem CROSS JOIN st)
+{_STD_OUT}""",
+)
+def standardise_sql(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem").select(*FEATS)
+    z = fe.standardise_columns(li, FEATS)
+    stats = li.agg(*[F.avg(c).alias(f"mu_{c}") for c in FEATS], *[F.stddev_samp(c).alias(f"sd_{c}") for c in FEATS])
+    zs = z.agg(*[F.avg(c).alias(f"zm_{c}") for c in FEATS], *[F.stddev_samp(c).alias(f"zs_{c}") for c in FEATS])
+    row = stats.crossJoin(zs)
+    items = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            F.round(f"mu_{c}", 9).alias("mean"),
+            F.round(f"sd_{c}", 9).alias("stddev"),
+            (F.round(f"zm_{c}", 6) + F.lit(0.0)).alias("scaled_mean"),
+            F.round(f"zs_{c}", 6).alias("scaled_stddev"),
+        )
+        for c in FEATS
+    ]
+    return row.select(F.explode(F.array(*items)).alias("s")).select("s.*")
+
+
+_FMT = ", ".join(f"printf('%.6f', {c})" for c in FEATS)
+
+
+@register(
+    "vector_serialise",
+    sql=f"""WITH {SQL_EVENTS}
+SELECT row_key, label, concat_ws(',', {_FMT}) AS features FROM ev""",
+)
+def vector_serialise(spark, sf_dir):
+    ev = events(spark, sf_dir).select("row_key", "label", *FEATS)
+    vec = fe.assemble(ev, FEATS, "vec")
+    return vec.select("row_key", "label", vector_string("vec").alias("features"))
+
+
+@register("pca_variance")
+def pca_variance(spark, sf_dir):
+    """PCA(k=20) of the standardised 64-dim embeddings (rows-only)."""
+    emb = read_table(spark, sf_dir, "embeddings").select(array_to_vector("embedding").alias("raw"))
+    scaled = fe.fit_scaler(emb, "raw", "features").transform(emb)
+    return fe.pca_variance(scaled, "features", k=20, target=0.95)

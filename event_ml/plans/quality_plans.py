@@ -32,7 +32,8 @@ def row_count(spark, sf_dir):
     "label_distribution",
     sql=f"""WITH {SQL_EVENTS},
 c AS (SELECT label, COUNT(*) AS "count" FROM ev GROUP BY label)
-SELECT label, "count", ROUND(CAST("count" AS DOUBLE) / SUM("count") OVER () * 100, 2) AS pct FROM c""",
+SELECT label, "count", ("count" * 20000 + SUM("count") OVER ()) // (2 * SUM("count") OVER ()) / 100 AS pct
+FROM c""",
 )
 def label_distribution(spark, sf_dir):
     return q.label_distribution(events(spark, sf_dir), "label")
@@ -83,15 +84,15 @@ def invalid_rows(spark, sf_dir):
 
 
 _DESC_PARTS = [
-    f"""SELECT '{c}' AS feature, COUNT({c}) AS "count", ROUND(AVG({c}), 6) AS mean,
-       ROUND(STDDEV_SAMP({c}), 6) AS stddev, MIN({c}) AS "min", MAX({c}) AS "max" FROM lineitem"""
+    f"""SELECT '{c}' AS feature, COUNT({c}) AS "count", ROUND(AVG({c}), 9) AS mean,
+       ROUND(STDDEV_SAMP({c}), 9) AS stddev, MIN({c}) AS "min", MAX({c}) AS "max" FROM lineitem"""
     for c in NUMERIC_FEATURES
 ]
 
 
 @register("describe_numeric", sql=_union(_DESC_PARTS))
 def describe_numeric(spark, sf_dir):
-    return q.describe_numeric(read_table(spark, sf_dir, "lineitem"), NUMERIC_FEATURES)
+    return q.describe_numeric(read_table(spark, sf_dir, "lineitem"), NUMERIC_FEATURES, digits=9)
 
 
 _QUART_PARTS = [
