@@ -97,3 +97,13 @@ def count_at_least(thresholds: Sequence[float], score: ColumnOrName) -> Column:
         return F.when(s >= F.lit(thr[mid - 1]), search(mid, hi)).otherwise(search(lo, mid - 1))
 
     return F.when(s.isNull(), F.lit(None).cast("int")).otherwise(search(0, len(thr)))
+
+
+def pct_half_up(count: ColumnOrName, total: ColumnOrName, digits: int = 2) -> Column:
+    """count / total * 100 rounded half-up, in exact integer arithmetic:
+    floor((2 c 10^(d+2) + t) / 2t) / 10^d.  Percentages of counts often end
+    exactly on a 5, where rounding the binary double is engine-dependent."""
+    scale = 10 ** (digits + 2)
+    c, t = col(count).cast("long"), col(total).cast("long")
+    q = (c * F.lit(2 * scale) + t).cast("decimal(38,0)") / (F.lit(2) * t).cast("decimal(38,0)")
+    return F.floor(q).cast("long") / F.lit(float(10**digits))
