@@ -1 +1,119 @@
-"""Plans (filled in below)."""
+"""Model plans: the four classifiers, importances, CV, bootstrap CI,
+stability, grouped mean/std and scaling tables.
+
+Prepared data: lineitem binding -> 9 features (4 numeric + 5 engineered) ->
+assembled (invalid rows skipped) -> hash split 70/15/15 -> scaler fitted on
+the train split only -> train / val / test.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from event_ml.operators import features as fe
+from event_ml.operators import models as md
+from event_ml.operators import resample as rs
+from event_ml.operators import scaling as sc
+from event_ml.operators import splits as sp
+from event_ml.plans.explore_plans import ENG_NAMES, lineitem_engineer
+from event_ml.plans.registry import register
+from event_ml.sources.tables import NUMERIC_FEATURES, events, read_table
+
+MODEL_FEATURES = NUMERIC_FEATURES + ENG_NAMES
+
+
+def prepared(spark, sf_dir):
+    ev = lineitem_engineer().transform(events(spark, sf_dir))
+    vec = fe.assemble(ev.select("row_key", "label", *MODEL_FEATURES), MODEL_FEATURES, "raw_features")
+    tagged = sp.with_split(vec, "row_key", ["train", "val", "test"], [0.7, 0.15, 0.15], salt="split42")
+    train = tagged.filter(F.col("split") == "train")
+    scaler = fe.fit_scaler(train, "raw_features", "features")
+
+    def part(name):
+        return scaler.transform(tagged.filter(F.col("split") == name)).select("row_key", "label", "features")
+
+    return part("train"), part("val"), part("test")
+
+
+def _fit(name):
+    def plan(spark, sf_dir):
+        train, val, _ = prepared(spark, sf_dir)
+        with md.cached(train) as (tr,):
+            _, row = md.train_and_evaluate(name, tr, val)
+        return row
+
+    return plan
+
+
+register("fit_lr")(_fit("LogisticRegression"))
+register("fit_rf")(_fit("RandomForest"))
+register("fit_gbt")(_fit("GBT"))
+register("fit_svm")(_fit("SVM"))
+
+
+@register("feature_importance")
+def feature_importance(spark, sf_dir):
+    """Random-forest importances by feature name (ordinal join)."""
+    train, _, _ = prepared(spark, sf_dir)
+    model = md.make_estimator("RandomForest").fit(train)
+    return md.feature_importances(spark, model, MODEL_FEATURES)
+
+
+@register("cross_validate")
+def cross_validate(spark, sf_dir):
+    """3-fold CV of logistic regression over regParam, hash folds."""
+    train, _, _ = prepared(spark, sf_dir)
+    folded = train.withColumn("fold", sp.split_index("row_key", [1, 1, 1], salt="fold42"))
+    return md.cross_validate(folded, "LogisticRegression", {"regParam": [0.01, 0.1]}, fold_col="fold")
+
+
+@register("bootstrap_auc_ci")
+def bootstrap_auc_ci(spark, sf_dir):
+    """500 stratified bootstrap replicates of the AUC of score p -> CI."""
+    pred = events(spark, sf_dir).select("label", "p")
+    reps = rs.bootstrap_auc(pred, "p", "label", n_boot=500, seed=42)
+    return rs.bootstrap_ci(reps, 0.95)
+
+
+@register("stability")
+def stability(spark, sf_dir):
+    """GBT refits with 5/10/20% of train removed, 3 trials each."""
+    train, _, test = prepared(spark, sf_dir)
+    with md.cached(train, test) as (tr, te):
+        return rs.stability(tr, te, "row_key", lambda d: md.make_estimator("GBT").fit(d))
+
+
+@register(
+    "group_mean_std",
+    sql="""SELECT l_linenumber AS grp, COUNT(*) AS n, ROUND(AVG(l_discount), 9) AS mean,
+       ROUND(STDDEV_SAMP(l_discount), 9) AS std,
+       ROUND(AVG(l_discount) - 1.96 * STDDEV_SAMP(l_discount), 9) AS band_low,
+       ROUND(AVG(l_discount) + 1.96 * STDDEV_SAMP(l_discount), 9) AS band_high
+FROM lineitem GROUP BY l_linenumber""",
+)
+def group_mean_std(spark, sf_dir):
+    return rs.group_mean_std(read_table(spark, sf_dir, "lineitem"), "l_linenumber", "l_discount")
+
+
+@register(
+    "ideal_scaling",
+    sql="""WITH t AS (SELECT l_linenumber AS partitions, SUM(l_quantity) AS time_s FROM lineitem GROUP BY l_linenumber)
+SELECT partitions, time_s,
+       ROUND(FIRST(time_s) OVER (ORDER BY partitions ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+             * FIRST(partitions) OVER (ORDER BY partitions ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+             / partitions, 9) AS ideal_time_s
+FROM t""",
+)
+def ideal_scaling(spark, sf_dir):
+    t = read_table(spark, sf_dir, "lineitem").groupBy(F.col("l_linenumber").alias("partitions")).agg(
+        F.sum("l_quantity").alias("time_s")
+    )
+    return sc.ideal_line(t).withColumn("ideal_time_s", F.round("ideal_time_s", 9))
+
+
+@register("strong_scaling")
+def strong_scaling(spark, sf_dir):
+    """RF(5 trees, depth 5) at 8/16/32 partitions on the whole train split."""
+    train, _, _ = prepared(spark, sf_dir)
+    fit = lambda d: md.make_estimator("RandomForest", numTrees=5, maxDepth=5, subsamplingRate=1.0).fit(d)
+    return sc.ideal_line(sc.strong_scaling(train, fit, (8, 16, 32)))
