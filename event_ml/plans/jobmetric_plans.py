@@ -1 +1,160 @@
-"""Plans (filled in below)."""
+"""Job-metric plans.  The registered plans run on a stage/executor table
+derived from lineitem (stage = supplier, executor = line number, metrics =
+scaled integer sums), so they grow with the data and have a SQL twin; the
+event-log reader that produces the same tables from a real Spark run is
+exercised by the tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from event_ml.operators import jobmetrics as jm
+from event_ml.plans.registry import register
+from event_ml.sources.tables import read_table
+
+DIGITS = 9
+
+
+def _ri(expr):
+    """round to an integer, as BIGINT (half-up, as DuckDB's ROUND for x >= 0)"""
+    return F.round(expr).cast("long")
+
+
+def stage_table(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    q, p, d, t = (F.col(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+    return li.groupBy("l_suppkey").agg(
+        F.count(F.lit(1)).alias("num_tasks"),
+        F.sum(_ri(q * 1000)).alias("duration_ms"),
+        F.sum(_ri(p * 1000)).alias("input_bytes"),
+        F.sum(_ri(p * 100)).alias("output_bytes"),
+        F.sum(_ri(d * 1000000000)).alias("shuffle_read_bytes"),
+        F.sum(_ri(t * 1000000000)).alias("shuffle_write_bytes"),
+        F.sum(_ri(t * q * 1000)).alias("gc_time_ms"),
+        F.sum(_ri(q * 900)).cast("double").alias("executor_cpu_time_ms"),
+    ).select(
+        F.col("l_suppkey").cast("int").alias("stage_id"),
+        F.concat(F.lit("stage-"), F.col("l_suppkey").cast("string")).alias("name"),
+        F.lit("COMPLETE").alias("status"),
+        "num_tasks",
+        "duration_ms",
+        "input_bytes",
+        "output_bytes",
+        "shuffle_read_bytes",
+        "shuffle_write_bytes",
+        "gc_time_ms",
+        "executor_cpu_time_ms",
+    )
+
+
+SQL_STAGES = """st AS (
+  SELECT CAST(l_suppkey AS INTEGER) AS stage_id, 'stage-' || CAST(l_suppkey AS VARCHAR) AS name,
+         'COMPLETE' AS status, COUNT(*) AS num_tasks,
+         CAST(SUM(CAST(ROUND(l_quantity * 1000) AS BIGINT)) AS BIGINT) AS duration_ms,
+         CAST(SUM(CAST(ROUND(l_extendedprice * 1000) AS BIGINT)) AS BIGINT) AS input_bytes,
+         CAST(SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS output_bytes,
+         CAST(SUM(CAST(ROUND(l_discount * 1000000000) AS BIGINT)) AS BIGINT) AS shuffle_read_bytes,
+         CAST(SUM(CAST(ROUND(l_tax * 1000000000) AS BIGINT)) AS BIGINT) AS shuffle_write_bytes,
+         CAST(SUM(CAST(ROUND(l_tax * l_quantity * 1000) AS BIGINT)) AS BIGINT) AS gc_time_ms,
+         CAST(SUM(CAST(ROUND(l_quantity * 900) AS BIGINT)) AS DOUBLE) AS executor_cpu_time_ms
+  FROM lineitem GROUP BY l_suppkey)"""
+
+
+@register("stage_metrics", sql=f"WITH {SQL_STAGES}\nSELECT * FROM st")
+def stage_metrics(spark, sf_dir):
+    return stage_table(spark, sf_dir)
+
+
+@register(
+    "executor_metrics",
+    sql="""SELECT CAST(l_linenumber AS VARCHAR) AS executor_id, 'host-' || CAST(l_linenumber AS VARCHAR) AS host,
+       CAST(COUNT(DISTINCT l_linestatus) * 2 AS INTEGER) AS cores,
+       ROUND(SUM(l_extendedprice) / 1048576, 9) AS max_memory_mb,
+       ROUND(MAX(l_extendedprice) * 1000 / 1048576, 9) AS peak_memory_mb,
+       0 AS tasks_active,
+       CAST(COUNT(*) AS INTEGER) AS tasks_complete,
+       CAST(SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS INTEGER) AS tasks_failed,
+       CAST(SUM(CAST(ROUND(l_tax * l_quantity * 1000) AS BIGINT)) AS BIGINT) AS gc_time_ms
+FROM lineitem GROUP BY l_linenumber""",
+)
+def executor_metrics(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.groupBy("l_linenumber").agg(
+        (F.count_distinct("l_linestatus") * 2).cast("int").alias("cores"),
+        F.round(F.sum("l_extendedprice") / 1048576, 9).alias("max_memory_mb"),
+        F.round(F.max("l_extendedprice") * 1000 / 1048576, 9).alias("peak_memory_mb"),
+        F.count(F.lit(1)).cast("int").alias("tasks_complete"),
+        F.count_if(F.col("l_returnflag") == "R").cast("int").alias("tasks_failed"),
+        F.sum(_ri(F.col("l_tax") * F.col("l_quantity") * 1000)).alias("gc_time_ms"),
+    ).select(
+        F.col("l_linenumber").cast("string").alias("executor_id"),
+        F.concat(F.lit("host-"), F.col("l_linenumber").cast("string")).alias("host"),
+        "cores",
+        "max_memory_mb",
+        "peak_memory_mb",
+        F.lit(0).alias("tasks_active"),
+        "tasks_complete",
+        "tasks_failed",
+        "gc_time_ms",
+    )
+
+
+SQL_SUMMARY = f"""sm AS (
+  SELECT COUNT(*) AS total_stages, CAST(SUM(num_tasks) AS BIGINT) AS total_tasks,
+         ROUND(CAST(SUM(duration_ms) AS DOUBLE) / 60000, {DIGITS}) AS total_runtime_min,
+         ROUND((CAST(SUM(shuffle_read_bytes) AS DOUBLE) + CAST(SUM(shuffle_write_bytes) AS DOUBLE)) / 1e9, {DIGITS})
+           AS total_shuffle_gb,
+         ROUND(CAST(SUM(gc_time_ms) AS DOUBLE) / 60000, {DIGITS}) AS total_gc_time_min
+  FROM st)"""
+
+SQL_BOTTLENECK = f"""t AS (
+  SELECT COUNT(*) AS n, CAST(COALESCE(SUM(duration_ms), 0) AS DOUBLE) AS runtime,
+         CAST(COALESCE(SUM(shuffle_read_bytes), 0) + COALESCE(SUM(shuffle_write_bytes), 0) AS DOUBLE) AS shuffle,
+         CAST(COALESCE(SUM(gc_time_ms), 0) AS DOUBLE) AS gc, CAST(COALESCE(SUM(input_bytes), 0) AS DOUBLE) AS input
+  FROM st),
+bn AS (
+  SELECT CASE WHEN n = 0 THEN 'Unknown'
+              WHEN gc / GREATEST(runtime, 1) > 0.2 THEN 'GC_PRESSURE'
+              WHEN shuffle / 1e9 > 50 THEN 'SHUFFLE_HEAVY'
+              WHEN input / 1e9 > 100 AND runtime > 600000 THEN 'IO_BOUND'
+              ELSE 'COMPUTE_BOUND' END AS bottleneck,
+         ROUND(gc / GREATEST(runtime, 1), {DIGITS}) AS gc_ratio,
+         ROUND(shuffle / 1e9, {DIGITS}) AS shuffle_gb,
+         ROUND(input / 1e9, {DIGITS}) AS input_gb
+  FROM t)"""
+
+
+@register("job_summary", sql=f"WITH {SQL_STAGES}, {SQL_SUMMARY}\nSELECT * FROM sm")
+def job_summary(spark, sf_dir):
+    return jm.job_summary(stage_table(spark, sf_dir), DIGITS)
+
+
+@register("job_bottleneck", sql=f"WITH {SQL_STAGES}, {SQL_BOTTLENECK}\nSELECT * FROM bn")
+def job_bottleneck(spark, sf_dir):
+    return jm.job_bottleneck(stage_table(spark, sf_dir), DIGITS)
+
+
+@register(
+    "slow_stages",
+    sql=f"""WITH {SQL_STAGES}
+SELECT stage_id, name, duration_ms, duration_ms / 1000.0 AS duration_s,
+       shuffle_read_bytes / 1e6 AS shuffle_read_mb, shuffle_write_bytes / 1e6 AS shuffle_write_mb,
+       gc_time_ms / 1000.0 AS gc_s
+FROM st ORDER BY duration_ms DESC, stage_id LIMIT 15""",
+)
+def slow_stages(spark, sf_dir):
+    return jm.slow_stages(stage_table(spark, sf_dir), 15)
+
+
+@register(
+    "job_kpis",
+    sql=f"""WITH {SQL_STAGES}, {SQL_SUMMARY}, {SQL_BOTTLENECK}
+SELECT 'Total Stages' AS kpi, CAST(total_stages AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS text FROM sm
+UNION ALL SELECT 'Total Tasks', CAST(total_tasks AS DOUBLE), NULL FROM sm
+UNION ALL SELECT 'Total Runtime (min)', total_runtime_min, NULL FROM sm
+UNION ALL SELECT 'Total Shuffle (GB)', total_shuffle_gb, NULL FROM sm
+UNION ALL SELECT 'GC Time (min)', total_gc_time_min, NULL FROM sm
+UNION ALL SELECT 'Bottleneck', NULL, bottleneck FROM bn""",
+)
+def job_kpis(spark, sf_dir):
+    return jm.job_kpis(stage_table(spark, sf_dir), DIGITS)
