@@ -64,24 +64,21 @@ def exact_quantiles(
         (F.col("h") - F.floor("h")).alias("frac"),
     )
 
-    def pick(rank_col: str, name: str) -> DataFrame:
-        t = F.broadcast(targets.alias("t"))
-        r = ranked.alias("r")
-        cond = (
-            (F.col("t.feature") == F.col("r.feature"))
-            & (F.col("r.cnt_before") <= F.col(f"t.{rank_col}"))
-            & (F.col(f"t.{rank_col}") < F.col("r.cnt_cum"))
-        )
-        return r.join(t, cond).select(
-            F.col("t.feature").alias("feature"),
-            F.col("t.prob").alias("prob"),
-            F.col("t.frac").alias("frac"),
-            F.col("r.value").alias(name),
-        )
+    # One pass over the ranked table: a value row matches a target when it
+    # holds the lower or the upper interpolation rank (equi-join on feature,
+    # range condition; the target side is broadcast).
+    r, t = ranked.alias("r"), F.broadcast(targets.alias("t"))
 
-    lo = pick("r_lo", "v_lo")
-    hi = pick("r_hi", "v_hi").drop("frac")
-    return lo.join(hi, ["feature", "prob"]).select(
+    def holds(rank_col: str):
+        return (F.col("r.cnt_before") <= F.col(f"t.{rank_col}")) & (F.col(f"t.{rank_col}") < F.col("r.cnt_cum"))
+
+    cond = (F.col("t.feature") == F.col("r.feature")) & (holds("r_lo") | holds("r_hi"))
+    picked = r.join(t, cond).groupBy(F.col("t.feature").alias("feature"), F.col("t.prob").alias("prob")).agg(
+        F.max(F.when(holds("r_lo"), F.col("r.value"))).alias("v_lo"),
+        F.max(F.when(holds("r_hi"), F.col("r.value"))).alias("v_hi"),
+        F.first("t.frac").alias("frac"),
+    )
+    return picked.select(
         "feature",
         "prob",
         (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac")).alias("value"),

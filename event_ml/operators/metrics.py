@@ -73,8 +73,12 @@ def auc_exact(
     """Exact tie-aware AUC-ROC per group:
     sum_s pos_s * (neg below s + neg_s / 2) / (P * N), accumulated exactly
     as a DECIMAL(38,0) numerator of 2x the count."""
+    return auc_from_ranked(ranked_scores(pred, score_col, label_col, group_cols, single_task_rows), group_cols)
+
+
+def auc_from_ranked(r: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Exact AUC from a ``ranked_scores`` table (reuse it for other curves)."""
     group_cols = list(group_cols)
-    r = ranked_scores(pred, score_col, label_col, group_cols, single_task_rows)
     neg_below = F.col("n_neg") - F.col("fp")
     term = (F.col("pos") * (2 * neg_below + F.col("neg"))).cast("decimal(38,0)")
     agg = r.groupBy(*group_cols).agg(

@@ -11,7 +11,7 @@ Weights are normalised to sum 1 (``randomSplit([0.12, 0.8])`` means
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,45 +98,68 @@ def capped_fraction(n_rows: int, max_rows: int) -> float:
     return 1.0 if n_rows <= 0 else min(1.0, max_rows / n_rows)
 
 
-def smallest_by_hash(df: DataFrame, key: str, k: int, salt: str = "", bits_per_pass: int = 16) -> DataFrame:
+def smallest_by_hash(
+    df: DataFrame,
+    key: str,
+    k: int | Callable[[int], int],
+    salt: str = "",
+    bits_per_pass: int = 12,
+    collect_limit: int = 1_000_000,
+) -> DataFrame:
     """Exactly ``k`` rows: those with the smallest (hash, key).
 
     Same rows as ``ORDER BY hash, key LIMIT k`` without a global sort or a
-    k-row merge in one task: histogram passes over the hash find the cut
-    value T (each pass returns at most 2^bits_per_pass small rows to the
-    driver); then rows with hash < T are kept by a filter, and the few rows
-    whose hash equals T are ordered by key to take the remainder.
+    k-row merge in one task.  Histogram passes over the 32-bit hash narrow
+    the range holding the k-th row (each returns at most 2^bits_per_pass
+    (bin, count) rows); the first pass also yields n, so ``k`` may be a
+    function of n (``lambda n: max(1, int(n * 0.01))``).  Once the boundary
+    bin holds at most ``collect_limit`` rows, its (hash, key) pairs are
+    fetched (Arrow batches) and the exact cut (h*, key*) is found on the
+    driver; the result is the filter (hash, key) <= (h*, key*).  Uniform
+    hashes leave about n / 4096 rows in the boundary bin per pass, so one
+    histogram pass suffices below ~4e9 rows and two below ~1.6e13.
     """
-    if k <= 0:
-        return df.limit(0)
-    h = key_hash(key, salt)
-    hashed = df.withColumn("_h", h)
-    lo, width, below = 0, TWO32, 0  # search [lo, lo + width), rows below lo: below
-    while width > 1:
+    # Each operator below references the (md5) hash once: a filter on a
+    # derived column is pushed through the projection with the expression
+    # inlined at every use, so range tests are written as single-use
+    # expressions (shift == 0, struct comparison).
+    hashed = df.withColumn("_h", key_hash(key, salt)).withColumn("_k", col(key).cast("string"))
+    lo, width, below = 0, TWO32, 0  # search [lo, lo + width); rows below lo: below
+    n_total = None
+    while True:
         shift = max(0, (width - 1).bit_length() - bits_per_pass)
-        step = 1 << shift
-        hist = (
-            hashed.filter((F.col("_h") >= lo) & (F.col("_h") < lo + width))
-            .groupBy(F.shiftright(F.col("_h") - F.lit(lo), shift).alias("b"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .orderBy("b")
-            .collect()
-        )
-        acc = below
-        chosen = None
+        width_bits = (width - 1).bit_length()  # width is a power of two
+        off = F.col("_h") - F.lit(lo)
+        in_range = F.shiftright(off, width_bits) == 0
+        binned = hashed.select(F.when(in_range, F.shiftright(off, shift)).alias("b"))
+        hist = binned.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()
+        hist = sorted((r for r in hist if r["b"] is not None), key=lambda r: r["b"])
+        if n_total is None:
+            n_total = sum(r["n"] for r in hist)
+            k = k(n_total) if callable(k) else k
+            if k <= 0:
+                return df.limit(0)
+            if k >= n_total:
+                return df
+        acc, chosen = below, None
         for row in hist:
             if acc + row["n"] >= k:
-                chosen = row["b"]
+                chosen = row
                 break
             acc += row["n"]
-        if chosen is None:  # fewer than k rows in total
-            return df
-        lo, width, below = lo + chosen * step, step, acc
-    cut = lo
-    rest = k - below
-    under = hashed.filter(F.col("_h") < cut)
-    at_cut = hashed.filter(F.col("_h") == cut).orderBy(col(key).cast("string")).limit(rest)
-    return under.unionByName(at_cut).drop("_h")
+        lo, width, below = lo + chosen["b"] * (1 << shift), 1 << shift, acc
+        if chosen["n"] <= collect_limit or width == 1:
+            break
+    # the boundary bin is small: fetch its (hash, key) pairs and cut exactly
+    width_bits = (width - 1).bit_length()
+    edge_rows = hashed.select(
+        F.when(F.shiftright(F.col("_h") - F.lit(lo), width_bits) == 0, F.struct("_h", "_k")).alias("e")
+    ).where(F.col("e").isNotNull())
+    pdf = edge_rows.select("e._h", "e._k").toPandas()
+    edge = sorted(zip(pdf["_h"].astype("int64").tolist(), pdf["_k"].tolist()))
+    cut_h, cut_k = edge[k - below - 1]
+    keep = F.struct("_h", "_k") <= F.struct(F.lit(cut_h).cast("long").alias("_h"), F.lit(cut_k).alias("_k"))
+    return hashed.filter(keep).drop("_h", "_k")
 
 
 def split_sizes(tagged: DataFrame, split_col: str = "split", digits: int = 1) -> DataFrame:

@@ -109,7 +109,8 @@ _QUART_PARTS = [
 
 @register("describe_quartiles", sql=_union(_QUART_PARTS))
 def describe_quartiles(spark, sf_dir):
-    return q.describe_quartiles(read_table(spark, sf_dir, "lineitem"), NUMERIC_FEATURES)
+    # explode-heavy: spread a single-row-group input over all cores first
+    return q.describe_quartiles(read_table(spark, sf_dir, "lineitem", balance=True), NUMERIC_FEATURES)
 
 
 _FILL_PARTS = [
@@ -124,7 +125,7 @@ GROUP BY m.med"""
 
 @register("median_fill", sql=f"WITH {SQL_DIRTY}\n" + _union(_FILL_PARTS))
 def median_fill(spark, sf_dir):
-    dirty = dirty_events(spark, sf_dir)
+    dirty = dirty_events(spark, sf_dir, balance=True)  # explode-heavy quantiles
     filled, medians = q.median_fill(dirty, FILL_COLS, exact=True)
     n_filled = dirty.agg(
         *[F.count_if(F.col(c).isNull() | F.isnan(c)).cast("long").alias(c) for c in FILL_COLS]

@@ -97,8 +97,7 @@ SELECT COUNT(*) AS n, {_sql_fp()} FROM r, k WHERE rn <= k.k""",
 def capped_sample(spark, sf_dir):
     """Exact-size 1% sample, max(1, int(n * 0.01)) rows, no replacement."""
     ev = events(spark, sf_dir)
-    k = max(1, int(ev.count() * 0.01))
-    s = sp.smallest_by_hash(ev, "row_key", k, salt="raw42")
+    s = sp.smallest_by_hash(ev, "row_key", lambda n: max(1, int(n * 0.01)), salt="raw42")
     return s.agg(F.count(F.lit(1)).alias("n"), _fingerprint())
 
 

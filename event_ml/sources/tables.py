@@ -24,8 +24,39 @@ TABLES = (
 NUMERIC_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+BALANCE_MIN_BYTES = 4 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of a path on any Hadoop file system (no data read)."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(jpath).getLength())
+
+
+def balance_input(df: DataFrame, size_bytes: int, min_bytes: int = BALANCE_MIN_BYTES) -> DataFrame:
+    """Input-split guard.  A parquet row group is the smallest unit a scan can
+    split, so a large file written as one row group is read by ONE task and
+    every narrow operator above it runs single-threaded.  When the scan has
+    fewer splits than the cluster has cores and the input is not tiny, the
+    rows are spread once with a round-robin repartition.  On a real data
+    lake (many files / row groups) the scan already has more splits than
+    cores and this is a no-op."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if size_bytes < min_bytes or df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
+    """Parquet table.  ``balance`` applies the input-split guard; it pays
+    off before iterative work on cached data (model fits), not before a
+    single scan + partial aggregate, where the extra exchange costs more
+    than the parallel scan saves."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return balance_input(df, input_bytes(spark, path)) if balance else df
 
 
 def lineitem_key() -> Column:
@@ -44,9 +75,9 @@ def lineitem_score() -> Column:
     return F.least(F.lit(10000).cast("bigint"), raw)
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, balance: bool = False) -> DataFrame:
     """lineitem as a labelled event table (all bindings as columns)."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", balance=balance)
     return li.select(
         lineitem_key().alias("row_key"),
         (F.col("l_returnflag") == "R").cast("int").alias("y"),
@@ -73,10 +104,10 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dirty_events(spark: SparkSession, sf_dir: str, balance: bool = False) -> DataFrame:
     """lineitem features with planted invalid values (the driver tables are
     clean): a null, a NaN and an infinity rule on three columns."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", balance=balance)
     return li.select(
         lineitem_key().alias("row_key"),
         (F.col("l_returnflag") == "R").cast("double").alias("label"),
