@@ -22,6 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from event_ml.functions.joins import join_small
 from event_ml.session import ensure_checkpoint_dir
 
 _BLOCK = "_prefix_block"
@@ -87,9 +88,9 @@ def ordered_prefix(
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # ``offsets`` has one row per (block, group): bounded by the block count
-    # plus the group count, so broadcasting it is safe.
-    joined = blocked.join(F.broadcast(offsets), [_BLOCK, *partition_cols])
+    # ``offsets`` has one row per (block, group): at most the block count plus
+    # the group count; broadcast after a size check.
+    joined = join_small(blocked, offsets, [_BLOCK, *partition_cols])
     out = joined.select(
         *[c for c in df.columns],
         *[(F.sum(c).over(w_in) + F.col(c + "_off")).alias(c + suffix) for c in sum_cols],

@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from event_ml.functions.joins import join_small
+
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """(feature_a, feature_b, r) for the strict lower triangle, one pass."""
@@ -54,8 +56,8 @@ def density_histogram(df: DataFrame, cols: Sequence[str], label_col: str, bins:
         F.when(F.col("vmin") == F.col("vmax"), F.col("vmin") - 0.5).otherwise(F.col("vmin")).alias("lo"),
         F.when(F.col("vmin") == F.col("vmax"), F.col("vmax") + 0.5).otherwise(F.col("vmax")).alias("hi"),
     )
-    # stats has one row per (feature, class): bounded by features x classes
-    binned = long.join(F.broadcast(stats), ["feature", "label"]).select(
+    # stats has one row per (feature, class); size-checked broadcast
+    binned = join_small(long, stats, ["feature", "label"]).select(
         "feature",
         "label",
         F.least(
@@ -102,11 +104,10 @@ def with_group_value(df: DataFrame, keys: Sequence[str], agg_expr, name: str) ->
     value).  Implemented as aggregate + join instead of a window partitioned
     by the key: a window would put each group -- e.g. a class holding a
     third of all rows -- into a single task.  The aggregate is partial
-    (map-side); AQE turns the join into a broadcast join at runtime when the
-    aggregated side is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-    and keeps a shuffle join otherwise."""
+    (map-side) and the join broadcasts it after a size check
+    (``functions.joins.join_small``)."""
     agg = df.groupBy(*keys).agg(agg_expr.alias(name))
-    return df.join(agg, list(keys), "left")
+    return join_small(df, agg, list(keys), "left")
 
 
 def unpivot_features(df: DataFrame, id_cols: Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -139,7 +140,7 @@ def select_metric(table: DataFrame, metric: str, key_cols: Sequence[str]) -> Dat
 
 def filter_by_selection(df: DataFrame, selection: DataFrame, key: str) -> DataFrame:
     """Cross-view action filter: keep rows whose key is selected (semi join)."""
-    return df.join(selection.select(key), key, "left_semi")
+    return join_small(df, selection.select(key).distinct(), key, "left_semi")
 
 
 def tag_features(df: DataFrame, feature_col: str, dimension: DataFrame) -> DataFrame:

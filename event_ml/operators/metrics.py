@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from event_ml.functions.joins import join_small
 from event_ml.functions.prefix import ordered_prefix
 
 
@@ -48,7 +49,8 @@ def ranked_scores(
         single_task_rows=single_task_rows,
     )
     totals = g.groupBy(*group_cols).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    joined = r.join(F.broadcast(totals), group_cols) if group_cols else r.crossJoin(F.broadcast(totals))
+    # one row per group: size-checked broadcast; no groups -> one row
+    joined = join_small(r, totals, group_cols) if group_cols else r.crossJoin(F.broadcast(totals))
     return joined.select(
         *group_cols,
         "score",

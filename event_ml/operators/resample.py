@@ -53,17 +53,26 @@ def _auc_from_counts(score: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> flo
     return float((p * (n_below + n / 2.0)).sum() / (P * N))
 
 
-def _replicate_fn(base_seed: int):
+def _chunk_fn(base_seed: int, n_boot: int, n_chunks: int):
+    """Replicates chunk, chunk + n_chunks, ... of one histogram copy; the
+    seed of replicate r is base_seed + r, so results do not depend on the
+    chunking."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rep = int(pdf["replicate"].iloc[0])
-        rng = np.random.default_rng(base_seed + rep)
+        chunk = int(pdf["chunk"].iloc[0])
+        pdf = pdf.sort_values("score")
+        score = pdf["score"].to_numpy(dtype=float)
         pos = pdf["pos"].to_numpy(dtype=np.int64)
         neg = pdf["neg"].to_numpy(dtype=np.int64)
         P, N = int(pos.sum()), int(neg.sum())
-        pos_bs = rng.multinomial(P, pos / P) if P > 0 else pos
-        neg_bs = rng.multinomial(N, neg / N) if N > 0 else neg
-        auc = _auc_from_counts(pdf["score"].to_numpy(dtype=float), pos_bs, neg_bs)
-        return pd.DataFrame({"replicate": [rep], "auc": [auc]})
+        reps, aucs = [], []
+        for rep in range(chunk, n_boot, n_chunks):
+            rng = np.random.default_rng(base_seed + rep)
+            pos_bs = rng.multinomial(P, pos / P) if P > 0 else pos
+            neg_bs = rng.multinomial(N, neg / N) if N > 0 else neg
+            reps.append(rep)
+            aucs.append(_auc_from_counts(score, pos_bs, neg_bs))
+        return pd.DataFrame({"replicate": reps, "auc": aucs})
 
     return run
 
@@ -75,13 +84,19 @@ def bootstrap_auc(
     n_boot: int = 500,
     seed: int = 42,
     max_bins: int = 10_000,
+    n_chunks: int | None = None,
 ) -> DataFrame:
-    """(replicate, auc) for ``n_boot`` stratified bootstrap replicates."""
+    """(replicate, auc) for ``n_boot`` stratified bootstrap replicates.
+
+    The histogram (<= max_bins rows) is copied once per chunk of replicates
+    (chunks = 2 x default parallelism by default); each chunk is one bounded
+    pandas group."""
     spark = pred.sparkSession
+    chunks = n_chunks or max(1, min(n_boot, 2 * spark.sparkContext.defaultParallelism))
     hist = score_histogram(pred, score_col, label_col, max_bins)
-    reps = spark.range(n_boot).select(F.col("id").alias("replicate"))
-    grid = hist.crossJoin(F.broadcast(reps))
-    return grid.groupBy("replicate").applyInPandas(_replicate_fn(seed), "replicate long, auc double")
+    ids = spark.range(chunks).select(F.col("id").alias("chunk"))
+    grid = hist.crossJoin(F.broadcast(ids))
+    return grid.groupBy("chunk").applyInPandas(_chunk_fn(seed, n_boot, chunks), "replicate long, auc double")
 
 
 def bootstrap_ci(replicates: DataFrame, ci: float = 0.95) -> DataFrame:

@@ -77,6 +77,9 @@ def test_bootstrap_ci_properties(spark):
     assert ci["ci_low"] <= ci["mean"] <= ci["ci_high"]
     again = sorted(r["auc"] for r in rs.bootstrap_auc(df, "score", "label", 100, 7, 500).collect())
     assert again == sorted(vals)  # reproducible
+    one = {r["replicate"]: r["auc"] for r in rs.bootstrap_auc(df, "score", "label", 100, 7, 500, n_chunks=1).collect()}
+    seven = {r["replicate"]: r["auc"] for r in rs.bootstrap_auc(df, "score", "label", 100, 7, 500, n_chunks=7).collect()}
+    assert one == seven  # chunking does not change any replicate
 
 
 def test_stability_and_group_stats(data, spark):
