@@ -133,20 +133,27 @@ def stability(
     fit_fn,
     levels: Sequence[float] = (0.05, 0.10, 0.20),
     trials: int = 3,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Refit on train with a fraction removed (deterministic hash sample,
     salt = trial * 100); (perturbation_pct, trial, test_auc) per refit.
-    ``fit_fn(train_subset)`` returns a fitted model; each fit is distributed,
-    only the loop over the 9 refits runs on the driver."""
-    rows = []
-    for frac in levels:
-        for trial in range(trials):
-            subset = hash_sample(train, key, 1.0 - frac, salt=f"stab{trial * 100}")
-            model = fit_fn(subset)
-            pred = model.transform(test)
-            scored = pred.select("label", m_score(pred).alias("score"))
-            auc = m.auc_exact(scored, "score", "label").first()["auc"]
-            rows.append((int(round(frac * 100)), trial, float(auc)))
+    ``fit_fn(train_subset)`` returns a fitted model.  Each fit is a
+    distributed job; up to ``parallelism`` refits are submitted at once from
+    driver threads (Spark runs concurrent jobs), which fills the cluster when
+    single fits are too small to use it."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(frac: float, trial: int):
+        subset = hash_sample(train, key, 1.0 - frac, salt=f"stab{trial * 100}")
+        model = fit_fn(subset)
+        pred = model.transform(test)
+        scored = pred.select("label", m_score(pred).alias("score"))
+        auc = m.auc_exact(scored, "score", "label").first()["auc"]
+        return (int(round(frac * 100)), trial, float(auc))
+
+    jobs = [(frac, trial) for frac in levels for trial in range(trials)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(lambda ft: one(*ft), jobs))
     return train.sparkSession.createDataFrame(rows, "perturbation_pct int, trial int, test_auc double")
 
 

@@ -42,6 +42,7 @@ DEFAULTS: dict[str, Any] = {
     "serializer": "org.apache.spark.serializer.KryoSerializer",
     "parquet_compression": "snappy",
     "parquet_merge_schema": False,
+    "spark.sql.execution.arrow.pyspark.enabled": True,
 }
 
 
