@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +24,11 @@ def join_small(
     at most ``max_rows`` rows -> broadcast hash join: no shuffle of ``big``,
     and a hot key (one class holding a third of all rows) cannot pile up in
     one reducer.  Larger -> ordinary shuffle join, where AQE's skew-join
-    handling splits oversized partitions.
+    handling splits oversized partitions.  The small side is persisted
+    before the count so the check does not cost a second computation of it
+    (it is an aggregate of ``big``; recomputing it would rescan the input).
     """
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
     if small.count() <= max_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

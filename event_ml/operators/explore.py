@@ -56,7 +56,9 @@ def density_histogram(df: DataFrame, cols: Sequence[str], label_col: str, bins:
         F.when(F.col("vmin") == F.col("vmax"), F.col("vmin") - 0.5).otherwise(F.col("vmin")).alias("lo"),
         F.when(F.col("vmin") == F.col("vmax"), F.col("vmax") + 0.5).otherwise(F.col("vmax")).alias("hi"),
     )
-    # stats has one row per (feature, class); size-checked broadcast
+    # stats has one row per (feature, class); size-checked broadcast (which
+    # also persists it for the grid below)
+    stats = stats.persist()
     binned = join_small(long, stats, ["feature", "label"]).select(
         "feature",
         "label",
