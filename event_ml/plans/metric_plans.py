@@ -96,9 +96,7 @@ def auc_pr(spark, sf_dir):
     return m.auc_pr(ranked(spark, sf_dir)).select(F.round("auc_pr", 10).alias("auc_pr"))
 
 
-@register(
-    "leaderboard",
-    sql=f"""WITH {SQL_EVENTS},
+SQL_LEADERBOARD = f"""WITH {SQL_EVENTS},
 g AS (SELECT l_linenumber AS model, p AS score, CAST(SUM(y) AS BIGINT) AS pos,
              CAST(SUM(1 - y) AS BIGINT) AS neg FROM ev GROUP BY l_linenumber, p),
 r AS (SELECT model, score, pos, neg,
@@ -110,8 +108,10 @@ a AS (SELECT model, CAST(SUM(CAST(pos AS HUGEINT) * (2 * (n_neg - fp) + neg)) AS
          / (CAST(2 AS DOUBLE) * CAST(MAX(n_pos) AS DOUBLE) * CAST(MAX(n_neg) AS DOUBLE)) AS auc
       FROM r GROUP BY model)
 SELECT model, auc, rank() OVER (ORDER BY auc DESC) AS rank, auc - CAST(0.5 AS DOUBLE) AS lift_over_baseline
-FROM a""",
-)
+FROM a"""
+
+
+@register("leaderboard", sql=SQL_LEADERBOARD)
 def leaderboard(spark, sf_dir):
     ev = events(spark, sf_dir).withColumnRenamed("l_linenumber", "model")
     per_model = m.auc_exact(ev, "p", "label", group_cols=["model"])

@@ -130,6 +130,16 @@ def ideal_scaling(spark, sf_dir):
     return sc.ideal_line(t).withColumn("ideal_time_s", F.round("ideal_time_s", 9))
 
 
+@register("weak_scaling")
+def weak_scaling(spark, sf_dir):
+    """RF(5 trees, depth 5) on nested hash samples of 25/50/100% of the
+    train split: fit time as the data grows."""
+    train, _, _ = prepared(spark, sf_dir)
+    fit = lambda d: md.make_estimator("RandomForest", numTrees=5, maxDepth=5, subsamplingRate=1.0).fit(d)
+    build = lambda _s, frac: sp.hash_sample(train, "row_key", float(frac), salt="weak42")
+    return sc.weak_scaling(spark, ["0.25", "0.5", "1.0"], build, fit)
+
+
 @register("strong_scaling")
 def strong_scaling(spark, sf_dir):
     """RF(5 trees, depth 5) at 8/16/32 partitions on the whole train split."""

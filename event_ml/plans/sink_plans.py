@@ -7,7 +7,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from event_ml.plans.metric_plans import SQL_LEADERBOARD, leaderboard
 from event_ml.plans.registry import register
+from event_ml.plans.threshold_plans import SQL_CURVE, curve
 from event_ml.sinks import writers as w
 from event_ml.sources import files as fs
 from event_ml.sources.tables import NUMERIC_FEATURES, SQL_EVENTS, events, read_table
@@ -59,6 +61,49 @@ def csv_roundtrip(spark, sf_dir):
     )
 
 
+CURVE_SCHEMA = T.StructType(
+    [T.StructField("threshold", T.DoubleType())]
+    + [T.StructField(c, T.LongType()) for c in ("tp", "fp", "tn", "fn", "cost")]
+)
+
+
+@register("cost_curve_csv", sql=SQL_CURVE + "\nSELECT * FROM curve")
+def cost_curve_csv(spark, sf_dir):
+    """Result-table sink: the cost curve as one header CSV file for a BI
+    tool, read back with its declared schema."""
+    path = w.write_result_table(curve(spark, sf_dir), w.scratch_path(spark, "cost-curve"))
+    return fs.read_result_csv(spark, path, CURVE_SCHEMA)
+
+
+RESULTS_SCHEMA = T.StructType(
+    [
+        T.StructField("model", T.IntegerType()),
+        T.StructField(
+            "result",
+            T.StructType(
+                [
+                    T.StructField("auc", T.DoubleType()),
+                    T.StructField("rank", T.LongType()),
+                    T.StructField("lift_over_baseline", T.DoubleType()),
+                ]
+            ),
+        ),
+    ]
+)
+
+
+@register("leaderboard_json", sql=SQL_LEADERBOARD)
+def leaderboard_json(spark, sf_dir):
+    """Nested results sink: one JSON object per model with a result struct,
+    read back with the declared nested schema and flattened."""
+    board = leaderboard(spark, sf_dir).select(
+        "model", F.struct("auc", "rank", "lift_over_baseline").alias("result")
+    )
+    path = w.write_result_table(board, w.scratch_path(spark, "leaderboard"), fmt="json")
+    back = spark.read.schema(RESULTS_SCHEMA).json(path)
+    return back.select("model", "result.auc", "result.rank", "result.lift_over_baseline")
+
+
 @register(
     "malformed_rows",
     sql="""SELECT COUNT(*) AS n_rows,
