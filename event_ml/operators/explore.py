@@ -36,6 +36,24 @@ def labelled_long(df: DataFrame, cols: Sequence[str], label_col: str) -> DataFra
     return stacked.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def _class_stats(df: DataFrame, cols: Sequence[str], label_col: str, stats: dict) -> DataFrame:
+    """(feature, label, <stat>...) from ONE groupBy(label) over the wide rows
+    (no explode: per-class statistics need no long form); null/NaN values
+    are ignored like in ``labelled_long``."""
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        aggs += [fn(v).alias(f"{i}__{name}") for name, fn in stats.items()]
+    wide = df.groupBy(F.col(label_col).alias("label")).agg(*aggs)
+    items = [
+        F.struct(F.lit(c).alias("feature"), *[F.col(f"{i}__{name}").alias(name) for name in stats])
+        for i, c in enumerate(cols)
+    ]
+    return wide.select("label", F.explode(F.array(*items)).alias("s")).select("label", "s.*").select(
+        "feature", "label", *stats
+    )
+
+
 def density_histogram(df: DataFrame, cols: Sequence[str], label_col: str, bins: int = 60) -> DataFrame:
     """Equal-width histogram per (feature, class) over that class's own
     [min, max] (a constant column is widened to +-0.5); the last bin is
@@ -46,8 +64,9 @@ def density_histogram(df: DataFrame, cols: Sequence[str], label_col: str, bins:
     by broadcast -- then one partial+final count per (feature, class, bin).
     """
     long = labelled_long(df, cols, label_col)
-    stats = long.groupBy("feature", "label").agg(
-        F.min("value").alias("vmin"), F.max("value").alias("vmax"), F.count(F.lit(1)).alias("n")
+    stats = _class_stats(
+        df, cols, label_col,
+        {"vmin": F.min, "vmax": F.max, "n": lambda c: F.count(c)},
     )
     stats = stats.select(
         "feature",
@@ -85,12 +104,12 @@ def density_histogram(df: DataFrame, cols: Sequence[str], label_col: str, bins:
 def class_separation(df: DataFrame, cols: Sequence[str], label_col: str, digits: int = 6) -> DataFrame:
     """Standardised mean difference per feature:
     (mean1 - mean0) / sqrt((var1 + var0) / 2), sample variances."""
-    long = labelled_long(df, cols, label_col)
-    per = long.groupBy("feature").agg(
-        F.avg(F.when(F.col("label") == 1, F.col("value"))).alias("mean_pos"),
-        F.avg(F.when(F.col("label") == 0, F.col("value"))).alias("mean_neg"),
-        F.var_samp(F.when(F.col("label") == 1, F.col("value"))).alias("var_pos"),
-        F.var_samp(F.when(F.col("label") == 0, F.col("value"))).alias("var_neg"),
+    st = _class_stats(df, cols, label_col, {"mean": F.avg, "var": F.var_samp})
+    per = st.groupBy("feature").agg(
+        F.max(F.when(F.col("label") == 1, F.col("mean"))).alias("mean_pos"),
+        F.max(F.when(F.col("label") == 0, F.col("mean"))).alias("mean_neg"),
+        F.max(F.when(F.col("label") == 1, F.col("var"))).alias("var_pos"),
+        F.max(F.when(F.col("label") == 0, F.col("var"))).alias("var_neg"),
     )
     smd = F.try_divide(F.col("mean_pos") - F.col("mean_neg"), F.sqrt((F.col("var_pos") + F.col("var_neg")) / 2))
     return per.select(

@@ -28,7 +28,7 @@ def score_histogram(pred: DataFrame, score_col: str, label_col: str, max_bins: i
     """(score, pos, neg) with at most ``max_bins`` rows.  Exact when there
     are no more distinct scores than ``max_bins``; otherwise adjacent scores
     are merged into rank-quantile bins (ties inside a bin count 1/2)."""
-    hist = m.score_table(pred, score_col, label_col)
+    hist = m.score_table(pred, score_col, label_col).persist()  # aggregate: one scan for count + use
     n_distinct = hist.count()
     if n_distinct <= max_bins:
         return hist.select(F.col("score").cast("double").alias("score"), "pos", "neg")

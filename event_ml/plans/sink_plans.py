@@ -119,5 +119,5 @@ def malformed_rows(spark, sf_dir):
     lines = li.select(F.when(F.col("l_linenumber") == 7, short).otherwise(full).alias("value"))
     path = w.scratch_path(spark, "malformed-csv")
     lines.write.mode("overwrite").text(path)
-    scanned = fs.read_csv_declared(spark, path, CSV_SCHEMA, header=False)
-    return fs.malformed_report(scanned)
+    ingested = fs.ingest_csv(spark, path, CSV_SCHEMA, w.scratch_path(spark, "ingested"))
+    return fs.ingest_report(ingested)

@@ -38,6 +38,47 @@ def read_csv_declared(
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+MALFORMED_FLAG = "_malformed"
+
+
+def ingest_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    out_path: str,
+    header: bool = False,
+    compression: str = "snappy",
+) -> DataFrame:
+    """One-pass ingest: declared-schema CSV -> Parquet partitioned by a
+    malformed flag (good rows under ``_malformed=false``, raw text of bad
+    rows kept in ``_corrupt_record`` under ``_malformed=true``).
+
+    Every column is written, so every field is parsed and malformed-row
+    detection cannot depend on column pruning; nothing is cached, so this
+    scales to inputs far larger than memory.  Returns the written table
+    (partition pruning makes good/bad reads and counts cheap)."""
+    raw = (
+        spark.read.schema(with_corrupt_column(schema))
+        .option("header", str(header).lower())
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        .csv(path)
+    )
+    flagged = raw.withColumn(MALFORMED_FLAG, F.col(CORRUPT_COLUMN).isNotNull())
+    flagged.write.mode("overwrite").option("compression", compression).partitionBy(MALFORMED_FLAG).parquet(out_path)
+    return spark.read.parquet(out_path)
+
+
+def ingest_report(ingested: DataFrame) -> DataFrame:
+    """(n_rows, n_good, n_malformed) of an ``ingest_csv`` table."""
+    bad = F.col(MALFORMED_FLAG)
+    return ingested.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(~bad).cast("bigint").alias("n_good"),
+        F.count_if(bad).cast("bigint").alias("n_malformed"),
+    )
+
+
 def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows without the corrupt column, malformed raw lines)."""
     good = df.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)

@@ -32,6 +32,11 @@ def test_permissive_csv_keeps_malformed_rows(spark, scratch):
     good_df, bad_df = fs.split_malformed(df)
     assert good_df.count() == 2 and bad_df.count() == 3
     assert sc.CORRUPT_COLUMN not in good_df.columns
+    # one-pass ingest to parquet partitioned by the malformed flag
+    ing = fs.ingest_csv(spark, path, sc.event_schema(), os.path.join(scratch, "ingested"))
+    rep2 = fs.ingest_report(ing).collect()[0]
+    assert (rep2["n_rows"], rep2["n_good"], rep2["n_malformed"]) == (5, 2, 3)
+    assert ing.filter("_malformed = false").select("label").count() == 2
 
 
 def test_inferred_and_positional_csv(spark, scratch):
