@@ -17,6 +17,21 @@ from pyspark.sql import types as T
 
 L, S, D = T.LongType(), T.StringType(), T.DoubleType()
 
+# --- fixed values: bottleneck labels and rule limits, KPI labels --------------
+BOTTLENECK_UNKNOWN = "Unknown"
+BOTTLENECK_GC = "GC_PRESSURE"
+BOTTLENECK_SHUFFLE = "SHUFFLE_HEAVY"
+BOTTLENECK_IO = "IO_BOUND"
+BOTTLENECK_COMPUTE = "COMPUTE_BOUND"
+GC_RATIO_LIMIT = 0.2  # GC time / run time
+SHUFFLE_GB_LIMIT = 50  # GB read + written
+INPUT_GB_LIMIT = 100  # GB, together with run time
+RUNTIME_MS_LIMIT = 600_000
+KPI_LABELS = ["Total Stages", "Total Tasks", "Total Runtime (min)", "Total Shuffle (GB)", "GC Time (min)", "Bottleneck"]
+STAGE_NAME_CHARS = 50
+TOP_STAGES = 15
+# --- end of fixed values -----------------------------------------------------
+
 
 def _st(*fields) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
@@ -95,7 +110,7 @@ def stage_metrics(log: DataFrame) -> DataFrame:
     stages = log.filter(F.col("Event") == "SparkListenerStageCompleted").select(
         c("Stage Info.Stage ID").alias("stage_id"),
         c("Stage Info.Stage Attempt ID").alias("attempt"),
-        F.substring(F.coalesce(c("Stage Info.Stage Name"), F.lit("")), 1, 50).alias("name"),
+        F.substring(F.coalesce(c("Stage Info.Stage Name"), F.lit("")), 1, STAGE_NAME_CHARS).alias("name"),
         F.when(c("Stage Info.Failure Reason").isNotNull(), F.lit("FAILED")).otherwise(F.lit("COMPLETE")).alias("status"),
         z(c("Stage Info.Number of Tasks")).alias("num_tasks"),
         (c("Stage Info.Completion Time") - c("Stage Info.Submission Time")).alias("wall_ms"),
@@ -172,11 +187,11 @@ def job_bottleneck(stages: DataFrame, digits: int = 6) -> DataFrame:
     shuffle_gb = F.col("shuffle") / 1e9
     input_gb = F.col("input") / 1e9
     label = (
-        F.when(F.col("n") == 0, F.lit("Unknown"))
-        .when(gc_ratio > 0.2, F.lit("GC_PRESSURE"))
-        .when(shuffle_gb > 50, F.lit("SHUFFLE_HEAVY"))
-        .when((input_gb > 100) & (F.col("runtime") > 600000), F.lit("IO_BOUND"))
-        .otherwise(F.lit("COMPUTE_BOUND"))
+        F.when(F.col("n") == 0, F.lit(BOTTLENECK_UNKNOWN))
+        .when(gc_ratio > GC_RATIO_LIMIT, F.lit(BOTTLENECK_GC))
+        .when(shuffle_gb > SHUFFLE_GB_LIMIT, F.lit(BOTTLENECK_SHUFFLE))
+        .when((input_gb > INPUT_GB_LIMIT) & (F.col("runtime") > RUNTIME_MS_LIMIT), F.lit(BOTTLENECK_IO))
+        .otherwise(F.lit(BOTTLENECK_COMPUTE))
     )
     return t.select(
         label.alias("bottleneck"),
@@ -186,7 +201,7 @@ def job_bottleneck(stages: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
-def slow_stages(stages: DataFrame, n: int = 15) -> DataFrame:
+def slow_stages(stages: DataFrame, n: int = TOP_STAGES) -> DataFrame:
     """T4/F4: the n stages with the largest run time (ties: lower id), with
     shuffle MB (/1e6), GC seconds and run seconds."""
     return stages.orderBy(F.col("duration_ms").desc(), F.col("stage_id").asc()).limit(n).select(
@@ -203,14 +218,13 @@ def slow_stages(stages: DataFrame, n: int = 15) -> DataFrame:
 def job_kpis(stages: DataFrame, digits: int = 6) -> DataFrame:
     """(kpi, value, text) label/value table of the summary and verdict."""
     s = job_summary(stages, digits).crossJoin(job_bottleneck(stages, digits).select("bottleneck"))
+    numeric = ["total_stages", "total_tasks", "total_runtime_min", "total_shuffle_gb", "total_gc_time_min"]
     items = [
         F.struct(F.lit(k).alias("kpi"), F.col(col).cast("double").alias("value"), F.lit(None).cast("string").alias("text"))
-        for k, col in (
-            ("Total Stages", "total_stages"),
-            ("Total Tasks", "total_tasks"),
-            ("Total Runtime (min)", "total_runtime_min"),
-            ("Total Shuffle (GB)", "total_shuffle_gb"),
-            ("GC Time (min)", "total_gc_time_min"),
+        for k, col in zip(KPI_LABELS, numeric)
+    ] + [
+        F.struct(
+            F.lit(KPI_LABELS[-1]).alias("kpi"), F.lit(None).cast("double").alias("value"), F.col("bottleneck").alias("text")
         )
-    ] + [F.struct(F.lit("Bottleneck").alias("kpi"), F.lit(None).cast("double").alias("value"), F.col("bottleneck").alias("text"))]
+    ]
     return s.select(F.explode(F.array(*items)).alias("k")).select("k.*")
