@@ -118,6 +118,31 @@ def leaderboard(spark, sf_dir):
     return m.leaderboard(per_model, "auc", "model").withColumn("rank", F.col("rank").cast("long"))
 
 
+@register(
+    "doc_quality_auc",
+    sql="""WITH j AS (SELECT d.lang, CAST(d.n_chars AS DOUBLE) AS score, l.quality AS y
+           FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+g AS (SELECT lang, score, CAST(SUM(y) AS BIGINT) AS pos, CAST(SUM(1 - y) AS BIGINT) AS neg FROM j GROUP BY lang, score),
+r AS (SELECT lang, score, pos, neg,
+        SUM(neg) OVER (PARTITION BY lang ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+        SUM(pos) OVER (PARTITION BY lang) AS n_pos, SUM(neg) OVER (PARTITION BY lang) AS n_neg FROM g)
+SELECT lang, CAST(MAX(n_pos) AS BIGINT) AS n_pos, CAST(MAX(n_neg) AS BIGINT) AS n_neg,
+       CASE WHEN MAX(n_pos) * MAX(n_neg) > 0 THEN
+         CAST(SUM(CAST(pos AS HUGEINT) * (2 * (n_neg - fp) + neg)) AS DOUBLE)
+           / (CAST(2 AS DOUBLE) * CAST(MAX(n_pos) AS DOUBLE) * CAST(MAX(n_neg) AS DOUBLE)) END AS auc
+FROM r GROUP BY lang""",
+)
+def doc_quality_auc(spark, sf_dir):
+    """Second binding of the labelled table: labels joined to documents on
+    doc_id (label = quality), score = document length; exact AUC per
+    language.  The join is left to the planner (AQE broadcasts the labels
+    side at runtime when it is small; a sort-merge join on the unique key
+    otherwise)."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", F.col("n_chars").cast("double").alias("score"))
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return m.auc_exact(lab.join(docs, "doc_id"), "score", "label", group_cols=["lang"])
+
+
 _SD_PARTS = "\nUNION ALL\n".join(
     f"SELECT '{c}' AS feature, STDDEV_SAMP({c}) AS sd FROM lineitem" for c in NUMERIC_FEATURES
 )
