@@ -40,7 +40,7 @@ FROM rb""",
 )
 def auc_exact(spark, sf_dir):
     r = ranked(spark, sf_dir)
-    exact = m.auc_exact(events(spark, sf_dir), "p", "label")
+    exact = m.auc_from_ranked(r)
     trap = m.roc_auc_trapezoid(r).select(F.round("roc_auc", 10).alias("roc_auc"))
     return exact.crossJoin(trap)
 
