@@ -99,6 +99,22 @@ def count_at_least(thresholds: Sequence[float], score: ColumnOrName) -> Column:
     return F.when(s.isNull(), F.lit(None).cast("int")).otherwise(search(0, len(thr)))
 
 
+def literal_table(spark, rows: Sequence[Sequence], schema: str) -> "DataFrame":
+    """A small literal table built JVM-side (``inline`` of an array of
+    structs on a one-row range): unlike ``createDataFrame(list)`` it needs no
+    Python worker to scan, and Catalyst folds it into a local relation.
+    ``schema`` is a DDL string such as ``"idx int, threshold double"``."""
+    from pyspark.sql import types as T
+
+    st = T._parse_datatype_string(schema)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, st.fields)]) for row in rows
+    ]
+    if not structs:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def pct_half_up(count: ColumnOrName, total: ColumnOrName, digits: int = 2) -> Column:
     """count / total * 100 rounded half-up, in exact integer arithmetic:
     floor((2 c 10^(d+2) + t) / 2t) / 10^d.  Percentages of counts often end

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from event_ml.functions.columns import literal_table
 from event_ml.functions.prefix import ordered_prefix
 
 
@@ -50,7 +51,7 @@ def exact_quantiles(
         counts, "value", ["cnt"], partition_cols=["feature"], single_task_rows=single_task_rows
     ).withColumn("cnt_before", F.col("cnt_cum") - F.col("cnt"))
     totals = counts.groupBy("feature").agg(F.sum("cnt").alias("n"))
-    probs_df = spark.createDataFrame([(float(q),) for q in probs], "prob double")
+    probs_df = literal_table(spark, [(float(q),) for q in probs], "prob double")
     # one row per (feature, prob): bounded by len(cols) * len(probs)
     targets = totals.crossJoin(F.broadcast(probs_df)).select(
         "feature",

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from event_ml.functions.columns import count_at_least
+from event_ml.functions.columns import count_at_least, literal_table
 
 
 def default_thresholds() -> list[float]:
@@ -55,14 +55,13 @@ def threshold_confusion(
     order = sorted(range(len(thresholds)), key=lambda i: float(thresholds[i]))
     values = list(threshold_values) if threshold_values is not None else list(thresholds)
     thr_rows = [(rank + 1, float(values[i])) for rank, i in enumerate(order)]
-    thr = spark.createDataFrame(thr_rows, "idx int, threshold double")
     hist = score_histogram(pred, score_col, label_col, [thresholds[i] for i in order])
     # The histogram has at most len(thresholds)+1 rows.  Pair every bucket
     # with the thresholds it clears (tiny x tiny non-equi join) and sum in
     # one aggregate; the class totals come from the same rows via
     # ``idx = 0`` (a threshold every bucket clears), so the data is scanned
     # once.
-    thr0 = thr.unionByName(spark.createDataFrame([(0, None)], "idx int, threshold double"))
+    thr0 = literal_table(spark, [(0, None), *thr_rows], "idx int, threshold double")
     paired = thr0.join(F.broadcast(hist), F.col("bucket") >= F.col("idx"), "left")
     cum = paired.groupBy("idx", "threshold").agg(
         F.coalesce(F.sum("pos"), F.lit(0)).cast("long").alias("tp"),
@@ -123,7 +122,7 @@ def cost_ratio_sweep(
 ) -> DataFrame:
     """Optimum threshold for every FN weight (FP weight fixed)."""
     spark = curve.sparkSession
-    weights = spark.createDataFrame([(int(w),) for w in fn_weights], "fn_weight int")
+    weights = literal_table(spark, [(int(w),) for w in fn_weights], "fn_weight int")
     swept = curve.crossJoin(F.broadcast(weights)).withColumn(
         "cost_w", (F.col("fn_weight") * F.col("fn") + F.lit(cost_fp) * F.col("fp")).cast("long")
     )
@@ -165,9 +164,7 @@ def cost_reduction(curve: DataFrame, baseline_threshold: float = 0.5) -> DataFra
 def confusion_counts(pred: DataFrame, label_col: str = "label", pred_col: str = "prediction") -> DataFrame:
     """(label, prediction, n) completed to the full 2x2 grid."""
     spark = pred.sparkSession
-    grid = spark.createDataFrame(
-        [(0.0, 0.0), (0.0, 1.0), (1.0, 0.0), (1.0, 1.0)], "label double, prediction double"
-    )
+    grid = literal_table(spark, [(0.0, 0.0), (0.0, 1.0), (1.0, 0.0), (1.0, 1.0)], "label double, prediction double")
     counts = pred.groupBy(
         F.col(label_col).cast("double").alias("label"),
         F.col(pred_col).cast("double").alias("prediction"),

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from event_ml.functions.columns import literal_table
 from event_ml.operators import explore as x
 from event_ml.operators.features import EventFeatureEngineer
 from event_ml.plans.registry import register
@@ -244,5 +245,5 @@ def feature_groups(spark, sf_dir):
     names = [n for n, _, _ in FEATURE_DIM]
     means = eng.agg(*[F.avg(F.col(n).cast("double")).alias(n) for n in names])
     long = means.unpivot([], names, "feature", "mean")
-    dim = spark.createDataFrame(FEATURE_DIM, "name string, grp string, ordinal int")
+    dim = literal_table(spark, FEATURE_DIM, "name string, grp string, ordinal int")
     return x.tag_features(long, "feature", dim).select("feature", "grp", "ordinal", F.round("mean", 9).alias("mean"))
