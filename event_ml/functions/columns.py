@@ -87,32 +87,67 @@ def count_at_least(thresholds: Sequence[float], score: ColumnOrName) -> Column:
     A null score maps to null.
     """
     thr = sorted(float(t) for t in thresholds)
-    s = col(score).cast("double")
+
+    if isinstance(score, str):
+        # One SQL expression: a single driver call instead of hundreds of
+        # Column-API calls (each costs milliseconds on the driver).
+        s = "CAST(`" + score.replace("`", "``") + "` AS DOUBLE)"
+
+        def search_sql(lo: int, hi: int) -> str:
+            # answer lies in [lo, hi]; thr[lo-1] <= s < thr[hi] already known
+            if lo == hi:
+                return str(lo)
+            mid = (lo + hi + 1) // 2
+            t = sql_literal(thr[mid - 1], "double")
+            return f"CASE WHEN {s} >= {t} THEN {search_sql(mid, hi)} ELSE {search_sql(lo, mid - 1)} END"
+
+        return F.expr(f"CASE WHEN {s} IS NULL THEN CAST(NULL AS INT) ELSE {search_sql(0, len(thr))} END")
+
+    sc = col(score).cast("double")
 
     def search(lo: int, hi: int) -> Column:
-        # answer lies in [lo, hi]; thr[lo-1] <= s < thr[hi] already known
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi + 1) // 2
-        return F.when(s >= F.lit(thr[mid - 1]), search(mid, hi)).otherwise(search(lo, mid - 1))
-
-    return F.when(s.isNull(), F.lit(None).cast("int")).otherwise(search(0, len(thr)))
+        return F.when(sc >= F.lit(thr[mid - 1]), search(mid, hi)).otherwise(search(lo, mid - 1))
+
+    return F.when(sc.isNull(), F.lit(None).cast("int")).otherwise(search(0, len(thr)))
+
+
+def sql_literal(value, type_name: str) -> str:
+    """A typed SQL literal (NULL, NaN and infinities included)."""
+    if value is None:
+        return f"CAST(NULL AS {type_name})"
+    if type_name in ("double", "float"):
+        v = float(value)
+        if v != v:
+            text = "NaN"
+        elif v in (float("inf"), float("-inf")):
+            text = "Infinity" if v > 0 else "-Infinity"
+        else:
+            text = repr(v)
+        return f"CAST('{text}' AS {type_name})"
+    if type_name == "string":
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if type_name == "boolean":
+        return "true" if value else "false"
+    return f"CAST({int(value)} AS {type_name})"
 
 
 def literal_table(spark, rows: Sequence[Sequence], schema: str) -> "DataFrame":
     """A small literal table built JVM-side (``inline`` of an array of
-    structs on a one-row range): unlike ``createDataFrame(list)`` it needs no
-    Python worker to scan, and Catalyst folds it into a local relation.
+    structs on a one-row range), written as ONE SQL expression: unlike
+    ``createDataFrame(list)`` it needs no Python worker to scan, and unlike
+    per-value Column calls it costs one driver round trip.
     ``schema`` is a DDL string such as ``"idx int, threshold double"``."""
-    from pyspark.sql import types as T
-
-    st = T._parse_datatype_string(schema)
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, st.fields)]) for row in rows
-    ]
-    if not structs:
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    fields = [tuple(part.strip().split()) for part in schema.split(",")]
+    if not rows:
+        return spark.range(0).selectExpr(*[f"{sql_literal(None, t)} AS {n}" for n, t in fields])
+    structs = ", ".join(
+        "named_struct(" + ", ".join(f"'{n}', {sql_literal(v, t)}" for v, (n, t) in zip(row, fields)) + ")"
+        for row in rows
+    )
+    return spark.range(1).selectExpr(f"inline(array({structs}))")
 
 
 def pct_half_up(count: ColumnOrName, total: ColumnOrName, digits: int = 2) -> Column:
