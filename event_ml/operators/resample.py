@@ -2,12 +2,26 @@
 training-set perturbation, grouped mean/std.
 
 Bootstrap at scale: a stratified resample of n rows is, per class, a
-multinomial draw over that class's score histogram.  So the data is reduced
-once to (score, pos, neg) -- at most ``max_bins`` rows -- and every
-replicate is one ``applyInPandas`` group of that bounded size: the histogram
-is cross-joined with the (broadcast) replicate ids and each task draws the
-counts with its own seed (base seed + replicate id) and computes the AUC.
-No row of the original table is replicated B times.
+multinomial draw over that class's score histogram, so the data is reduced
+once to (score, pos, neg).  The result is exact at any number of distinct
+scores:
+
+* up to ``block_size`` distinct scores, each chunk of replicates is one
+  bounded ``applyInPandas`` group holding the histogram;
+* above it, the sorted scores are cut into contiguous blocks of at most
+  ``block_size`` scores.  A multinomial draw equals a draw of the block
+  totals followed, inside each block, by a draw over its scores given the
+  block total (multinomial conditioning).  So (A) per replicate the block
+  totals of each class are drawn from the small block table; (B) per
+  (block, replicate chunk) the in-block counts are drawn and the block's own
+  AUC term (positives x negatives below inside the block, ties 1/2) is
+  summed; (C) per replicate a prefix sum over blocks adds positives x
+  negatives of lower blocks.  Every pandas group is bounded by the block
+  size (or the block count).
+
+Random streams are keyed (seed, replicate, stage, block), so a replicate's
+value does not depend on the chunking, and a single block reproduces the
+one-level path exactly.  No row of the original table is replicated.
 """
 
 from __future__ import annotations
@@ -16,7 +30,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from event_ml.functions.prefix import ordered_prefix
@@ -24,79 +38,134 @@ from event_ml.operators import metrics as m
 from event_ml.operators.splits import hash_sample
 
 
-def score_histogram(pred: DataFrame, score_col: str, label_col: str, max_bins: int = 10_000) -> DataFrame:
-    """(score, pos, neg) with at most ``max_bins`` rows.  Exact when there
-    are no more distinct scores than ``max_bins``; otherwise adjacent scores
-    are merged into rank-quantile bins (ties inside a bin count 1/2)."""
-    hist = m.score_table(pred, score_col, label_col).persist()  # aggregate: one scan for count + use
-    n_distinct = hist.count()
-    if n_distinct <= max_bins:
-        return hist.select(F.col("score").cast("double").alias("score"), "pos", "neg")
-    hist = hist.withColumn("w", F.col("pos") + F.col("neg"))
-    ranked = ordered_prefix(hist, "score", ["w"])
-    total = hist.agg(F.sum("w").alias("total"))
-    binned = ranked.crossJoin(F.broadcast(total)).withColumn(
-        "bin", F.floor((F.col("w_cum") - 1) * max_bins / F.col("total")).cast("long")
-    )
-    return binned.groupBy("bin").agg(
-        F.max("score").cast("double").alias("score"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
-    ).drop("bin")
+def _draw(rng: np.random.Generator, total: int, weights: np.ndarray) -> np.ndarray:
+    w = weights.astype(float)
+    if total <= 0 or w.sum() <= 0:
+        return np.zeros(len(w), dtype=np.int64)
+    return rng.multinomial(int(total), w / w.sum())
+
 
+def _in_block(seed: int, rep: int, block: int, p_tot: int, n_tot: int, pos: np.ndarray, neg: np.ndarray):
+    """In-block draw for one replicate: positives, then negatives."""
+    rng = np.random.default_rng([seed, rep, 1, block])
+    return _draw(rng, p_tot, pos), _draw(rng, n_tot, neg)
 
-def _auc_from_counts(score: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> float:
-    order = np.argsort(score)  # ascending
-    p, n = pos[order].astype(float), neg[order].astype(float)
-    n_below = np.cumsum(n) - n
-    P, N = p.sum(), n.sum()
-    if P == 0 or N == 0:
-        return float("nan")
-    return float((p * (n_below + n / 2.0)).sum() / (P * N))
 
+def _block_term(pos_bs: np.ndarray, neg_bs: np.ndarray) -> float:
+    """sum over ascending scores of pos * (negatives below inside + ties / 2)."""
+    p, n = pos_bs.astype(float), neg_bs.astype(float)
+    return float((p * (np.cumsum(n) - n / 2.0)).sum())
 
-def _chunk_fn(base_seed: int, n_boot: int, n_chunks: int):
-    """Replicates chunk, chunk + n_chunks, ... of one histogram copy; the
-    seed of replicate r is base_seed + r, so results do not depend on the
-    chunking."""
 
+def _one_level_fn(seed: int, n_boot: int, n_chunks: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         chunk = int(pdf["chunk"].iloc[0])
-        pdf = pdf.sort_values("score")
-        score = pdf["score"].to_numpy(dtype=float)
+        pdf = pdf.sort_values("score", kind="stable")
         pos = pdf["pos"].to_numpy(dtype=np.int64)
         neg = pdf["neg"].to_numpy(dtype=np.int64)
         P, N = int(pos.sum()), int(neg.sum())
         reps, aucs = [], []
         for rep in range(chunk, n_boot, n_chunks):
-            rng = np.random.default_rng(base_seed + rep)
-            pos_bs = rng.multinomial(P, pos / P) if P > 0 else pos
-            neg_bs = rng.multinomial(N, neg / N) if N > 0 else neg
+            pos_bs, neg_bs = _in_block(seed, rep, 0, P, N, pos, neg)
             reps.append(rep)
-            aucs.append(_auc_from_counts(score, pos_bs, neg_bs))
+            aucs.append(_block_term(pos_bs, neg_bs) / (P * N) if P and N else float("nan"))
         return pd.DataFrame({"replicate": reps, "auc": aucs})
 
     return run
 
 
+def _block_totals_fn(seed: int, n_boot: int, n_chunks: int):
+    """Stage A: per replicate, class totals of every block."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        chunk = int(pdf["chunk"].iloc[0])
+        pdf = pdf.sort_values("block")
+        blocks = pdf["block"].to_numpy(dtype=np.int64)
+        pos = pdf["pos"].to_numpy(dtype=np.int64)
+        neg = pdf["neg"].to_numpy(dtype=np.int64)
+        P, N = int(pos.sum()), int(neg.sum())
+        out = []
+        for rep in range(chunk, n_boot, n_chunks):
+            rng = np.random.default_rng([seed, rep, 0])
+            bp, bn = _draw(rng, P, pos), _draw(rng, N, neg)
+            out.append(pd.DataFrame({"replicate": rep, "block": blocks, "bpos": bp, "bneg": bn}))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame(
+            {"replicate": [], "block": [], "bpos": [], "bneg": []}
+        )
+
+    return run
+
+
+def _in_block_fn(seed: int):
+    """Stage B: one block's scores x the drawn totals of a replicate chunk."""
+
+    def run(hist: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
+        if hist.empty or totals.empty:
+            return pd.DataFrame({"replicate": [], "block": [], "term": [], "bpos": [], "bneg": []})
+        hist = hist.sort_values("score", kind="stable")
+        block = int(hist["block"].iloc[0])
+        pos = hist["pos"].to_numpy(dtype=np.int64)
+        neg = hist["neg"].to_numpy(dtype=np.int64)
+        reps, terms = [], []
+        for rep, bp, bn in zip(totals["replicate"], totals["bpos"], totals["bneg"]):
+            pos_bs, neg_bs = _in_block(seed, int(rep), block, int(bp), int(bn), pos, neg)
+            reps.append(int(rep))
+            terms.append(_block_term(pos_bs, neg_bs))
+        return pd.DataFrame(
+            {"replicate": reps, "block": block, "term": terms, "bpos": totals["bpos"].to_numpy(),
+             "bneg": totals["bneg"].to_numpy()}
+        )
+
+    return run
+
+
 def bootstrap_auc(
     pred: DataFrame,
     score_col: str,
     label_col: str,
     n_boot: int = 500,
     seed: int = 42,
-    max_bins: int = 10_000,
+    block_size: int = 10_000,
     n_chunks: int | None = None,
 ) -> DataFrame:
-    """(replicate, auc) for ``n_boot`` stratified bootstrap replicates.
-
-    The histogram (<= max_bins rows) is copied once per chunk of replicates
-    (chunks = 2 x default parallelism by default); each chunk is one bounded
-    pandas group."""
+    """(replicate, auc) for ``n_boot`` stratified bootstrap replicates."""
     spark = pred.sparkSession
     chunks = n_chunks or max(1, min(n_boot, 2 * spark.sparkContext.defaultParallelism))
-    hist = score_histogram(pred, score_col, label_col, max_bins)
+    hist = m.score_table(pred, score_col, label_col).select(
+        F.col("score").cast("double").alias("score"), "pos", "neg"
+    ).persist()  # aggregate: one scan for the count and every later use
+    n_distinct = hist.count()
     ids = spark.range(chunks).select(F.col("id").alias("chunk"))
-    grid = hist.crossJoin(F.broadcast(ids))
-    return grid.groupBy("chunk").applyInPandas(_chunk_fn(seed, n_boot, chunks), "replicate long, auc double")
+    if n_distinct <= block_size:
+        grid = hist.crossJoin(F.broadcast(ids))
+        return grid.groupBy("chunk").applyInPandas(_one_level_fn(seed, n_boot, chunks), "replicate long, auc double")
+
+    # contiguous blocks of <= block_size distinct scores (ascending)
+    ranked = ordered_prefix(hist.withColumn("one", F.lit(1)), "score", ["one"])
+    blocked = ranked.select("score", "pos", "neg", F.floor((F.col("one_cum") - 1) / block_size).cast("long").alias("block"))
+    blocked = blocked.persist()
+    block_tot = blocked.groupBy("block").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    totals = block_tot.crossJoin(F.broadcast(ids)).groupBy("chunk").applyInPandas(
+        _block_totals_fn(seed, n_boot, chunks), "replicate long, block long, bpos long, bneg long"
+    ).withColumn("chunk", F.col("replicate") % chunks)
+    left = blocked.crossJoin(F.broadcast(ids)).groupBy("block", "chunk")
+    right = totals.groupBy("block", "chunk")
+    terms = left.cogroup(right).applyInPandas(
+        _in_block_fn(seed), "replicate long, block long, term double, bpos long, bneg long"
+    )
+    # Stage C: one row per (replicate, block); the window per replicate holds
+    # n_blocks rows (bounded by n_distinct / block_size).
+    w = Window.partitionBy("replicate").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    with_lower = terms.withColumn("neg_lower", F.coalesce(F.sum("bneg").over(w), F.lit(0)))
+    agg = with_lower.groupBy("replicate").agg(
+        F.sum(F.col("term") + F.col("bpos") * F.col("neg_lower")).alias("num"),
+        F.sum("bpos").alias("P"),
+        F.sum("bneg").alias("N"),
+    )
+    return agg.select(
+        "replicate",
+        F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("num") / (F.col("P") * F.col("N"))).alias("auc"),
+    )
 
 
 def bootstrap_ci(replicates: DataFrame, ci: float = 0.95) -> DataFrame:

@@ -1,5 +1,6 @@
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,18 +71,41 @@ def test_bootstrap_ci_properties(spark):
     rng = random.Random(0)
     rows = [(float(y), rng.random() + 0.3 * y) for y in [rng.randint(0, 1) for _ in range(2000)]]
     df = spark.createDataFrame(rows, "label double, score double")
-    reps = rs.bootstrap_auc(df, "score", "label", n_boot=100, seed=7, max_bins=500).cache()
+    reps = rs.bootstrap_auc(df, "score", "label", n_boot=100, seed=7, block_size=5000).cache()
     vals = [r["auc"] for r in reps.collect()]
     assert len(vals) == 100 and len(set(vals)) > 90  # replicates differ
     ci = rs.bootstrap_ci(reps).collect()[0]
     assert ci["ci_low"] <= ci["mean"] <= ci["ci_high"]
-    again = sorted(r["auc"] for r in rs.bootstrap_auc(df, "score", "label", 100, 7, 500).collect())
+    again = sorted(r["auc"] for r in rs.bootstrap_auc(df, "score", "label", 100, 7, 5000).collect())
     assert again == sorted(vals)  # reproducible
-    one = {r["replicate"]: r["auc"] for r in rs.bootstrap_auc(df, "score", "label", 100, 7, 500, n_chunks=1).collect()}
-    seven = {r["replicate"]: r["auc"] for r in rs.bootstrap_auc(df, "score", "label", 100, 7, 500, n_chunks=7).collect()}
+    one = {r["replicate"]: r["auc"] for r in rs.bootstrap_auc(df, "score", "label", 100, 7, 5000, n_chunks=1).collect()}
+    seven = {r["replicate"]: r["auc"] for r in rs.bootstrap_auc(df, "score", "label", 100, 7, 5000, n_chunks=7).collect()}
     assert one == seven  # chunking does not change any replicate
 
 
+def test_bootstrap_two_level_blocks(spark):
+    """Above block_size distinct scores the exact two-level resample runs:
+    same distribution as the one-level path (no binning), chunk-invariant."""
+    import random
+
+    from event_ml.operators import metrics as m
+
+    rng = random.Random(3)
+    rows = [(float(y), round(rng.random() + 0.3 * y, 3)) for y in [rng.randint(0, 1) for _ in range(3000)]]
+    df = spark.createDataFrame(rows, "label double, score double")
+    exact = m.auc_exact(df, "score", "label").first()["auc"]
+    two = rs.bootstrap_auc(df, "score", "label", n_boot=200, seed=5, block_size=97, n_chunks=3).cache()
+    one = rs.bootstrap_auc(df, "score", "label", n_boot=200, seed=5, block_size=10**6)
+    a = [r["auc"] for r in two.collect()]
+    b = [r["auc"] for r in one.collect()]
+    assert len(a) == 200 and len(set(a)) > 190
+    sd = float(np.std(b))
+    assert abs(np.mean(a) - exact) < 4 * sd / np.sqrt(200) + 1e-3
+    assert abs(np.std(a) - sd) < 0.3 * sd  # same spread as the one-level resample
+    again = {r["replicate"]: r["auc"] for r in rs.bootstrap_auc(df, "score", "label", 200, 5, 97, n_chunks=8).collect()}
+    assert again == {r["replicate"]: r["auc"] for r in two.collect()}
+
+
 def test_stability_and_group_stats(data, spark):
     tr, te = data
     st = rs.stability(tr, te, "key", lambda d: md.make_estimator("LogisticRegression", maxIter=10).fit(d),
