@@ -148,8 +148,14 @@ def smallest_by_hash(
                 break
             acc += row["n"]
         lo, width, below = lo + chosen["b"] * (1 << shift), 1 << shift, acc
-        if chosen["n"] <= collect_limit or width == 1:
+        if chosen["n"] <= collect_limit:
             break
+        if width == 1:
+            # one hash value holds more rows than may be fetched: the key is
+            # not a row key (a hot duplicate); refuse rather than collect it
+            raise ValueError(
+                f"{chosen['n']} rows share one hash of {key!r}; smallest_by_hash needs a (nearly) unique key"
+            )
     # the boundary bin is small: fetch its (hash, key) pairs and cut exactly
     width_bits = (width - 1).bit_length()
     edge_rows = hashed.select(
