@@ -38,15 +38,46 @@ def long_values(df: DataFrame, cols: Sequence[str], drop_invalid: bool = True) -
     return stacked
 
 
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(feature, value, cnt): one partial-aggregated pass over the input."""
+    return long_values(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def moments_from_counts(counts: DataFrame) -> DataFrame:
+    """(feature, count, mean, stddev, min, max) from a value-count table:
+    no second pass over the input.  The sample variance is computed around
+    the mean (two passes over the small count table), not from raw power
+    sums, so large means do not cancel."""
+    base = counts.groupBy("feature").agg(
+        F.sum("cnt").alias("count"),
+        (F.sum(F.col("cnt") * F.col("value")) / F.sum("cnt")).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    dev = counts.join(F.broadcast(base.select("feature", "mean")), "feature").groupBy("feature").agg(
+        F.sum(F.col("cnt") * (F.col("value") - F.col("mean")) ** 2).alias("ss")
+    )
+    return base.join(dev, "feature").select(
+        "feature",
+        F.col("count").cast("long").alias("count"),
+        "mean",
+        F.when(F.col("count") > 1, F.sqrt(F.col("ss") / (F.col("count") - 1))).alias("stddev"),
+        "min",
+        "max",
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
     probs: Sequence[float],
     single_task_rows: int = 2_000_000,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """(feature, prob, value) for every column and probability."""
+    """(feature, prob, value) for every column and probability; pass
+    ``counts`` (from ``value_counts``) to reuse an existing count table."""
     spark = df.sparkSession
-    counts = long_values(df, cols).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = counts if counts is not None else value_counts(df, cols)
     ranked = ordered_prefix(
         counts, "value", ["cnt"], partition_cols=["feature"], single_task_rows=single_task_rows
     ).withColumn("cnt_before", F.col("cnt_cum") - F.col("cnt"))

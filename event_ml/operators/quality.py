@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from event_ml.functions.columns import is_invalid
-from event_ml.functions.quantiles import exact_quantiles
+from event_ml.functions.quantiles import exact_quantiles, moments_from_counts, value_counts
 
 
 def _long(row_df: DataFrame, cols: Sequence[str], fields: dict[str, str]) -> DataFrame:
@@ -153,8 +153,11 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int | None = 6)
 def describe_quartiles(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
     """pandas-style describe: count, mean, std, min, 25%, 50%, 75%, max with
     exact linearly interpolated quartiles, rounded half-even."""
-    base = describe_numeric(df, cols, digits=None)
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    # one pass over the input: the value-count table feeds both the moments
+    # and the quantiles (it is persisted by the running-count step)
+    counts = value_counts(df, cols).persist()
+    base = moments_from_counts(counts)
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], counts=counts)
     qw = q.groupBy("feature").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in
           ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
