@@ -26,10 +26,12 @@ one-level path exactly.  No row of the original table is replicated.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,10 @@ from event_ml.functions.prefix import ordered_prefix
 from event_ml.operators import metrics as m
 from event_ml.operators.splits import hash_sample
 
+# The grouped-map functions below run in Python workers; ship them by value
+# so executors need not have this package installed or on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _draw(rng: np.random.Generator, total: int, weights: np.ndarray) -> np.ndarray:
     w = weights.astype(float)
