@@ -8,8 +8,13 @@ executor can read again after another one is lost.
 from __future__ import annotations
 
 import re
+import shutil
+import tempfile
 import uuid
+from collections.abc import Callable
+from pathlib import Path
 
+import event_ml
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +37,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow(run, schema)``; executors get this package first, once an application."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(event_ml.__file__).parent
+        context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/event_ml_package", "zip", package.parent, package.name))
+        _SHIPPED.add(context.applicationId)
+    return df.mapInArrow(run, schema)
+
+
 def open_store(uri: str):
     """(filesystem, path) of a file URI; Spark's ``file:/x`` form is accepted."""
     from pyarrow import fs

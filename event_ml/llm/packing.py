@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from event_ml.llm.common import table
+from event_ml.llm.common import map_batches, table
 from event_ml.llm.tokens import default_vocabulary, encoder
 
 SCHEMA = (
@@ -115,7 +115,7 @@ def pack(
         if ids:
             yield emit(ids, tokens, base)[0]
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, SCHEMA)
+    return map_batches(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), run, SCHEMA)
 
 
 def op8_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from event_ml.llm import packing, separators
+from event_ml.llm import decontaminate, packing, separators, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_separator_scan": separators.op1_separator_scan,
+    "op5_spaced_seeds": decontaminate.op5_spaced_seeds,
+    "op6_simhash_pivot_tables": simhash.op6_simhash_pivot_tables,
     "op8_cost_balanced_packing": packing.op8_cost_balanced_packing,
 }
 

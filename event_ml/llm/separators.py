@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from event_ml.llm.common import open_store, scratch_dir, staged, table
+from event_ml.llm.common import map_batches, open_store, scratch_dir, staged, table
 from event_ml.llm.tokens import default_vocabulary, encoder
 
 #: Blocks whose summaries one window row group holds.
@@ -62,12 +62,8 @@ def write_token_files(
         if out:
             out.close()
 
-    return staged(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-            run, "doc_id long, file string, ordinal long"
-        ),
-        "token-manifest",
-    )
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return staged(map_batches(texts, run, "doc_id long, file string, ordinal long"), "token-manifest")
 
 
 def scan_separators(
@@ -101,12 +97,8 @@ def scan_separators(
     blocks = files.where("length > 0").select(
         "path", "length", F.explode(F.expr(f"sequence(0L, (length - 1) div {block_bytes}L)")).alias("block")
     )
-    found = staged(
-        blocks.repartition("path", "block").mapInArrow(
-            find, "path string, block long, ids long, n_ends long, last_end long, ends array<long>"
-        ),
-        "token-blocks",
-    )
+    schema = "path string, block long, ids long, n_ends long, last_end long, ends array<long>"
+    found = staged(map_batches(blocks.repartition("path", "block"), find, schema), "token-blocks")
     summary = found.select("path", "block", "ids", "n_ends", "last_end", F.expr(f"block div {SPAN}").alias("run"))
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     in_run = before(Window.partitionBy("path", "run").orderBy("block"))
