@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from event_ml.llm import decontaminate, packing, separators, simhash
+from event_ml.llm import decontaminate, line_dedup, packing, separators, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_separator_scan": separators.op1_separator_scan,
     "op5_spaced_seeds": decontaminate.op5_spaced_seeds,
     "op6_simhash_pivot_tables": simhash.op6_simhash_pivot_tables,
+    "op7_line_suffix_array": line_dedup.op7_line_suffix_array,
     "op8_cost_balanced_packing": packing.op8_cost_balanced_packing,
 }
 
