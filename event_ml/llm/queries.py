@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from event_ml.llm import decontaminate, line_dedup, packing, separators, simhash
+from event_ml.llm import decontaminate, language_id, line_dedup, packing, separators, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_separator_scan": separators.op1_separator_scan,
@@ -14,6 +14,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash_pivot_tables": simhash.op6_simhash_pivot_tables,
     "op7_line_suffix_array": line_dedup.op7_line_suffix_array,
     "op8_cost_balanced_packing": packing.op8_cost_balanced_packing,
+    "op9_byte_cnn": language_id.op9_byte_cnn,
+    "op10_warc_zstd": warc.op10_warc_zstd,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_warc_zstd": warc.OP10_SQL}
