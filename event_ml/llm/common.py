@@ -93,36 +93,22 @@ def connected_components(edges: DataFrame, label: str) -> DataFrame:
 
 
 def previous_in_order(ids: DataFrame, key: str, label: str) -> DataFrame:
-    """(key, before): for every distinct value of ``key`` the next smaller one,
-    for the smallest value the largest.  Null counts as smaller than any value.
+    """(key, before): for every distinct value of ``key`` (a long, not null) the
+    next smaller one, for the smallest value the largest.
 
     The values are range-partitioned once and written with their partition's
     number; a window looks back inside each partition, and a table with one row
     a partition (as many as ``spark.sql.shuffle.partitions``) joins the ends.
     """
-    spark = ids.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = staged(
-        ids.select(key).distinct().repartitionByRange(parts, F.col(key).asc_nulls_first()).select(
-            key, F.spark_partition_id().alias("part")
-        ),
-        label,
-    )
-    order = F.col(key).asc_nulls_first()
-    last = F.max_by(F.struct(key), F.struct(F.col(key).isNotNull(), F.col(key)))
-    ends = ranged.groupBy("part").agg(last.alias("largest"))
-    ends = ends.select(
-        "part",
-        F.coalesce(
-            F.lag("largest").over(Window.orderBy("part")),
-            F.first("largest").over(Window.orderBy(F.col("part").desc())),
-        ).alias("joined_end"),
-    )
-    # the row above sees, for the first part, the last part's largest value
-    wrap = ranged.agg(last.alias("largest"))
+    parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = ids.select(key).distinct().repartitionByRange(parts, key)
+    ranged = staged(ranged.withColumn("part", F.spark_partition_id()), label)
+    ends = ranged.groupBy("part").agg(F.max(key).alias("largest"))
+    every = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carry = F.coalesce(F.lag("largest").over(Window.orderBy("part")), F.max("largest").over(every))
+    inside = F.lag(key).over(Window.partitionBy("part").orderBy(key)).alias("inside")
     return (
-        ranged.select("*", F.lag(F.struct(key)).over(Window.partitionBy("part").orderBy(order)).alias("inside"))
-        .join(F.broadcast(ends), "part")
-        .crossJoin(F.broadcast(wrap))
-        .select(key, F.coalesce("inside", "joined_end", "largest")[key].alias("before"))
+        ranged.select("part", key, inside)
+        .join(F.broadcast(ends.select("part", carry.alias("carry"))), "part")
+        .select(key, F.coalesce("inside", "carry").alias("before"))
     )

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from event_ml.llm import decontaminate, language_id, line_dedup, packing, separators, simhash, warc
+from event_ml.llm import decontaminate, language_id, line_dedup, multiset_hash, packing, separators, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_separator_scan": separators.op1_separator_scan,
+    "op4_multiset_hash": multiset_hash.op4_multiset_hash,
     "op5_spaced_seeds": decontaminate.op5_spaced_seeds,
     "op6_simhash_pivot_tables": simhash.op6_simhash_pivot_tables,
     "op7_line_suffix_array": line_dedup.op7_line_suffix_array,
