@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from event_ml.llm import decontaminate, language_id, line_dedup, maxent_lm, multiset_hash, packing, separators, simhash, warc
+from event_ml.llm import decontaminate, language_id, line_dedup, maxent_lm, multiset_hash, packing, separators, simhash, url_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_separator_scan": separators.op1_separator_scan,
     "op2_hashed_maxent": maxent_lm.op2_hashed_maxent,
+    "op3_association_rules": url_rules.op3_association_rules,
     "op4_multiset_hash": multiset_hash.op4_multiset_hash,
     "op5_spaced_seeds": decontaminate.op5_spaced_seeds,
     "op6_simhash_pivot_tables": simhash.op6_simhash_pivot_tables,
