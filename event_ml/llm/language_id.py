@@ -43,10 +43,11 @@ def windows_of(raw: bytes) -> np.ndarray:
 
 
 def train(
-    windows: np.ndarray, labels: np.ndarray, languages: Sequence[str], filters: int = 16, epochs: int = 4, batch: int = 64, rate: float = 0.01, seed: int = 7
+    windows: np.ndarray, labels: np.ndarray, languages: Sequence[str], filters: int = 16, epochs: int = 4, min_steps: int = 400, batch: int = 64, rate: float = 0.01, seed: int = 7
 ) -> Network:
-    """Adam on the cross-entropy of windows; half of them are cut to a random
-    length in every batch, so short texts are learned as well."""
+    """Adam on the cross-entropy of windows, in ``epochs`` passes or more until
+    ``min_steps`` are made; half of a batch's windows are cut to a random
+    length, so short texts are learned as well."""
     rng = np.random.default_rng(seed)
     kernels = [rng.normal(0, 0.3, (w, 256, filters)).astype(np.float32) for w in WIDTHS]
     hidden = filters * len(WIDTHS)
@@ -55,7 +56,9 @@ def train(
     out_bias = np.zeros(len(languages), np.float32)
     params = [*kernels, bias, out, out_bias]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-    step, steps = 0, max(1, -(-len(windows) // batch) * epochs)
+    each = max(1, -(-len(windows) // batch))
+    epochs = max(epochs, -(-min_steps // each))
+    step, steps = 0, each * epochs
     for _ in range(epochs):
         order = rng.permutation(len(windows))
         for at in range(0, len(order), batch):
