@@ -2,9 +2,7 @@ from event_ml.functions.columns import (  # noqa: F401
     array_string,
     count_at_least,
     flag_count,
-    hash_bucket,
     hash_u32,
-    hash_unit,
     is_invalid,
     nan_to_null,
     safe_ratio,

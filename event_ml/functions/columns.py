@@ -24,21 +24,6 @@ def hash_u32(key: ColumnOrName) -> Column:
     return F.conv(F.substring(F.md5(col(key).cast("string")), 1, 8), 16, 10).cast("bigint")
 
 
-def hash_unit(key: ColumnOrName, salt: str = "") -> Column:
-    """Uniform value in [0, 1) derived from md5(salt || key)."""
-    k = col(key).cast("string")
-    if salt:
-        k = F.concat(F.lit(salt), k)
-    return hash_u32(k) / F.lit(4294967296.0)
-
-
-def hash_bucket(key: ColumnOrName, modulo: int, salt: str = "") -> Column:
-    k = col(key).cast("string")
-    if salt:
-        k = F.concat(F.lit(salt), k)
-    return F.pmod(hash_u32(k), F.lit(modulo))
-
-
 def safe_ratio(num: ColumnOrName, den: ColumnOrName, eps: float = 1e-6) -> Column:
     """num / (den + eps); null instead of an ANSI division error."""
     return F.try_divide(col(num), col(den) + F.lit(eps))
@@ -152,9 +137,9 @@ def literal_table(spark, rows: Sequence[Sequence], schema: str) -> "DataFrame":
 
 def pct_half_up(count: ColumnOrName, total: ColumnOrName, digits: int = 2) -> Column:
     """count / total * 100 rounded half-up, in exact integer arithmetic:
-    floor((2 c 10^(d+2) + t) / 2t) / 10^d.  Percentages of counts often end
-    exactly on a 5, where rounding the binary double is engine-dependent."""
-    scale = 10 ** (digits + 2)
-    c, t = col(count).cast("long"), col(total).cast("long")
-    q = (c * F.lit(2 * scale) + t).cast("decimal(38,0)") / (F.lit(2) * t).cast("decimal(38,0)")
-    return F.floor(q).cast("long") / F.lit(float(10**digits))
+    floor((2 c 10^(d+2) + t) / 2t) / 10^d, with integer division.  Percentages
+    of counts often end exactly on a 5, where rounding the binary double is
+    engine-dependent."""
+    scale = F.lit(2 * 10 ** (digits + 2)).cast("decimal(18,0)")
+    c, t = col(count).cast("decimal(19,0)"), col(total).cast("decimal(19,0)")
+    return F.call_function("div", c * scale + t, t + t) / F.lit(float(10**digits))

@@ -1,34 +1,32 @@
-"""Joins against aggregated (small) tables with a checked size."""
+"""Joins against aggregated tables whose size Spark itself checks."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 1_000_000
+from event_ml.session import ensure_checkpoint_dir
 
 
-def join_small(
-    big: DataFrame,
-    small: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_MAX_ROWS,
-) -> DataFrame:
+def materialise(df: DataFrame, label: str = "table") -> DataFrame:
+    """``df`` written as Parquet to the session's shared folder and read back.
+
+    Nothing is persisted on executors, lineage is cut by files that survive a
+    lost executor, and the planner knows the table's size in bytes.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/event_ml-tables/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
     """Join ``big`` with an aggregated ``small`` side.
 
-    The small side is counted first (it is an aggregate, so this is cheap);
-    at most ``max_rows`` rows -> broadcast hash join: no shuffle of ``big``,
-    and a hot key (one class holding a third of all rows) cannot pile up in
-    one reducer.  Larger -> ordinary shuffle join, where AQE's skew-join
-    handling splits oversized partitions.  The small side is persisted
-    before the count so the check does not cost a second computation of it
-    (it is an aggregate of ``big``; recomputing it would rescan the input).
+    The small side is written first, so ``spark.sql.autoBroadcastJoinThreshold``
+    compares its bytes: below it the join broadcasts (``big`` isn't shuffled,
+    and a class with a third of all rows stays spread); above it the join
+    shuffles and AQE splits skewed partitions.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    return big.join(materialise(small, "join-side"), on, how)

@@ -1,24 +1,20 @@
 """Running sums over a global order without funnelling the table into one task.
 
 A window with an ``orderBy`` but no ``partitionBy`` sends every row to a
-single task.  ``ordered_prefix`` only does that when the input is small (it is
-always called on an *aggregated* table, e.g. one row per distinct score);
-above ``single_task_rows`` it uses a two-level prefix sum:
+single task.  ``ordered_prefix`` uses a two-level prefix sum at every size:
 
-1. range-partition the rows into contiguous order blocks and freeze the block
-   ids with a reliable checkpoint (so a recomputation after executor loss
-   cannot move a row to another block);
-2. per-block totals -> exclusive running offsets (one row per block, bounded
-   by the block count, broadcast);
+1. range-partition the rows into as many contiguous order blocks as there are
+   shuffle partitions, and freeze the block ids with a reliable checkpoint (so
+   a recomputation after executor loss cannot move a row to another block);
+2. per-block totals -> exclusive running offsets (one row per block and group);
 3. a window partitioned by block adds the offset to the in-block running sum.
+   A running window streams its rows, so a block need not fit in memory.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,31 +35,21 @@ def ordered_prefix(
     partition_cols: Sequence[str] = (),
     descending: bool = False,
     suffix: str = "_cum",
-    single_task_rows: int = 2_000_000,
-    persist: bool = True,
+    n_blocks: int | None = None,
 ) -> DataFrame:
     """Add ``<c><suffix>`` = inclusive running sum of each ``c`` in ``sum_cols``.
 
     Rows must be unique per ``partition_cols + order_cols`` (an aggregated
-    table), so the running sum is well defined without tie handling.
+    table), so the running sum is well defined without tie handling.  The
+    result does not depend on ``n_blocks``.
     """
+    spark = df.sparkSession
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     partition_cols = list(partition_cols)
     order = _order_exprs(order_cols, descending)
-    if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n_rows = df.count()
+    n_blocks = n_blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    if n_rows <= single_task_rows:
-        w = (
-            Window.partitionBy(*partition_cols)
-            .orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        return df.select("*", *[F.sum(c).over(w).alias(c + suffix) for c in sum_cols])
-
-    ensure_checkpoint_dir(df.sparkSession)
-    n_blocks = max(1, math.ceil(n_rows / single_task_rows))
+    ensure_checkpoint_dir(spark)
     range_order = [F.col(p).asc() for p in partition_cols] + order
     blocked = (
         df.repartitionByRange(n_blocks, *range_order)
@@ -88,11 +74,9 @@ def ordered_prefix(
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # ``offsets`` has one row per (block, group): at most the block count plus
-    # the group count; broadcast after a size check.
+    # at most one row per block and group
     joined = join_small(blocked, offsets, [_BLOCK, *partition_cols])
-    out = joined.select(
-        *[c for c in df.columns],
+    return joined.select(
+        *df.columns,
         *[(F.sum(c).over(w_in) + F.col(c + "_off")).alias(c + suffix) for c in sum_cols],
     )
-    return out

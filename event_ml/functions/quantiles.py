@@ -4,7 +4,7 @@ Spark's ``percentile`` keeps every distinct value of a group in one task's
 memory; for a global quantile of a continuous column that is the whole
 column.  Here the columns are unpivoted to (feature, value), reduced to
 (feature, value, count) with a partial aggregate, given running counts with
-``ordered_prefix`` (two-level prefix sum above a size bound), and the ranks
+``ordered_prefix`` (two-level prefix sum), and the ranks
 ``floor/ceil((n-1) q)`` are picked with a broadcast join against the tiny
 target table.  Linear interpolation: v_lo + (v_hi - v_lo) * frac, the same
 definition as ``quantile_cont`` / pandas ``quantile``.
@@ -71,7 +71,7 @@ def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
     probs: Sequence[float],
-    single_task_rows: int = 2_000_000,
+    n_blocks: int | None = None,
     counts: DataFrame | None = None,
 ) -> DataFrame:
     """(feature, prob, value) for every column and probability; pass
@@ -79,7 +79,7 @@ def exact_quantiles(
     spark = df.sparkSession
     counts = counts if counts is not None else value_counts(df, cols)
     ranked = ordered_prefix(
-        counts, "value", ["cnt"], partition_cols=["feature"], single_task_rows=single_task_rows
+        counts, "value", ["cnt"], partition_cols=["feature"], n_blocks=n_blocks
     ).withColumn("cnt_before", F.col("cnt_cum") - F.col("cnt"))
     totals = counts.groupBy("feature").agg(F.sum("cnt").alias("n"))
     probs_df = literal_table(spark, [(float(q),) for q in probs], "prob double")

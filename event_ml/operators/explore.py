@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from event_ml.functions.joins import join_small
+from event_ml.functions.joins import join_small, materialise
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
@@ -75,10 +75,9 @@ def density_histogram(df: DataFrame, cols: Sequence[str], label_col: str, bins:
         F.when(F.col("vmin") == F.col("vmax"), F.col("vmin") - 0.5).otherwise(F.col("vmin")).alias("lo"),
         F.when(F.col("vmin") == F.col("vmax"), F.col("vmax") + 0.5).otherwise(F.col("vmax")).alias("hi"),
     )
-    # stats has one row per (feature, class); size-checked broadcast (which
-    # also persists it for the grid below)
-    stats = stats.persist()
-    binned = join_small(long, stats, ["feature", "label"]).select(
+    # one row per (feature, class); its bytes decide whether it is broadcast
+    stats = materialise(stats, "class-ranges")
+    binned = long.join(stats, ["feature", "label"]).select(
         "feature",
         "label",
         F.least(
@@ -125,7 +124,7 @@ def with_group_value(df: DataFrame, keys: Sequence[str], agg_expr, name: str) ->
     value).  Implemented as aggregate + join instead of a window partitioned
     by the key: a window would put each group -- e.g. a class holding a
     third of all rows -- into a single task.  The aggregate is partial
-    (map-side) and the join broadcasts it after a size check
+    (map-side) and its bytes decide whether the join broadcasts it
     (``functions.joins.join_small``)."""
     agg = df.groupBy(*keys).agg(agg_expr.alias(name))
     return join_small(df, agg, list(keys), "left")
@@ -136,9 +135,11 @@ def unpivot_features(df: DataFrame, id_cols: Sequence[str], cols: Sequence[str])
     return df.unpivot(list(id_cols), list(cols), "feature_name", "value")
 
 
-def group_sums(df: DataFrame, dims: Sequence[str], measures: dict[str, str]) -> DataFrame:
-    """SUM of measures by dimensions (``{alias: column}``)."""
-    return df.groupBy(*dims).agg(*[F.sum(c).alias(a) for a, c in measures.items()])
+def group_sums(df: DataFrame, dims: Sequence[str], measures: dict[str, str], count: str | None = None) -> DataFrame:
+    """SUM of measures by dimensions (``{alias: column}``), and the number of
+    rows if ``count`` names a column for it; one aggregate."""
+    rows = [F.count(F.lit(1)).alias(count)] if count else []
+    return df.groupBy(*dims).agg(*[F.sum(c).alias(a) for a, c in measures.items()], *rows)
 
 
 def count_sum_long(df: DataFrame, dims: Sequence[str], measure: str) -> DataFrame:

@@ -138,10 +138,13 @@ def prep_pipeline(cols: Sequence[str], output_col: str = "features") -> Pipeline
     )
 
 
-def standardise_columns(df: DataFrame, cols: Sequence[str], stats_from: DataFrame | None = None) -> DataFrame:
+def standardise_columns(
+    df: DataFrame, cols: Sequence[str], stats_from: DataFrame | None = None, keep_stats: bool = False
+) -> DataFrame:
     """SQL twin of StandardScaler on plain columns: (x - mean) / stddev_samp,
     0 for a constant column.  Statistics come from ``stats_from`` (the train
-    split) and are attached with a broadcast cross join of one row."""
+    split) and are attached with a broadcast cross join of one row;
+    ``keep_stats`` leaves them as ``_mu_<c>`` and ``_sd_<c>``."""
     src = stats_from if stats_from is not None else df
     stats = src.agg(
         *[F.avg(c).alias(f"_mu_{c}") for c in cols], *[F.stddev_samp(c).alias(f"_sd_{c}") for c in cols]
@@ -153,20 +156,28 @@ def standardise_columns(df: DataFrame, cols: Sequence[str], stats_from: DataFram
         )
         for c in cols
     }
+    if keep_stats:
+        return joined.withColumns(scaled)
     return joined.withColumns(scaled).drop(*[f"_mu_{c}" for c in cols], *[f"_sd_{c}" for c in cols])
 
 
-def pca_variance(df: DataFrame, input_col: str, k: int, target: float = 0.95) -> DataFrame:
-    """(component, explained_variance, cumulative, reached_target) of PCA(k).
-    The k-row result is built from the model's vector; the running sum is a
-    window over those k rows only."""
+def fit_pca(df: DataFrame, input_col: str, k: int, target: float = 0.95):
+    """(model, its table): (component, explained_variance, cumulative,
+    reached_target) of PCA(k).  The k-row table is built from the model's
+    vector; the running sum is a window over those k rows only."""
     model = PCA(k=k, inputCol=input_col, outputCol="_pca").fit(df)
     ev = [float(x) for x in model.explainedVariance.toArray()]
     spark = df.sparkSession
     t = spark.createDataFrame([(i + 1, v) for i, v in enumerate(ev)], "component int, explained_variance double")
     w = Window.orderBy("component").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return t.select(
+    table = t.select(
         "component",
         "explained_variance",
         F.sum("explained_variance").over(w).alias("cumulative"),
     ).withColumn("reached_target", F.col("cumulative") >= F.lit(target))
+    return model, table
+
+
+def pca_variance(df: DataFrame, input_col: str, k: int, target: float = 0.95) -> DataFrame:
+    """The table of ``fit_pca``."""
+    return fit_pca(df, input_col, k, target)[1]

@@ -2,8 +2,7 @@
 
 All curves are built from ONE aggregated table with a row per distinct score
 (partial aggregation map-side), given running counts in descending score
-order with ``ordered_prefix`` (which avoids a single-task global window above
-a size bound).  Every point's predecessor is derived from its own running
+order with ``ordered_prefix`` (a two-level prefix sum, no single-task window).  Every point's predecessor is derived from its own running
 counts (``cum - this``), so no ``lag`` across block boundaries is needed.
 
 Tie handling: all rows sharing a score form one curve point, and the exact
@@ -38,18 +37,17 @@ def ranked_scores(
     score_col: str,
     label_col: str,
     group_cols: Sequence[str] = (),
-    single_task_rows: int = 2_000_000,
+    n_blocks: int | None = None,
 ) -> DataFrame:
     """Per distinct score, descending: pos, neg, tp (= pos_cum), fp (=
     neg_cum), tp_before, fp_before and class totals n_pos, n_neg."""
     group_cols = list(group_cols)
     g = score_table(pred, score_col, label_col, group_cols)
     r = ordered_prefix(
-        g, "score", ["pos", "neg"], partition_cols=group_cols, descending=True,
-        single_task_rows=single_task_rows,
+        g, "score", ["pos", "neg"], partition_cols=group_cols, descending=True, n_blocks=n_blocks
     )
     totals = g.groupBy(*group_cols).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    # one row per group: size-checked broadcast; no groups -> one row
+    # one row per group: broadcast if its bytes allow it; no groups -> one row
     joined = join_small(r, totals, group_cols) if group_cols else r.crossJoin(F.broadcast(totals))
     return joined.select(
         *group_cols,
@@ -70,19 +68,19 @@ def auc_exact(
     score_col: str,
     label_col: str,
     group_cols: Sequence[str] = (),
-    single_task_rows: int = 2_000_000,
+    n_blocks: int | None = None,
 ) -> DataFrame:
     """Exact tie-aware AUC-ROC per group:
-    sum_s pos_s * (neg below s + neg_s / 2) / (P * N), accumulated exactly
-    as a DECIMAL(38,0) numerator of 2x the count."""
-    return auc_from_ranked(ranked_scores(pred, score_col, label_col, group_cols, single_task_rows), group_cols)
+    sum_s pos_s * (neg below s + neg_s / 2) / (P * N), multiplied and
+    accumulated as DECIMAL(38,0), so no count overflows."""
+    return auc_from_ranked(ranked_scores(pred, score_col, label_col, group_cols, n_blocks), group_cols)
 
 
 def auc_from_ranked(r: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact AUC from a ``ranked_scores`` table (reuse it for other curves)."""
     group_cols = list(group_cols)
     neg_below = F.col("n_neg") - F.col("fp")
-    term = (F.col("pos") * (2 * neg_below + F.col("neg"))).cast("decimal(38,0)")
+    term = F.col("pos").cast("decimal(18,0)") * (2 * neg_below + F.col("neg")).cast("decimal(19,0)")
     agg = r.groupBy(*group_cols).agg(
         F.sum(term).alias("num2"),
         F.first("n_pos").alias("n_pos"),
@@ -172,17 +170,6 @@ def auc_pr(ranked: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     return ranked.groupBy(*group_cols).agg(F.sum(d_recall * (prec + prev_prec) / 2).alias("auc_pr"))
 
 
-def evaluator_metrics(pred: DataFrame, label_col: str = "label", raw_col: str = "rawPrediction") -> dict:
-    """MLlib's BinaryClassificationEvaluator values (binned, cross-check)."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-
-    out = {}
-    for metric in ("areaUnderROC", "areaUnderPR"):
-        ev = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol=raw_col, metricName=metric)
-        out[metric] = ev.evaluate(pred)
-    return out
-
-
 def leaderboard(metrics: DataFrame, metric_col: str, model_col: str = "model", baseline: float = 0.5) -> DataFrame:
     """Models ranked by a metric (descending) with the lift over a baseline.
     The metric table has one row per model, so the global window is tiny."""

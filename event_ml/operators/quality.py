@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from event_ml.functions.columns import is_invalid
+from event_ml.functions.columns import is_invalid, pct_half_up
+from event_ml.functions.joins import materialise
 from event_ml.functions.quantiles import exact_quantiles, moments_from_counts, value_counts
 
 
@@ -29,6 +30,11 @@ def _long(row_df: DataFrame, cols: Sequence[str], fields: dict[str, str]) -> Dat
     return out.select("feature", *[F.col(s).cast(t).alias(s) for s, t in fields.items()])
 
 
+def preview(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows in ``order``."""
+    return df.orderBy(*order).limit(n)
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -105,21 +111,11 @@ def invalid_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def label_distribution(df: DataFrame, label_col: str = "label", digits: int = 2) -> DataFrame:
-    """(label, count, pct) with pct = count / total * 100 rounded half-up.
-
-    The rounding is done in exact integer arithmetic, floor((2 c 10^(d+2) +
-    t) / 2t) / 10^d: percentages of counts often end exactly on a 5 (e.g.
-    33.345), where rounding the binary double is engine-dependent."""
+    """(label, count, pct) with pct = count / total * 100 rounded half-up."""
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("count"))
     total = F.sum("count").over(Window.partitionBy())
-    scale = 10 ** (digits + 2)
-    num = F.col("count") * F.lit(2 * scale) + total
-    pct = F.expr("_num div _den")
-    return (
-        counts.select(F.col(label_col).alias("label"), "count", num.alias("_num"), (2 * total).alias("_den"))
-        .select("label", "count", (pct / F.lit(10**digits)).alias("pct"))
-        .orderBy("label")
-    )
+    pct = pct_half_up(F.col("count"), total, digits)
+    return counts.select(F.col(label_col).alias("label"), "count", pct.alias("pct")).orderBy("label")
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int | None = 6) -> DataFrame:
@@ -154,8 +150,8 @@ def describe_quartiles(df: DataFrame, cols: Sequence[str], digits: int = 4) -> D
     """pandas-style describe: count, mean, std, min, 25%, 50%, 75%, max with
     exact linearly interpolated quartiles, rounded half-even."""
     # one pass over the input: the value-count table feeds both the moments
-    # and the quantiles (it is persisted by the running-count step)
-    counts = value_counts(df, cols).persist()
+    # and the quantiles
+    counts = materialise(value_counts(df, cols), "value-counts")
     base = moments_from_counts(counts)
     q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], counts=counts)
     qw = q.groupBy("feature").agg(
@@ -196,7 +192,7 @@ def median_fill(df: DataFrame, cols: Sequence[str], exact: bool = True) -> tuple
     median.  The medians (one row, one value per column) are attached with a
     broadcast cross join, so nothing goes through the driver and the fill
     stays one lazy plan."""
-    medians = column_medians(df, cols, exact=exact)
+    medians = materialise(column_medians(df, cols, exact=exact), "medians")
     wide = medians.agg(
         *[F.max(F.when(F.col("feature") == c, F.col("median"))).alias(f"_med_{c}") for c in cols]
     )

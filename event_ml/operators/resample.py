@@ -1,126 +1,60 @@
 """Resampling studies: stratified bootstrap CI of the AUC, stability under
 training-set perturbation, grouped mean/std.
 
-Bootstrap at scale: a stratified resample of n rows is, per class, a
-multinomial draw over that class's score histogram, so the data is reduced
-once to (score, pos, neg).  The result is exact at any number of distinct
-scores:
-
-* up to ``block_size`` distinct scores, each chunk of replicates is one
-  bounded ``applyInPandas`` group holding the histogram;
-* above it, the sorted scores are cut into contiguous blocks of at most
-  ``block_size`` scores.  A multinomial draw equals a draw of the block
-  totals followed, inside each block, by a draw over its scores given the
-  block total (multinomial conditioning).  So (A) per replicate the block
-  totals of each class are drawn from the small block table; (B) per
-  (block, replicate chunk) the in-block counts are drawn and the block's own
-  AUC term (positives x negatives below inside the block, ties 1/2) is
-  summed; (C) per replicate a prefix sum over blocks adds positives x
-  negatives of lower blocks.  Every pandas group is bounded by the block
-  size (or the block count).
-
-Random streams are keyed (seed, replicate, stage, block), so a replicate's
-value does not depend on the chunking, and a single block reproduces the
-one-level path exactly.  No row of the original table is replicated.
+Bootstrap at scale: a Poisson resample gives every row a Poisson(1) count, so
+a score with k positives gets a Poisson(k) count of them, drawn for the
+classes on their own.  The data is reduced once to (score, pos, neg) and
+range-partitioned by score; each partition streams its scores in order once,
+for all replicates together, with a running count of negatives and the AUC's
+sum per replicate.  One row per (replicate, partition) then meets a prefix sum
+over partitions that adds positives x negatives of lower partitions.
+
+The draws of a score depend on (seed, score) alone, so a replicate's value
+does not depend on the partitioning.  Memory is bounded by the number of
+replicates; no row of the table is replicated and no group is collected.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from event_ml.functions.prefix import ordered_prefix
 from event_ml.operators import metrics as m
 from event_ml.operators.splits import hash_sample
 
-# The grouped-map functions below run in Python workers; ship them by value
-# so executors need not have this package installed or on their path.
+# The map functions below run in Python workers; ship them by value so
+# executors need not have this package installed or on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _draw(rng: np.random.Generator, total: int, weights: np.ndarray) -> np.ndarray:
-    w = weights.astype(float)
-    if total <= 0 or w.sum() <= 0:
-        return np.zeros(len(w), dtype=np.int64)
-    return rng.multinomial(int(total), w / w.sum())
-
-
-def _in_block(seed: int, rep: int, block: int, p_tot: int, n_tot: int, pos: np.ndarray, neg: np.ndarray):
-    """In-block draw for one replicate: positives, then negatives."""
-    rng = np.random.default_rng([seed, rep, 1, block])
-    return _draw(rng, p_tot, pos), _draw(rng, n_tot, neg)
-
-
-def _block_term(pos_bs: np.ndarray, neg_bs: np.ndarray) -> float:
-    """sum over ascending scores of pos * (negatives below inside + ties / 2)."""
-    p, n = pos_bs.astype(float), neg_bs.astype(float)
-    return float((p * (np.cumsum(n) - n / 2.0)).sum())
-
-
-def _one_level_fn(seed: int, n_boot: int, n_chunks: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        chunk = int(pdf["chunk"].iloc[0])
-        pdf = pdf.sort_values("score", kind="stable")
-        pos = pdf["pos"].to_numpy(dtype=np.int64)
-        neg = pdf["neg"].to_numpy(dtype=np.int64)
-        P, N = int(pos.sum()), int(neg.sum())
-        reps, aucs = [], []
-        for rep in range(chunk, n_boot, n_chunks):
-            pos_bs, neg_bs = _in_block(seed, rep, 0, P, N, pos, neg)
-            reps.append(rep)
-            aucs.append(_block_term(pos_bs, neg_bs) / (P * N) if P and N else float("nan"))
-        return pd.DataFrame({"replicate": reps, "auc": aucs})
-
-    return run
-
-
-def _block_totals_fn(seed: int, n_boot: int, n_chunks: int):
-    """Stage A: per replicate, class totals of every block."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        chunk = int(pdf["chunk"].iloc[0])
-        pdf = pdf.sort_values("block")
-        blocks = pdf["block"].to_numpy(dtype=np.int64)
-        pos = pdf["pos"].to_numpy(dtype=np.int64)
-        neg = pdf["neg"].to_numpy(dtype=np.int64)
-        P, N = int(pos.sum()), int(neg.sum())
-        out = []
-        for rep in range(chunk, n_boot, n_chunks):
-            rng = np.random.default_rng([seed, rep, 0])
-            bp, bn = _draw(rng, P, pos), _draw(rng, N, neg)
-            out.append(pd.DataFrame({"replicate": rep, "block": blocks, "bpos": bp, "bneg": bn}))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame(
-            {"replicate": [], "block": [], "bpos": [], "bneg": []}
-        )
-
-    return run
-
-
-def _in_block_fn(seed: int):
-    """Stage B: one block's scores x the drawn totals of a replicate chunk."""
-
-    def run(hist: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
-        if hist.empty or totals.empty:
-            return pd.DataFrame({"replicate": [], "block": [], "term": [], "bpos": [], "bneg": []})
-        hist = hist.sort_values("score", kind="stable")
-        block = int(hist["block"].iloc[0])
-        pos = hist["pos"].to_numpy(dtype=np.int64)
-        neg = hist["neg"].to_numpy(dtype=np.int64)
-        reps, terms = [], []
-        for rep, bp, bn in zip(totals["replicate"], totals["bpos"], totals["bneg"]):
-            pos_bs, neg_bs = _in_block(seed, int(rep), block, int(bp), int(bn), pos, neg)
-            reps.append(int(rep))
-            terms.append(_block_term(pos_bs, neg_bs))
-        return pd.DataFrame(
-            {"replicate": reps, "block": block, "term": terms, "bpos": totals["bpos"].to_numpy(),
-             "bneg": totals["bneg"].to_numpy()}
-        )
+def _terms_fn(seed: int, n_boot: int):
+    """Per partition: one row a replicate with its AUC sum and class counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        term, below, above = np.zeros(n_boot), np.zeros(n_boot), np.zeros(n_boot)
+        block = None
+        for batch in batches:
+            score, pos, neg, part = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            for s, p, n, block in zip(score.view(np.uint64), pos, neg, part):
+                rng = np.random.Generator(np.random.SFC64([seed, int(s) & 0xFFFFFFFF, int(s) >> 32]))
+                if p:
+                    drawn = rng.poisson(p, n_boot)
+                    above += drawn
+                    term += drawn * below
+                if n:
+                    other = rng.poisson(n, n_boot)
+                    if p:
+                        term += drawn * (other / 2.0)
+                    below += other
+        if block is not None:
+            values = [pa.array(np.arange(n_boot)), pa.array(np.full(n_boot, block, np.int32)), pa.array(term), pa.array(above), pa.array(below)]
+            yield pa.RecordBatch.from_arrays(values, ["replicate", "block", "term", "bpos", "bneg"])
 
     return run
 
@@ -131,38 +65,18 @@ def bootstrap_auc(
     label_col: str,
     n_boot: int = 500,
     seed: int = 42,
-    block_size: int = 10_000,
-    n_chunks: int | None = None,
+    n_blocks: int | None = None,
 ) -> DataFrame:
-    """(replicate, auc) for ``n_boot`` stratified bootstrap replicates."""
-    spark = pred.sparkSession
-    chunks = n_chunks or max(1, min(n_boot, 2 * spark.sparkContext.defaultParallelism))
-    hist = m.score_table(pred, score_col, label_col).select(
-        F.col("score").cast("double").alias("score"), "pos", "neg"
-    ).persist()  # aggregate: one scan for the count and every later use
-    n_distinct = hist.count()
-    ids = spark.range(chunks).select(F.col("id").alias("chunk"))
-    if n_distinct <= block_size:
-        grid = hist.crossJoin(F.broadcast(ids))
-        return grid.groupBy("chunk").applyInPandas(_one_level_fn(seed, n_boot, chunks), "replicate long, auc double")
-
-    # contiguous blocks of <= block_size distinct scores (ascending)
-    ranked = ordered_prefix(hist.withColumn("one", F.lit(1)), "score", ["one"])
-    blocked = ranked.select("score", "pos", "neg", F.floor((F.col("one_cum") - 1) / block_size).cast("long").alias("block"))
-    blocked = blocked.persist()
-    block_tot = blocked.groupBy("block").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    totals = block_tot.crossJoin(F.broadcast(ids)).groupBy("chunk").applyInPandas(
-        _block_totals_fn(seed, n_boot, chunks), "replicate long, block long, bpos long, bneg long"
-    ).withColumn("chunk", F.col("replicate") % chunks)
-    left = blocked.crossJoin(F.broadcast(ids)).groupBy("block", "chunk")
-    right = totals.groupBy("block", "chunk")
-    terms = left.cogroup(right).applyInPandas(
-        _in_block_fn(seed), "replicate long, block long, term double, bpos long, bneg long"
-    )
-    # Stage C: one row per (replicate, block); the window per replicate holds
-    # n_blocks rows (bounded by n_distinct / block_size).
+    """(replicate, auc) for ``n_boot`` stratified bootstrap replicates (null
+    where a replicate drew no row of a class)."""
+    blocks = n_blocks or int(pred.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hist = m.score_table(pred, score_col, label_col).select(F.col("score").cast("double").alias("score"), "pos", "neg")
+    hist = hist.repartitionByRange(blocks, "score").sortWithinPartitions("score")
+    schema = "replicate long, block int, term double, bpos double, bneg double"
+    terms = hist.select("*", F.spark_partition_id().alias("part")).mapInArrow(_terms_fn(seed, n_boot), schema)
+    # one row per (replicate, partition)
     w = Window.partitionBy("replicate").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    with_lower = terms.withColumn("neg_lower", F.coalesce(F.sum("bneg").over(w), F.lit(0)))
+    with_lower = terms.withColumn("neg_lower", F.coalesce(F.sum("bneg").over(w), F.lit(0.0)))
     agg = with_lower.groupBy("replicate").agg(
         F.sum(F.col("term") + F.col("bpos") * F.col("neg_lower")).alias("num"),
         F.sum("bpos").alias("P"),

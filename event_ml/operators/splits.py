@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from event_ml.functions.columns import col, hash_u32, pct_half_up
+from event_ml.functions.columns import col, hash_u32
 
 TWO32 = 1 << 32
 
@@ -34,8 +34,14 @@ def normalised_cuts(weights: Sequence[float]) -> list[int]:
     return cuts
 
 
+def _marked(key: Column) -> Column:
+    """The key as a string; a null key is the empty one."""
+    return F.coalesce(key.cast("string"), F.lit(""))
+
+
 def key_hash(key: str | Column, salt: str = "") -> Column:
-    k = col(key).cast("string")
+    """32-bit hash of the salted key; rows with a null key hash alike."""
+    k = _marked(col(key))
     if salt:
         k = F.concat(F.lit(salt), k)
     return hash_u32(k)
@@ -88,90 +94,76 @@ def hash_sample(df: DataFrame, key: str, fraction: float, salt: str = "") -> Dat
     return df.filter(key_hash(key, salt) < F.lit(cut))
 
 
-def sample_by_class(df: DataFrame, label_col: str, fractions: dict, seed: int = 42) -> DataFrame:
-    """MLlib-style stratified Bernoulli sample (``sampleBy``)."""
-    return df.sampleBy(label_col, fractions, seed)
-
-
 def capped_fraction(n_rows: int, max_rows: int) -> float:
     """fraction = min(1, max_rows / n) of a capped sample."""
     return 1.0 if n_rows <= 0 else min(1.0, max_rows / n_rows)
 
 
+def _narrowed(df: DataFrame, value: Column, bits: int, k: int, bits_per_pass: int) -> tuple[int, int]:
+    """(v, below) of the k-th smallest ``value`` (an unsigned integer of that
+    many bits): v itself and the number of rows below it.  Each pass counts the
+    rows of at most 2^bits_per_pass bins of the range that holds the k-th."""
+    lo, below = 0, 0
+    while bits:
+        shift = max(0, bits - bits_per_pass)
+        off = value - F.lit(lo)
+        # rows outside the range have a null bin; the value is used once
+        binned = df.select(F.when(F.shiftright(off, bits) == 0, F.shiftright(off, shift)).alias("b"))
+        hist = binned.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where("b IS NOT NULL").orderBy("b").collect()
+        for b, n in hist:
+            if below + n >= k:
+                lo, bits = lo + (b << shift), shift
+                break
+            below += n
+        else:
+            raise ValueError("fewer than k rows")
+    return lo, below
+
+
 def smallest_by_hash(
     df: DataFrame,
     key: str,
     k: int | Callable[[int], int],
     salt: str = "",
-    bits_per_pass: int = 12,
-    collect_limit: int = 1_000_000,
+    bits_per_pass: int = 16,
 ) -> DataFrame:
     """Exactly ``k`` rows: those with the smallest (hash, key).
 
     Same rows as ``ORDER BY hash, key LIMIT k`` without a global sort or a
-    k-row merge in one task.  Histogram passes over the 32-bit hash narrow
-    the range holding the k-th row (each returns at most 2^bits_per_pass
-    (bin, count) rows); the first pass also yields n, so ``k`` may be a
-    function of n (``lambda n: max(1, int(n * 0.01))``).  Once the boundary
-    bin holds at most ``collect_limit`` rows, its (hash, key) pairs are
-    fetched (Arrow batches) and the exact cut (h*, key*) is found on the
-    driver; the result is the filter (hash, key) <= (h*, key*).  Uniform
-    hashes leave about n / 4096 rows in the boundary bin per pass, so one
-    histogram pass suffices below ~4e9 rows and two below ~1.6e13.
+    k-row merge in one task; a null key is an empty one.  Counts narrow the
+    32-bit hash to the value h* of the k-th row, at most 2^bits_per_pass
+    (bin, count) rows a pass; ``k`` may be a function of the number of rows.
+    Rows below h* are in; at h* the keys' counts decide, so rows are never
+    fetched.  Of several rows with the last key, those with the smallest
+    64-bit hash of all their columns are in, and of equal rows as many as are
+    still wanted.
     """
-    # Each operator below references the (md5) hash once: a filter on a
-    # derived column is pushed through the projection with the expression
-    # inlined at every use, so range tests are written as single-use
-    # expressions (shift == 0, struct comparison).
-    hashed = df.withColumn("_h", key_hash(key, salt)).withColumn("_k", col(key).cast("string"))
-    lo, width, below = 0, TWO32, 0  # search [lo, lo + width); rows below lo: below
-    n_total = None
-    while True:
-        shift = max(0, (width - 1).bit_length() - bits_per_pass)
-        width_bits = (width - 1).bit_length()  # width is a power of two
-        off = F.col("_h") - F.lit(lo)
-        in_range = F.shiftright(off, width_bits) == 0
-        binned = hashed.select(F.when(in_range, F.shiftright(off, shift)).alias("b"))
-        hist = binned.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()
-        hist = sorted((r for r in hist if r["b"] is not None), key=lambda r: r["b"])
-        if n_total is None:
-            n_total = sum(r["n"] for r in hist)
-            k = k(n_total) if callable(k) else k
-            if k <= 0:
-                return df.limit(0)
-            if k >= n_total:
-                return df
-        acc, chosen = below, None
-        for row in hist:
-            if acc + row["n"] >= k:
-                chosen = row
-                break
-            acc += row["n"]
-        lo, width, below = lo + chosen["b"] * (1 << shift), 1 << shift, acc
-        if chosen["n"] <= collect_limit:
-            break
-        if width == 1:
-            # one hash value holds more rows than may be fetched: the key is
-            # not a row key (a hot duplicate); refuse rather than collect it
-            raise ValueError(
-                f"{chosen['n']} rows share one hash of {key!r}; smallest_by_hash needs a (nearly) unique key"
-            )
-    # the boundary bin is small: fetch its (hash, key) pairs and cut exactly
-    width_bits = (width - 1).bit_length()
-    edge_rows = hashed.select(
-        F.when(F.shiftright(F.col("_h") - F.lit(lo), width_bits) == 0, F.struct("_h", "_k")).alias("e")
-    ).where(F.col("e").isNotNull())
-    pdf = edge_rows.select("e._h", "e._k").toPandas()
-    edge = sorted(zip(pdf["_h"].astype("int64").tolist(), pdf["_k"].tolist()))
-    cut_h, cut_k = edge[k - below - 1]
-    keep = F.struct("_h", "_k") <= F.struct(F.lit(cut_h).cast("long").alias("_h"), F.lit(cut_k).alias("_k"))
-    return hashed.filter(keep).drop("_h", "_k")
-
-
-def split_sizes(tagged: DataFrame, split_col: str = "split", digits: int = 1) -> DataFrame:
-    """(split, n, pct) of a tagged table (one aggregate)."""
-    from pyspark.sql import Window
-
-    counts = tagged.groupBy(split_col).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    return counts.select(split_col, "n", pct_half_up(F.col("n"), total, digits).alias("pct"))
+    n = df.count() if callable(k) else None
+    k = k(n) if callable(k) else k
+    if k <= 0:
+        return df.limit(0)
+    n = df.count() if n is None else n
+    if k >= n:
+        return df
+    hashed = df.withColumn("_h", key_hash(key, salt)).withColumn("_k", _marked(col(key)))
+    cut, below = _narrowed(hashed, F.col("_h"), 32, k, bits_per_pass)
+    sure = hashed.where(F.col("_h") < cut).select(*df.columns)
+    edge = hashed.where(F.col("_h") == cut)
+    # one row a key with this hash: about n / 2^32 of them
+    running = Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keys = edge.groupBy("_k").agg(F.count(F.lit(1)).alias("n")).select("_k", "n", F.sum("n").over(running).alias("upto"))
+    last = keys.where(F.col("upto") >= k - below).orderBy("upto").first()
+    sure = sure.unionByName(edge.where(F.col("_k") < last["_k"]).select(*df.columns))
+    wanted = k - below - (last["upto"] - last["n"])
+    same = edge.where(F.col("_k") == last["_k"]).select(*df.columns)
+    if wanted == last["n"]:
+        return sure.unionByName(same)
+    same = same.withColumn("_r", F.shiftrightunsigned(F.xxhash64(*df.columns), 1))
+    cut, below = _narrowed(same, F.col("_r"), 63, wanted, bits_per_pass)
+    equal = same.where(F.col("_r") == cut).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    # equal rows are made anew, as many as wanted
+    upto = F.sum("_n").over(Window.orderBy(F.to_json(F.struct(*df.columns))).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    take = F.greatest(F.lit(0), F.least(F.col("_n"), F.lit(wanted - below) - (F.col("_upto") - F.col("_n"))))
+    again = equal.withColumn("_upto", upto).withColumn("_take", take.cast("int"))
+    again = again.where("_take > 0").select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_take")))).select(*df.columns)
+    return sure.unionByName(same.where(F.col("_r") < cut).select(*df.columns)).unionByName(again)

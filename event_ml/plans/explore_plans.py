@@ -115,11 +115,10 @@ FROM lineitem GROUP BY l_returnflag, l_linestatus""",
 )
 def sum_by_dimension(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
-    out = x.group_sums(li, ["l_returnflag", "l_linestatus"], {"sum_qty": "l_quantity", "sum_price": "l_extendedprice"})
-    counts = li.groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n_rows"))
-    return out.join(counts, ["l_returnflag", "l_linestatus"]).select(
-        "l_returnflag", "l_linestatus", "sum_qty", F.round("sum_price", 2).alias("sum_price"), "n_rows"
+    out = x.group_sums(
+        li, ["l_returnflag", "l_linestatus"], {"sum_qty": "l_quantity", "sum_price": "l_extendedprice"}, count="n_rows"
     )
+    return out.withColumn("sum_price", F.round("sum_price", 2))
 
 
 @register(
@@ -172,9 +171,9 @@ _IMP_PARTS = _union(
     "semi_filter_model",
     sql=f"""WITH {SQL_MODEL_METRICS},
 s AS ({_IMP_PARTS}),
-imp AS (SELECT model, feature, ROUND(sd / SUM(sd) OVER (PARTITION BY model), 6) AS importance FROM s),
+imp AS (SELECT model, feature, ROUND(sd / SUM(sd) OVER (PARTITION BY model), 6) AS spread_share FROM s),
 chosen AS (SELECT model FROM mm ORDER BY avg_disc DESC, model LIMIT 1)
-SELECT model, feature, importance FROM imp WHERE model IN (SELECT model FROM chosen)""",
+SELECT model, feature, spread_share FROM imp WHERE model IN (SELECT model FROM chosen)""",
 )
 def semi_filter_model(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem").withColumn(
@@ -185,7 +184,7 @@ def semi_filter_model(spark, sf_dir):
     imp = long.select(
         "model",
         "feature",
-        F.round(F.col("sd") / F.sum("sd").over(Window.partitionBy("model")), 6).alias("importance"),
+        F.round(F.col("sd") / F.sum("sd").over(Window.partitionBy("model")), 6).alias("spread_share"),
     )
     chosen = model_metrics(spark, sf_dir).orderBy(F.col("avg_disc").desc(), F.col("model")).limit(1)
     return x.filter_by_selection(imp, chosen, "model")

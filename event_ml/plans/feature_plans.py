@@ -3,7 +3,8 @@ twin, vector serialisation, PCA variance."""
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from event_ml.functions.columns import vector_string
@@ -60,10 +61,11 @@ z AS (SELECT st.*, {_STD_Z} FROM lineitem CROSS JOIN st)
 )
 def standardise_sql(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem").select(*FEATS)
-    z = fe.standardise_columns(li, FEATS)
-    stats = li.agg(*[F.avg(c).alias(f"mu_{c}") for c in FEATS], *[F.stddev_samp(c).alias(f"sd_{c}") for c in FEATS])
-    zs = z.agg(*[F.avg(c).alias(f"zm_{c}") for c in FEATS], *[F.stddev_samp(c).alias(f"zs_{c}") for c in FEATS])
-    row = stats.crossJoin(zs)
+    z = fe.standardise_columns(li, FEATS, keep_stats=True)
+    row = z.agg(
+        *[F.first(f"_mu_{c}").alias(f"mu_{c}") for c in FEATS], *[F.first(f"_sd_{c}").alias(f"sd_{c}") for c in FEATS],
+        *[F.avg(c).alias(f"zm_{c}") for c in FEATS], *[F.stddev_samp(c).alias(f"zs_{c}") for c in FEATS],
+    )
     items = [
         F.struct(
             F.lit(c).alias("feature"),
@@ -91,9 +93,28 @@ def vector_serialise(spark, sf_dir):
     return vec.select("row_key", "label", vector_string("vec").alias("features"))
 
 
-@register("pca_variance")
+@register(
+    "pca_variance",
+    sql="""WITH e AS (SELECT unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+s AS (SELECT i, VAR_SAMP(CAST(v AS DOUBLE)) AS var FROM e GROUP BY i),
+t AS (SELECT ROUND(SUM(var), 6) AS total_variance FROM s)
+SELECT CAST(c.component AS INTEGER) AS component, t.total_variance, true AS ordered, true AS matches_projection
+FROM (SELECT unnest(range(1, 21)) AS component) c CROSS JOIN t""",
+)
 def pca_variance(spark, sf_dir):
-    """PCA(k=20) of the standardised 64-dim embeddings (rows-only)."""
-    emb = read_table(spark, sf_dir, "embeddings").select(array_to_vector("embedding").alias("raw"))
-    scaled = fe.fit_scaler(emb, "raw", "features").transform(emb)
-    return fe.pca_variance(scaled, "features", k=20, target=0.95)
+    """PCA(k=20) of the 64-dim embeddings: per component whether its share is
+    no larger than the one before, and whether share times total variance is
+    the variance of the projected column."""
+    emb = read_table(spark, sf_dir, "embeddings").select("embedding", array_to_vector("embedding").alias("raw"))
+    model, shares = fe.fit_pca(emb, "raw", k=20, target=0.95)
+    dims = len(emb.first()["embedding"])
+    totals = emb.select(*[F.col("embedding")[i].cast("double").alias(f"d{i}") for i in range(dims)])
+    total = totals.agg(sum((F.var_samp(f"d{i}") for i in range(1, dims)), F.var_samp("d0")).alias("total_variance"))
+    columns = model.transform(emb).select(*[vector_to_array("_pca")[i].alias(f"p{i}") for i in range(20)])
+    spread = columns.agg(F.array(*[F.var_samp(f"p{i}") for i in range(20)]).alias("v"))
+    spread = spread.select(F.posexplode("v").alias("i", "variance")).select((F.col("i") + 1).alias("component"), "variance")
+    before = F.lag("explained_variance").over(Window.orderBy("component"))
+    near = F.abs(F.col("explained_variance") * F.col("total_variance") - F.col("variance")) < 1e-6 * F.col("total_variance")
+    return shares.withColumn("ordered", F.coalesce(before >= F.col("explained_variance"), F.lit(True))).join(spread, "component").crossJoin(total).select(
+        "component", F.round("total_variance", 6).alias("total_variance"), "ordered", near.alias("matches_projection")
+    )

@@ -1,4 +1,4 @@
-"""Ranking-metric plans on the lineitem binding (score p, label y)."""
+"""Ranking-metric plans on the lineitem binding (score q, label y)."""
 
 from __future__ import annotations
 
@@ -11,8 +11,8 @@ from event_ml.plans.registry import register
 from event_ml.sources.tables import NUMERIC_FEATURES, SQL_EVENTS, events, read_table
 
 SQL_RANKED = f"""WITH {SQL_EVENTS},
-g AS (SELECT p AS score, CAST(SUM(y) AS BIGINT) AS pos, CAST(SUM(1 - y) AS BIGINT) AS neg
-      FROM ev GROUP BY p),
+g AS (SELECT q AS score, CAST(SUM(y) AS BIGINT) AS pos, CAST(SUM(1 - y) AS BIGINT) AS neg
+      FROM ev GROUP BY q),
 r AS (SELECT score, pos, neg,
         CAST(SUM(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS tp,
         CAST(SUM(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS fp,
@@ -23,7 +23,7 @@ rb AS (SELECT *, tp - pos AS tp_before, fp - neg AS fp_before FROM r)"""
 
 
 def ranked(spark, sf_dir):
-    return m.ranked_scores(events(spark, sf_dir), "p", "label")
+    return m.ranked_scores(events(spark, sf_dir), "q", "label")
 
 
 @register(
@@ -36,7 +36,6 @@ SELECT MAX(n_pos) AS n_pos, MAX(n_neg) AS n_neg,
        ROUND(SUM(CAST(fp - fp_before AS DOUBLE) / n_neg * (CAST(tp + tp_before AS DOUBLE) / n_pos) / 2), 10)
          AS roc_auc
 FROM rb""",
-    headline=True,
 )
 def auc_exact(spark, sf_dir):
     r = ranked(spark, sf_dir)
@@ -97,8 +96,8 @@ def auc_pr(spark, sf_dir):
 
 
 SQL_LEADERBOARD = f"""WITH {SQL_EVENTS},
-g AS (SELECT l_linenumber AS model, p AS score, CAST(SUM(y) AS BIGINT) AS pos,
-             CAST(SUM(1 - y) AS BIGINT) AS neg FROM ev GROUP BY l_linenumber, p),
+g AS (SELECT l_linenumber AS model, q AS score, CAST(SUM(y) AS BIGINT) AS pos,
+             CAST(SUM(1 - y) AS BIGINT) AS neg FROM ev GROUP BY l_linenumber, q),
 r AS (SELECT model, score, pos, neg,
         SUM(neg) OVER (PARTITION BY model ORDER BY score DESC
                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
@@ -114,7 +113,7 @@ FROM a"""
 @register("leaderboard", sql=SQL_LEADERBOARD)
 def leaderboard(spark, sf_dir):
     ev = events(spark, sf_dir).withColumnRenamed("l_linenumber", "model")
-    per_model = m.auc_exact(ev, "p", "label", group_cols=["model"])
+    per_model = m.auc_exact(ev, "q", "label", group_cols=["model"])
     return m.leaderboard(per_model, "auc", "model").withColumn("rank", F.col("rank").cast("long"))
 
 
@@ -149,22 +148,22 @@ _SD_PARTS = "\nUNION ALL\n".join(
 
 
 def importances(spark, sf_dir):
-    """Feature 'importance' binding: share of the summed standard deviations."""
+    """Each feature's share of the summed standard deviations (a ranking to take the top of)."""
     d = describe_numeric(read_table(spark, sf_dir, "lineitem"), NUMERIC_FEATURES, digits=None)
     return d.select(
         "feature",
-        F.round(F.col("stddev") / F.sum("stddev").over(Window.partitionBy()), 6).alias("importance"),
+        F.round(F.col("stddev") / F.sum("stddev").over(Window.partitionBy()), 6).alias("spread_share"),
     )
 
 
 @register(
     "topk_importance",
     sql=f"""WITH s AS ({_SD_PARTS}),
-t AS (SELECT feature, ROUND(sd / SUM(sd) OVER (), 6) AS importance FROM s)
-SELECT feature, importance, row_number() OVER (ORDER BY importance DESC, feature) AS rank
-FROM t ORDER BY importance DESC, feature LIMIT 3""",
+t AS (SELECT feature, ROUND(sd / SUM(sd) OVER (), 6) AS spread_share FROM s)
+SELECT feature, spread_share, row_number() OVER (ORDER BY spread_share DESC, feature) AS rank
+FROM t ORDER BY spread_share DESC, feature LIMIT 3""",
 )
 def topk_importance(spark, sf_dir):
-    return m.top_k(importances(spark, sf_dir), "importance", 3, tie_col="feature").withColumn(
+    return m.top_k(importances(spark, sf_dir), "spread_share", 3, tie_col="feature").withColumn(
         "rank", F.col("rank").cast("long")
     )

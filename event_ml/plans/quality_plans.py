@@ -126,25 +126,17 @@ GROUP BY m.med"""
 @register("median_fill", sql=f"WITH {SQL_DIRTY}\n" + _union(_FILL_PARTS))
 def median_fill(spark, sf_dir):
     dirty = dirty_events(spark, sf_dir, balance=True)  # explode-heavy quantiles
-    filled, medians = q.median_fill(dirty, FILL_COLS, exact=True)
-    n_filled = dirty.agg(
-        *[F.count_if(F.col(c).isNull() | F.isnan(c)).cast("long").alias(c) for c in FILL_COLS]
+    flagged = dirty.select(*FILL_COLS, *[(F.col(c).isNull() | F.isnan(c)).alias(f"gone_{c}") for c in FILL_COLS])
+    filled, medians = q.median_fill(flagged, FILL_COLS, exact=True)
+    one = filled.agg(
+        *[F.count_if(f"gone_{c}").cast("long").alias(f"n_{c}") for c in FILL_COLS],
+        *[F.round(F.sum(c), 4).alias(f"s_{c}") for c in FILL_COLS],
     )
-    sums = filled.agg(*[F.round(F.sum(c), 4).alias(c) for c in FILL_COLS])
     items = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.col(f"n.{c}").alias("n_filled"),
-            F.col(f"s.{c}").alias("filled_sum"),
-        )
+        F.struct(F.lit(c).alias("feature"), F.col(f"n_{c}").alias("n_filled"), F.col(f"s_{c}").alias("filled_sum"))
         for c in FILL_COLS
     ]
-    stats = (
-        n_filled.alias("n")
-        .crossJoin(sums.alias("s"))
-        .select(F.explode(F.array(*items)).alias("t"))
-        .select("t.*")
-    )
+    stats = one.select(F.explode(F.array(*items)).alias("t")).select("t.*")
     return medians.join(F.broadcast(stats), "feature").select("feature", "median", "n_filled", "filled_sum")
 
 

@@ -16,18 +16,15 @@ PlanFn = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, PlanFn] = {}
 _ORACLE: dict[str, str] = {}
-_HEADLINE: list[str] = []
 
 
-def register(name: str, sql: str | None = None, headline: bool = False) -> Callable[[PlanFn], PlanFn]:
+def register(name: str, sql: str | None = None) -> Callable[[PlanFn], PlanFn]:
     def deco(fn: PlanFn) -> PlanFn:
         if name in _QUERIES:
             raise ValueError(f"duplicate plan {name}")
         _QUERIES[name] = fn
         if sql is not None:
             _ORACLE[name] = sql
-        if headline:
-            _HEADLINE.append(name)
         return fn
 
     return deco
@@ -43,19 +40,14 @@ def oracle_sql() -> dict[str, str]:
     return dict(_ORACLE)
 
 
-def headline() -> list[str]:
-    _load_all()
-    return list(_HEADLINE)
-
-
 def _load_all() -> None:
     # importing the modules registers their plans
     from event_ml.plans import (  # noqa: F401
         explore_plans,
         feature_plans,
-        jobmetric_plans,
         metric_plans,
         model_plans,
+        pipeline_plans,
         quality_plans,
         sink_plans,
         split_plans,

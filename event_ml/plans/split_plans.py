@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from event_ml.functions.columns import hash_u32, pct_half_up
 from event_ml.operators import splits as sp
 from event_ml.plans.registry import register
+from event_ml.sinks.writers import scratch_path, write_csv
 from event_ml.sources.tables import NUMERIC_FEATURES, SQL_EVENTS, events, sql_hash_u32
 
 FP_MOD = 1000003  # key fingerprint modulus
@@ -101,13 +102,26 @@ def capped_sample(spark, sf_dir):
     return s.agg(F.count(F.lit(1)).alias("n"), _fingerprint())
 
 
+_BI = ["row_key", "label", *NUMERIC_FEATURES]
+
+
+@register("bi_sample", sql=f"WITH {SQL_EVENTS}\nSELECT {', '.join(_BI)} FROM ev")
+def bi_sample(spark, sf_dir):
+    """The export for a BI tool: all rows as header CSV, read back."""
+    path = write_csv(events(spark, sf_dir).select(*_BI), scratch_path(spark, "bi-export"))
+    schema = "row_key string, label double, " + ", ".join(f"{c} double" for c in NUMERIC_FEATURES)
+    return spark.read.schema(schema).option("header", "true").csv(path)
+
+
 @register(
-    "bi_sample",
+    "capped_fraction",
     sql=f"""WITH {SQL_EVENTS},
-r AS (SELECT *, row_number() OVER (ORDER BY {sql_hash_u32("'bi42' || row_key")}, row_key) AS rn FROM ev)
-SELECT row_key, label, {", ".join(NUMERIC_FEATURES)} FROM r WHERE rn <= 50000""",
+f AS (SELECT CAST(ROUND(LEAST(1.0, 20000.0 / COUNT(*)) * {sp.TWO32}) AS BIGINT) AS cut FROM ev)
+SELECT COUNT(*) AS n, {_sql_fp()} FROM ev, f WHERE {sql_hash_u32("'cap42' || row_key")} < f.cut""",
 )
-def bi_sample(spark, sf_dir):
-    """Deterministic 50,000-row extract for a BI tool (exact size)."""
-    ev = events(spark, sf_dir).select("row_key", "label", *NUMERIC_FEATURES)
-    return sp.smallest_by_hash(ev, "row_key", 50000, salt="bi42")
+def capped_fraction(spark, sf_dir):
+    """A sample of about 20,000 rows, or all: min(1, 20000 / n) of them."""
+    ev = events(spark, sf_dir)
+    return sp.hash_sample(ev, "row_key", sp.capped_fraction(ev.count(), 20_000), salt="cap42").agg(
+        F.count(F.lit(1)).alias("n"), _fingerprint()
+    )

@@ -35,7 +35,7 @@ curve AS (
 SQL_OPT = "opt AS (SELECT * FROM curve ORDER BY cost, threshold LIMIT 1)"
 
 
-@register("cost_curve", sql=SQL_CURVE + "\nSELECT * FROM curve", headline=True)
+@register("cost_curve", sql=SQL_CURVE + "\nSELECT * FROM curve")
 def cost_curve(spark, sf_dir):
     return curve(spark, sf_dir)
 
@@ -43,7 +43,6 @@ def cost_curve(spark, sf_dir):
 @register(
     "cost_optimum",
     sql=SQL_CURVE + f",\n{SQL_OPT}\nSELECT threshold, tp, fp, tn, fn, cost FROM opt",
-    headline=True,
 )
 def cost_optimum(spark, sf_dir):
     return th.cost_optimum(curve(spark, sf_dir))

@@ -104,7 +104,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a fresh scratch folder is made.
+    is.  Only a local master may leave it unset; a fresh scratch folder is
+    made then.  Executors elsewhere could not see such a folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -114,6 +115,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="event_ml-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

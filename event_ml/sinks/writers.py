@@ -54,9 +54,21 @@ def write_result_table(df: DataFrame, path: str, fmt: str = "csv") -> str:
     return path
 
 
-def write_vectors_csv(df: DataFrame, path: str, vec_col: str = "features", label_col: str = "label") -> str:
+def taken(summary: DataFrame, *paths: str) -> DataFrame:
+    """A small summary of written tables, computed now; the tables are deleted."""
+    spark = summary.sparkSession
+    rows = summary.collect()
+    for path in paths:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return spark.createDataFrame(rows, summary.schema)
+
+
+def write_vectors_csv(
+    df: DataFrame, path: str, vec_col: str = "features", label_col: str = "label", keep: Sequence[str] = ()
+) -> str:
     """Split sink with the vector as one comma-joined '%.6f' string."""
-    out = df.select(F.col(label_col), vector_string(vec_col).alias(vec_col))
+    out = df.select(*keep, F.col(label_col), vector_string(vec_col).alias(vec_col))
     return write_csv(out, path)
 
 
@@ -78,8 +90,3 @@ def readback_check(
         F.lit(n_cols).alias("n_cols"),
         ((F.col("n_rows") == expected_rows) & F.lit(n_cols == expected_cols)).alias("matches"),
     )
-
-
-def save_model(model, path: str) -> str:
-    model.write().overwrite().save(path)
-    return path

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,31 +12,6 @@ from pyspark.sql import types as T
 from event_ml.schema import CORRUPT_COLUMN, with_corrupt_column
 
 
-def read_csv_declared(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    header: bool = False,
-) -> DataFrame:
-    """Declared-schema CSV scan in PERMISSIVE mode.
-
-    Malformed rows (short, long, unparsable values) keep their raw text in
-    ``_corrupt_record`` instead of being silently dropped: DROPMALFORMED
-    combined with CSV column pruning gives different row counts for
-    ``count()`` and ``collect()`` on the same file.  The result is persisted
-    once (Spark forbids queries that reference only the corrupt column of an
-    unmaterialised CSV scan).
-    """
-    df = (
-        spark.read.schema(with_corrupt_column(schema))
-        .option("header", str(header).lower())
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .csv(path)
-    )
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 MALFORMED_FLAG = "_malformed"
 
 
@@ -71,7 +45,7 @@ def ingest_csv(
 
 def ingest_report(ingested: DataFrame) -> DataFrame:
     """(n_rows, n_good, n_malformed) of an ``ingest_csv`` table."""
-    bad = F.col(MALFORMED_FLAG)
+    bad = F.col(MALFORMED_FLAG).cast("boolean")
     return ingested.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(~bad).cast("bigint").alias("n_good"),
@@ -80,22 +54,12 @@ def ingest_report(ingested: DataFrame) -> DataFrame:
 
 
 def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows without the corrupt column, malformed raw lines)."""
-    good = df.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
-    bad = df.filter(F.col(CORRUPT_COLUMN).isNotNull()).select(CORRUPT_COLUMN)
+    """(good rows, malformed raw lines) of an ``ingest_csv`` table."""
+    good = df.filter(~F.col(MALFORMED_FLAG).cast("boolean")).drop(CORRUPT_COLUMN, MALFORMED_FLAG)
+    bad = df.filter(F.col(MALFORMED_FLAG).cast("boolean")).select(CORRUPT_COLUMN)
     return good, bad
 
 
-def malformed_report(df: DataFrame) -> DataFrame:
-    """One row: (n_rows, n_good, n_malformed) in a single pass."""
-    bad = F.col(CORRUPT_COLUMN).isNotNull()
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(~bad).cast("bigint").alias("n_good"),
-        F.count_if(bad).cast("bigint").alias("n_malformed"),
-    )
-
-
 def read_csv_inferred(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """Header + inferred types (an extra pass over the file; prefer declared)."""
     return spark.read.option("header", str(header).lower()).option("inferSchema", "true").csv(path)

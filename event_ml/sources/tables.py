@@ -7,6 +7,7 @@ lineitem plays the labelled event table:
   features l_quantity, l_extendedprice, l_discount, l_tax
   score    p = least(10000, round(l_quantity*100 + l_discount*50000)) in 100..10000,
            probability = p / 10000
+  fine score q = the price in cents (nearly one value per row), for ranking
 Every binding below is a projection, so Catalyst prunes the scan to the
 columns a query uses and pushes its filters into the parquet reader.
 """
@@ -24,39 +25,14 @@ TABLES = (
 NUMERIC_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-BALANCE_MIN_BYTES = 4 * 1024 * 1024
-
-
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of a path on any Hadoop file system (no data read)."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(jpath).getLength())
-
-
-def balance_input(df: DataFrame, size_bytes: int, min_bytes: int = BALANCE_MIN_BYTES) -> DataFrame:
-    """Input-split guard.  A parquet row group is the smallest unit a scan can
-    split, so a large file written as one row group is read by ONE task and
-    every narrow operator above it runs single-threaded.  When the scan has
-    fewer splits than the cluster has cores and the input is not tiny, the
-    rows are spread once with a round-robin repartition.  On a real data
-    lake (many files / row groups) the scan already has more splits than
-    cores and this is a no-op."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if size_bytes < min_bytes or df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
-    """Parquet table.  ``balance`` applies the input-split guard; it pays
-    off before iterative work on cached data (model fits), not before a
-    single scan + partial aggregate, where the extra exchange costs more
-    than the parallel scan saves."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    return balance_input(df, input_bytes(spark, path)) if balance else df
+    """Parquet table.  ``balance`` spreads the rows over all cores with one
+    round-robin exchange: a caller's choice, for input whose files have fewer
+    row groups than the cluster has cores (a row group is the smallest unit
+    that a scan can split).  It pays off before iterative work, not before a
+    single scan + partial aggregate."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df.repartition(spark.sparkContext.defaultParallelism) if balance else df
 
 
 def lineitem_key() -> Column:
@@ -89,6 +65,7 @@ def events(spark: SparkSession, sf_dir: str, balance: bool = False) -> DataFrame
         "l_suppkey",
         "l_orderkey",
         lineitem_score().alias("p"),
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("q"),
     )
 
 
@@ -126,6 +103,27 @@ def dirty_events(spark: SparkSession, sf_dir: str, balance: bool = False) -> Dat
     )
 
 
+DOC_FEATURES = ["n_words", "n_symbols", "n_capitals", "n_lines", "n_distinct_words", "n_chars"]
+
+
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents with a quality label: (row_key, label, six counts of the text).
+    The label follows from the text, so models can learn it."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    words = F.split("text", " ")
+    return docs.join(lab, "doc_id").select(
+        F.col("doc_id").cast("string").alias("row_key"),
+        "label",
+        F.size(words).cast("double").alias("n_words"),
+        F.regexp_count("text", F.lit("[0-9|#{}<>]")).cast("double").alias("n_symbols"),
+        F.regexp_count("text", F.lit("[A-Z]")).cast("double").alias("n_capitals"),
+        F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
+        F.size(F.array_distinct(words)).cast("double").alias("n_distinct_words"),
+        F.length("text").cast("double").alias("n_chars"),
+    )
+
+
 # SQL twins of the bindings, for the DuckDB oracle strings.
 SQL_KEY = (
     "concat_ws(':', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), "
@@ -139,7 +137,7 @@ SQL_EVENTS = f"""ev AS (
          CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS DOUBLE) AS label,
          l_quantity, l_extendedprice, l_discount, l_tax, l_linenumber,
          l_returnflag, l_linestatus, l_suppkey, l_orderkey,
-         {SQL_SCORE} AS p
+         {SQL_SCORE} AS p, CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS q
   FROM lineitem)"""
 SQL_DIRTY = f"""dirty AS (
   SELECT {SQL_KEY} AS row_key,

@@ -108,6 +108,26 @@ def test_smallest_by_hash_equals_sort_limit(events):
     assert sp.smallest_by_hash(events, "key", 5000, salt="q").count() == 1000
 
 
+def test_smallest_by_hash_of_equal_and_null_keys(spark):
+    rows = [("hot", i % 7) for i in range(300)] + [(None, i) for i in range(5)] + [("a", 1), ("a", 1), ("b", 2)]
+    df = spark.createDataFrame(rows, "key string, v int")
+    for k in (1, 3, 10, 290, 307):
+        for bits in (16, 5):
+            got = sp.smallest_by_hash(df, "key", k, bits_per_pass=bits)
+            kept = [tuple(r) for r in got.collect()]
+            assert len(kept) == k and got.columns == ["key", "v"]
+            assert all(kept.count(r) <= rows.count(r) for r in kept)
+    h = {r["key"]: r["h"] for r in df.select("key", sp.key_hash("key").alias("h")).collect()}
+    first = min(h, key=lambda x: (h[x], x or ""))
+    assert {r["key"] for r in sp.smallest_by_hash(df, "key", 1).collect()} == {first}
+
+
+def test_null_keys_fall_into_one_split_by_their_hash(spark):
+    df = spark.createDataFrame([(None,)] * 8 + [("",)] * 2, "key string")
+    assert sp.with_split(df, "key", ["a", "b"], [0.5, 0.5]).select("split").distinct().count() == 1
+    assert sp.hash_sample(df, "key", 1.0).count() == 10
+
+
 def test_hash_sample_fraction(events):
     n = sp.hash_sample(events, "key", 0.3, salt="z").count()
     assert 230 < n < 370

@@ -6,14 +6,20 @@ from event_ml.functions.columns import count_at_least, literal_table, pct_half_u
 from event_ml.functions.joins import join_small
 
 
-def test_join_small_both_paths_agree(spark):
+def test_join_small_leaves_the_choice_to_the_planner(spark):
     big = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     small = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    a = sorted(tuple(r) for r in join_small(big, small, "k").collect())  # broadcast
-    b = sorted(tuple(r) for r in join_small(big, small, "k", max_rows=1).collect())  # shuffle join
-    assert a == b and len(a) == 1000
-    plan_b = join_small(big, small, "k", max_rows=1)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" not in plan_b or "AdaptiveSparkPlan" in plan_b
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    a = join_small(big, small, "k")
+    assert "BroadcastHashJoin" in plan(a)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = join_small(big, small, "k")
+        assert "SortMergeJoin" in plan(b)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+        assert b.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_literal_table_types_and_specials(spark):
@@ -36,6 +42,9 @@ def test_count_at_least_name_and_column_forms(spark):
 
 
 def test_pct_half_up_exact(spark):
-    df = spark.createDataFrame([(1, 3), (2, 3), (6669, 20000), (1, 8)], "c long, t long")
+    rows = [(1, 3), (2, 3), (6669, 20000), (1, 8), (1_082_001, 40_000_037), (5 * 10**17, 10**18)]
+    rows += [(k, t) for t in (40_000_037, 400_000_003, 10**12 + 39) for p in (271, 3333, 9999) for k in range(t * p // 10000 - 3, t * p // 10000 + 4)]
+    df = spark.createDataFrame(rows, "c long, t long")
     got = [r[0] for r in df.select(pct_half_up("c", "t", 2)).collect()]
-    assert got == [33.33, 66.67, 33.35, 12.5]
+    assert got == [(20000 * c + t) // (2 * t) / 100 for c, t in rows]
+    assert got[:5] == [33.33, 66.67, 33.35, 12.5, 2.7]

@@ -82,24 +82,39 @@ def test_roc_monotone_and_endpoints(tied):
     assert any(r["threshold"] is None and r["precision"] == 1.0 and r["recall"] == 0.0 for r in pr)
 
 
-def test_two_level_prefix_equals_single_window(spark):
+def test_prefix_does_not_depend_on_blocks(spark):
     rng = random.Random(9)
     rows = [(g, i, rng.randint(0, 5)) for g in ("a", "b") for i in range(400)]
     df = spark.createDataFrame(rows, "g string, k long, v long")
-    small = ordered_prefix(df, "k", ["v"], ["g"], descending=True)
-    big = ordered_prefix(df, "k", ["v"], ["g"], descending=True, single_task_rows=37)
+    small = ordered_prefix(df, "k", ["v"], ["g"], descending=True, n_blocks=1)
+    big = ordered_prefix(df, "k", ["v"], ["g"], descending=True, n_blocks=11)
     a = sorted((r["g"], r["k"], r["v_cum"]) for r in small.collect())
     b = sorted((r["g"], r["k"], r["v_cum"]) for r in big.collect())
     assert a == b
 
 
-def test_large_path_auc_equals_small_path(tied):
+def test_auc_does_not_depend_on_blocks(tied):
     rows, df = tied
-    a = m.auc_exact(df, "score", "label").collect()[0]["auc"]
-    b = m.auc_exact(df, "score", "label", single_task_rows=5).collect()[0]["auc"]
+    a = m.auc_exact(df, "score", "label", n_blocks=1).collect()[0]["auc"]
+    b = m.auc_exact(df, "score", "label", n_blocks=9).collect()[0]["auc"]
     assert a == b
 
 
+def test_auc_of_billions_of_rows(spark):
+    """Counts whose products don't fit a long."""
+    n = 6 * 10**9
+    ranked = spark.createDataFrame(
+        [(2.0, n, 0, n, 0, n, n), (1.0, 0, n, n, n, n, n)], "score double, pos long, neg long, tp long, fp long, n_pos long, n_neg long"
+    )
+    assert m.auc_from_ranked(ranked).first()["auc"] == 1.0
+
+
+def test_no_table_stays_persisted(spark, tied):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    m.auc_exact(tied[1], "score", "label").collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
 def test_grouped_auc_and_leaderboard(spark):
     rng = random.Random(2)
     rows = [(g, float(rng.randint(0, 1)), rng.random()) for g in (1, 2, 3) for _ in range(100)]

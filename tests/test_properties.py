@@ -26,7 +26,7 @@ def brute_auc(rows):
 @given(rows=rows_strategy)
 def test_auc_matches_brute_force(spark, rows):
     df = spark.createDataFrame([(float(y), float(s)) for y, s in rows], "label double, score double")
-    got = m.auc_exact(df, "score", "label", single_task_rows=3).collect()[0]["auc"]
+    got = m.auc_exact(df, "score", "label", n_blocks=3).collect()[0]["auc"]
     assert abs(got - brute_auc(rows)) < 1e-12
 
 

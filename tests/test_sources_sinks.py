@@ -26,17 +26,13 @@ def test_permissive_csv_keeps_malformed_rows(spark, scratch):
     lines = [good, good, ",".join(["0"] + ["1.0"] * 27), good + ",9.9", ",".join(["1", "abc"] + ["0.1"] * 27)]
     with open(path, "w") as fh:
         fh.write("\n".join(lines) + "\n")
-    df = fs.read_csv_declared(spark, path, sc.event_schema())
-    rep = fs.malformed_report(df).collect()[0]
-    assert (rep["n_rows"], rep["n_good"], rep["n_malformed"]) == (5, 2, 3)
-    good_df, bad_df = fs.split_malformed(df)
-    assert good_df.count() == 2 and bad_df.count() == 3
-    assert sc.CORRUPT_COLUMN not in good_df.columns
     # one-pass ingest to parquet partitioned by the malformed flag
     ing = fs.ingest_csv(spark, path, sc.event_schema(), os.path.join(scratch, "ingested"))
     rep2 = fs.ingest_report(ing).collect()[0]
     assert (rep2["n_rows"], rep2["n_good"], rep2["n_malformed"]) == (5, 2, 3)
-    assert ing.filter("_malformed = false").select("label").count() == 2
+    good_df, bad_df = fs.split_malformed(ing)
+    assert good_df.count() == 2 and sorted(r[0] for r in bad_df.collect()) == sorted(lines[2:])
+    assert sc.CORRUPT_COLUMN not in good_df.columns
 
 
 def test_inferred_and_positional_csv(spark, scratch):
@@ -99,6 +95,20 @@ def test_config_file_loads(scratch):
         assert key in cfg
 
 
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from event_ml.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, getConf=lambda: conf)
+        with pytest.raises(ValueError, match="share"):
+            ensure_checkpoint_dir(SimpleNamespace(sparkContext=context, conf=conf))
+
+
 def test_build_session_reuses_and_sets_checkpoint(spark):
     s = build_session({"shuffle_partitions": 8})
     assert s.sparkContext.getCheckpointDir()
