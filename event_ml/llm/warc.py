@@ -144,13 +144,17 @@ def parsed(content: bytes) -> tuple[int | None, int, str, str, int | None]:
     return page(own["warc-record-id"]), int(size), digest, kind, page(own["warc-refers-to"])
 
 
-def trained_dictionary(pages: DataFrame, html_col: str, rows: int = 200, chars: int = 16384, size: int = 32768) -> bytes:
+def trained_dictionary(pages: DataFrame, id_col: str, html_col: str, rows: int = 200, chars: int = 16384, size: int = 32768) -> bytes:
     """A dictionary from the beginnings of ``rows`` pages, chosen by hash; empty if there is too little.
 
-    It only makes frames smaller; what they hold doesn't depend on it.
+    It only makes frames smaller; what they hold doesn't depend on it.  The
+    hashes are ranked first, so tasks send texts of chosen pages alone.
     """
-    some = pages.select(F.substring(html_col, 1, chars).alias("t")).where("length(t) > 0")
-    got = [r[0].encode("utf-8", "replace") for r in some.orderBy(F.xxhash64("t"), "t").limit(rows).collect()]
+    some = pages.select(F.substring(html_col, 1, chars).alias("t"), F.xxhash64(id_col, html_col).alias("h")).where("length(t) > 0")
+    last = some.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    if last is None:
+        return b""
+    got = [r[0].encode("utf-8", "replace") for r in some.where(F.col("h") <= last).orderBy("h", "t").limit(rows).collect()]
     try:
         return zstandard.train_dictionary(size, got).as_bytes() if len(got) >= 8 else b""
     except zstandard.ZstdError:
@@ -183,7 +187,7 @@ def write_archives(
     A null html is an empty payload.  Rows that share the smallest id of their
     payload are all responses, and a null id is larger than any.
     """
-    dictionary = trained_dictionary(pages, html_col)
+    dictionary = trained_dictionary(pages, id_col, html_col)
     rows = with_records(pages, id_col, url_col, html_col, min_revisit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
