@@ -165,7 +165,9 @@ def fit(
                 own = own[np.unique(np.linspace(0, len(own) - 1, windows_per_row).astype(int))]
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own)), pa.array([w.tobytes() for w in own], pa.binary())], ["lang", "bytes"])
 
-    sample = map_batches(chosen, cut, "lang string, bytes binary").orderBy("bytes", "lang").toArrow()
+    # rows that share an id are chosen together, so the bound is kept here as well
+    most = 2 * rows_per_language * windows_per_row * len(counts)
+    sample = map_batches(chosen, cut, "lang string, bytes binary").orderBy("bytes", "lang").limit(most).toArrow()
     languages = sorted(counts)
     windows = np.frombuffer(b"".join(sample.column("bytes").to_pylist()), np.uint8).reshape(-1, WINDOW)
     labels = np.array([languages.index(x) for x in sample.column("lang").to_pylist()])
