@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from event_ml.functions.columns import is_invalid, pct_half_up
+from event_ml.functions.columns import is_invalid, nan_to_null, pct_half_up
 from event_ml.functions.joins import materialise
-from event_ml.functions.quantiles import exact_quantiles, moments_from_counts, value_counts
+from event_ml.functions.quantiles import exact_quantiles
 
 
 def _long(row_df: DataFrame, cols: Sequence[str], fields: dict[str, str]) -> DataFrame:
@@ -149,11 +149,9 @@ def describe_numeric(df: DataFrame, cols: Sequence[str], digits: int | None = 6)
 def describe_quartiles(df: DataFrame, cols: Sequence[str], digits: int = 4) -> DataFrame:
     """pandas-style describe: count, mean, std, min, 25%, 50%, 75%, max with
     exact linearly interpolated quartiles, rounded half-even."""
-    # one pass over the input: the value-count table feeds both the moments
-    # and the quantiles
-    counts = materialise(value_counts(df, cols), "value-counts")
-    base = moments_from_counts(counts)
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], counts=counts)
+    clean = df.select(*[nan_to_null(c).alias(c) for c in cols])
+    base = describe_numeric(clean, cols, digits=None)
+    q = exact_quantiles(clean, cols, [0.25, 0.5, 0.75])
     qw = q.groupBy("feature").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in
           ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]

@@ -56,25 +56,13 @@ def test_exact_quantiles_match_numpy(spark):
     vals = [rng.randint(0, 50) / 7 for _ in range(999)]
     df = spark.createDataFrame([(v, v * 2) for v in vals], "u double, v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    for single in (2_000_000, 7):  # one window, and the two-level path
-        got = {(r["feature"], r["prob"]): r["value"] for r in exact_quantiles(df, ["u", "v"], probs, single).collect()}
+    for accuracy, blocks in ((1000, 1), (20, 7), (90, 3)):  # whole ranges, and sketched brackets
+        got = {(r["feature"], r["prob"]): r["value"] for r in exact_quantiles(df, ["u", "v"], probs, accuracy, blocks).collect()}
         for p in probs:
             assert got[("u", p)] == pytest.approx(np.quantile(vals, p), abs=1e-12)
             assert got[("v", p)] == pytest.approx(np.quantile([2 * v for v in vals], p), abs=1e-12)
 
 
-def test_moments_from_counts_match_numpy(spark):
-    from event_ml.functions.quantiles import moments_from_counts, value_counts
-
-    rng = np.random.default_rng(1)
-    vals = np.round(rng.normal(1e6, 3.0, 2000), 2)  # large mean, small spread
-    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    r = moments_from_counts(value_counts(df, ["x"])).collect()[0]
-    assert r["count"] == 2000 and r["min"] == vals.min() and r["max"] == vals.max()
-    assert r["mean"] == pytest.approx(vals.mean(), rel=1e-12)
-    assert r["stddev"] == pytest.approx(vals.std(ddof=1), rel=1e-9)
-
-
 def test_label_distribution_half_up(spark):
     df = spark.createDataFrame([(1.0,)] * 2 + [(0.0,)] * 1, "label double")
     rows = {r["label"]: r for r in q.label_distribution(df).collect()}
