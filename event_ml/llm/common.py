@@ -50,6 +50,18 @@ def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+_KEPT: dict = {}
+
+
+def kept_in_worker(kind, make: Callable):
+    """``make()``'s value, kept by a Python worker from task to task until it
+    needs a value of another ``kind``: only one is in memory."""
+    if kind not in _KEPT:
+        _KEPT.clear()
+        _KEPT[kind] = make()
+    return _KEPT[kind]
+
+
 def open_store(uri: str):
     """(filesystem, path) of a file URI; Spark's ``file:/x`` form is accepted."""
     from pyarrow import fs

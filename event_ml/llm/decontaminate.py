@@ -19,7 +19,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from event_ml.llm.common import map_batches, staged, table
+from event_ml.llm.common import kept_in_worker, map_batches, staged, table
 from event_ml.llm.simhash import row_key
 
 #: Words read under 1; each mask reads six.
@@ -39,23 +38,18 @@ _WORD = re.compile(r"\w+")
 
 
 class _Ids(dict):
-    """Word to 32-bit id; forgets all when it has a million words."""
+    """Word to 32-bit id; forgets all when it has 300,000 words."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= 300_000:
             self.clear()
         self[word] = own = xxhash.xxh32_intdigest(word.encode("utf-8", "replace"), 42)
         return own
 
 
-@lru_cache(maxsize=1)
-def _ids() -> _Ids:
-    return _Ids()
-
-
 def word_ids(text: str | None) -> np.ndarray:
     words = _WORD.findall((text or "").lower())
-    return np.fromiter(map(_ids().__getitem__, words), np.uint32, len(words))
+    return np.fromiter(map(kept_in_worker("word ids", _Ids).__getitem__, words), np.uint32, len(words))
 
 
 def window_hashes(ids: np.ndarray, mask: str) -> np.ndarray:

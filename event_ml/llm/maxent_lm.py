@@ -31,14 +31,13 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from event_ml.llm.common import map_batches, staged, table
+from event_ml.llm.common import kept_in_worker, map_batches, staged, table
 
 CLASSES = 48
 END = CLASSES - 1
@@ -52,20 +51,15 @@ def word_class(word: bytes) -> int:
 
 
 class _Codes(dict):
-    """Word to its class and 32-bit hash; forgets all when it has half a million words."""
+    """Word to its class and 32-bit hash; forgets all when it has 300,000 words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 300_000:
             self.clear()
         self[word] = code = word_class(word) << 32 | zlib.crc32(word) | 1
         return code
 
 
-@lru_cache(maxsize=1)
-def _codes() -> _Codes:
-    return _Codes()
-
-
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
@@ -73,7 +67,7 @@ def words_of(text: str | None) -> list[bytes]:
 def targets(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(features, classes, starts): a row of feature buckets and a class for
     every token of ``docs``, ends included, and where each document begins."""
-    known = _codes().__getitem__
+    known = kept_in_worker("word codes", _Codes).__getitem__
     lengths = np.array([len(d) for d in docs])
     # three zeros before each document and after the last: no history crosses
     codes = np.zeros(int(lengths.sum()) + 3 * (len(docs) + 1), np.int64)
@@ -178,7 +172,7 @@ def learn(docs: DataFrame, weights: np.ndarray, rate: float, stride: int) -> Dat
                     taken = place % stride == np.repeat([p % stride for _, p in own], [len(w) + 1 for w, _ in own])
                     if taken.any():
                         trainer.add(features[:, taken], classes[taken])
-                if len(counts[0]) + len(counts[1]) > 400_000:
+                if len(counts[0]) + len(counts[1]) > 300_000:
                     yield counted()
         trainer.step()
         if counts[0] or counts[1]:

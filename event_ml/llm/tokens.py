@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Sequence
-from functools import lru_cache
 
 import numpy as np
 
+from event_ml.llm.common import kept_in_worker
+
 
 def default_vocabulary() -> str:
     import public_tokenizers
@@ -25,7 +26,7 @@ class ChunkEncoder:
     Strings that look like special tokens are ordinary text.
     """
 
-    def __init__(self, vocabulary: str, dtype: str = "<u4", max_entries: int = 500_000):
+    def __init__(self, vocabulary: str, dtype: str = "<u4", max_entries: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -53,7 +54,6 @@ class ChunkEncoder:
 
 
 
-@lru_cache(maxsize=2)
 def encoder(vocabulary: str, dtype: str = "<u4") -> ChunkEncoder:
-    """A Python worker's encoder, kept from task to task."""
-    return ChunkEncoder(vocabulary, dtype)
+    """The Python worker's encoder."""
+    return kept_in_worker(("encoder", vocabulary, dtype), lambda: ChunkEncoder(vocabulary, dtype))
