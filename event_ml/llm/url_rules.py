@@ -121,14 +121,15 @@ def judge(
     rows = rows.select("*", fitting_rule(F.col("host"), F.col("path"), rules).alias("given"), tokens(F.col("host"), F.col("path")).alias("tokens"))
     rows = staged(rows, "url-tokens")
     labelled = rows.where("given IS NOT NULL").select("tokens", F.col("given.verdict").alias("verdict"))
-    out = rows.select("page_id", "host", "path", "given", F.when(F.col("given").isNull(), F.col("tokens")).alias("tokens"))
+    rest = rows.where("given IS NULL")
     if labelled.isEmpty():
         mined = rows.sparkSession.createDataFrame([], "tokens array<string>, mined struct<confidence: double, support: double, size: int, name: string, verdict: string>")
     else:
         counts = labelled.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-        sets = out.where("tokens IS NOT NULL").select("tokens").distinct()
-        mined = judged_by_rules(sets, mined_rules(labelled, min_support, min_confidence, max_tokens), counts)
-    return out.join(mined, "tokens", "left").select(
+        mined = judged_by_rules(rest.select("tokens").distinct(), mined_rules(labelled, min_support, min_confidence, max_tokens), counts)
+    # rows that a given rule judged take no part in the join
+    out = rest.join(mined, "tokens", "left").unionByName(rows.where("given IS NOT NULL"), allowMissingColumns=True)
+    return out.select(
         "page_id", "host", "path", F.col("given.rule").alias("rule"), F.coalesce("given.verdict", "mined.verdict", F.lit(default)).alias("verdict"),
         F.col("mined.name").alias("mined_rule"), F.col("mined.confidence").alias("confidence"),
     )
