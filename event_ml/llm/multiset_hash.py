@@ -122,10 +122,11 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
     sizes = rows.groupBy("key").agg(F.expr("max(length(text)) div 3").cast("int").alias("need"))
     follows = previous_in_order(rows, "key", "document-order").join(sizes, "key")
-    # each document gives what the one that it follows needs of it
+    # each document gives what the one that it follows needs of it; its id goes
+    # along so that both joins read the texts in one and the same exchange
     gives = follows.select(F.col("before").alias("key"), F.col("key").alias("to"), "need")
-    given = rows.join(gives, "key").select("to", F.struct(F.xxhash64("text").alias("th"), F.expr("left(text, need)").alias("start"), F.col("key").alias("next")).alias("g"))
-    given = given.groupBy("to").agg(F.min("g").alias("g")).select(F.col("to").alias("key"), "g.start", "g.next")
+    given = rows.join(gives, "key").select("to", F.struct(F.xxhash64("text").alias("th"), F.expr("left(text, need)").alias("start"), F.col("key").alias("next"), "doc_id").alias("g"))
+    given = given.groupBy("to").agg(F.min("g").alias("g")).select(F.col("to").alias("key"), "g.start", "g.next", F.col("g.doc_id").alias("next_id"))
     cut = F.expr("floor(length(text) / 3)").cast("int")
     edited = F.concat(F.expr("left(text, length(text) - cut)"), F.expr("left(start, cut)"))
     own = rows.join(given, "key").withColumn("cut", cut).select("key", "next", "doc_id", "text", edited.alias("edited"))
