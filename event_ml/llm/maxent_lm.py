@@ -87,17 +87,34 @@ def targets(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return features, classes, np.cumsum(lengths + 1) - (lengths + 1)
 
 
-def class_scores(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """Logarithms of the classes' probabilities, a row a token."""
-    logits = weights[features[0]]
+def _logits(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """The classes' weights, a row a token, less the row's largest."""
+    logits = weights.take(features[0], 0)
     for f in features[1:]:
-        logits += weights[f]
+        logits += weights.take(f, 0)
     logits += weights[BUCKETS]
     logits -= logits.max(1, keepdims=True)
+    return logits
+
+
+def class_scores(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Logarithms of the classes' probabilities, a row a token."""
+    logits = _logits(weights, features)
     logits -= np.log(np.exp(logits).sum(1, keepdims=True))
     return logits
 
 
+def target_scores(weights: np.ndarray, features: np.ndarray, classes: np.ndarray, span: int = 2048) -> np.ndarray:
+    """Logarithms of the probabilities of the tokens' own classes."""
+    out = np.empty(len(classes))
+    for at in range(0, len(classes), span):
+        own = classes[at : at + span]
+        logits = _logits(weights, features[:, at : at + span])
+        picked = logits[np.arange(len(own)), own]
+        out[at : at + span] = picked - np.log(np.exp(logits, out=logits).sum(1))
+    return out
+
+
 class Trainer:
     """AdaGrad on the classes' cross-entropy."""
 
@@ -122,12 +139,16 @@ class Trainer:
         self.held, self.size = [], 0
         miss = -np.exp(class_scores(self.weights, features))
         miss[np.arange(len(classes)), classes] += 1
-        flat = (features[:, :, None] * CLASSES + np.arange(CLASSES)).ravel()
-        grad = np.bincount(flat, np.broadcast_to(miss, (len(features), *miss.shape)).ravel(), self.weights.size).reshape(self.weights.shape)
-        grad[BUCKETS] = miss.sum(0)
+        # only the rows of this batch's features move
+        rows, place = np.unique(features, return_inverse=True)
+        flat = (place.reshape(*features.shape, 1) * CLASSES + np.arange(CLASSES)).ravel()
+        grad = np.bincount(flat, np.broadcast_to(miss, (len(features), *miss.shape)).ravel(), len(rows) * CLASSES)
+        grad = np.vstack([grad.reshape(-1, CLASSES), miss.sum(0)])
+        rows = np.append(rows, BUCKETS)
         grad = (grad / len(classes)).astype(np.float32)
-        self.squares += grad * grad
-        self.weights += self.rate * grad / np.sqrt(self.squares)
+        squares = self.squares[rows] + grad * grad
+        self.squares[rows] = squares
+        self.weights[rows] += self.rate * grad / np.sqrt(squares)
         self.updates += np.bincount(features.ravel(), minlength=len(self.updates))
         self.updates[BUCKETS] += len(classes)
 
@@ -268,14 +289,11 @@ def score(
                 part = batch.slice(at, 64)
                 texts = [words_of(t) for t in part.column(1).to_pylist()]
                 features, classes, starts = targets(texts)
-                scores = np.empty(len(classes))
-                for b in range(0, len(classes), 4096):
-                    span = slice(b, b + 4096)
-                    own = class_scores(weights, features[:, span])
-                    scores[span] = own[np.arange(len(own)), classes[span]]
+                scores = target_scores(weights, features, classes)
                 sums = np.add.reduceat(scores / math.log(10) - share_logs[classes], starts)
-                found = [[logs[w] for w in words if w in logs] for words in texts]
-                other = [[w.decode("utf-8") for w in words if w not in logs] for words in texts]
+                looked_up = [list(map(logs.get, words)) for words in texts]
+                found = [[x for x in own if x is not None] for own in looked_up]
+                other = [[w.decode("utf-8") for w, x in zip(words, own) if x is None] for words, own in zip(texts, looked_up)]
                 values = [
                     part.column(0),
                     part.column(2),
