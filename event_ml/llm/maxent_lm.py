@@ -15,9 +15,8 @@ softmax over classes and the token's share of its class:
 
 Training goes over all training documents in ``rounds`` parts.  In a round
 each task starts from the common weights, makes AdaGrad steps on mini-batches
-of its documents (each ``stride``-th position of a document, from a start that
-its id gives), and hands on the rows it moved; rows are averaged by the number
-of their updates.  The same pass counts all words of its documents.
+of its documents, every position of them once, and hands on the rows it moved;
+rows are averaged by the number of their updates.  The same pass counts all words of its documents.
 
 Word counts grow with the corpus and are never broadcast.  Scoring sums the
 logarithms of frequent words' counts (at most ``frequent`` words, by all
@@ -75,25 +74,30 @@ def targets(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     for words in docs:
         codes[at + 3 : at + 3 + len(words)] = np.fromiter(map(known, words), np.int64, len(words))
         at += 3 + len(words)
-    first = np.cumsum(lengths + 3) - lengths
-    place = np.repeat(first - np.concatenate([[0], np.cumsum(lengths + 1)[:-1]]), lengths + 1) + np.arange(int((lengths + 1).sum()))
-    hashes = (codes & 0xFFFFFFFF).astype(np.uint64)
-    one, two, three = (hashes[place - i] for i in (1, 2, 3))
+    # the words, and the zero after a document's last one, which is its end
+    ends = np.cumsum(lengths + 3)
+    own = codes != 0
+    own[ends] = True
+    place = np.flatnonzero(own)
+    hashes = (codes & 0xFFFFFFFF).view(np.uint64)
+    one, two, three = (hashes[3 - i : -i] for i in (1, 2, 3))
     a, b, c, d, e = MULTIPLIERS
     top = np.uint64(64 - BUCKETS.bit_length() + 1)
     mixed = ((one + np.uint64(1)) * a, ((one * b) ^ (two + np.uint64(3))) * c, (two + np.uint64(5)) * d, (three + np.uint64(7)) * e)
-    features = np.stack([(m >> top).astype(np.int64) for m in mixed])
+    features = np.stack([(m >> top).view(np.int64)[place - 3] for m in mixed])
     classes = np.where(codes[place] == 0, END, codes[place] >> 32)
     return features, classes, np.cumsum(lengths + 1) - (lengths + 1)
 
 
 def _logits(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """The classes' weights, a row a token, less the row's largest."""
+    """The classes' weights, a row a token, less the row's largest where one would leave exp's range."""
     logits = weights.take(features[0], 0)
     for f in features[1:]:
         logits += weights.take(f, 0)
     logits += weights[BUCKETS]
-    logits -= logits.max(1, keepdims=True)
+    if max(logits.max(initial=0), -logits.min(initial=0)) > 80:
+        far = np.abs(logits).max(1) > 80  # by row, so equal rows stay equal
+        logits[far] -= logits[far].max(1, keepdims=True)
     return logits
 
 
@@ -115,6 +119,27 @@ def target_scores(weights: np.ndarray, features: np.ndarray, classes: np.ndarray
     return out
 
 
+def _summed(features: np.ndarray, miss: np.ndarray, most: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(buckets, how often each occurs, its tokens' ``miss`` summed, with a free row at the end)."""
+    bits = features.size.bit_length()
+    keys = (features.ravel() << bits) + np.arange(features.size)
+    keys.sort()
+    buckets, of = keys >> bits, (keys & ((1 << bits) - 1)) % len(miss)
+    first = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
+    counts = np.diff(first, append=len(buckets))
+    order = np.argsort(-counts, kind="stable")
+    first, counts = first[order], counts[order]
+    out = np.empty((len(first) + 1, CLASSES), np.float32)
+    miss.take(of[first], 0, out=out[:-1])
+    # all buckets' second tokens, third tokens, and so on; then the rest of each frequent bucket
+    for at in range(1, most):
+        n = int(np.searchsorted(-counts, -at))
+        out[:n] += miss.take(of[first[:n] + at], 0)
+    for i in range(int(np.searchsorted(-counts, -most))):
+        out[i] += miss.take(of[first[i] + most : first[i] + counts[i]], 0).sum(0)
+    return buckets[first], counts, out
+
+
 class Trainer:
     """AdaGrad on the classes' cross-entropy."""
 
@@ -137,20 +162,22 @@ class Trainer:
         features = np.concatenate([f for f, _ in self.held], 1)
         classes = np.concatenate([c for _, c in self.held])
         self.held, self.size = [], 0
-        miss = -np.exp(class_scores(self.weights, features))
+        miss = np.exp(_logits(self.weights, features))
+        miss *= (-1 / (miss @ np.ones(CLASSES, np.float32)))[:, None]
         miss[np.arange(len(classes)), classes] += 1
+        rows, counts, grad = _summed(features, miss)
         # only the rows of this batch's features move
-        rows, place = np.unique(features, return_inverse=True)
-        flat = (place.reshape(*features.shape, 1) * CLASSES + np.arange(CLASSES)).ravel()
-        grad = np.bincount(flat, np.broadcast_to(miss, (len(features), *miss.shape)).ravel(), len(rows) * CLASSES)
-        grad = np.vstack([grad.reshape(-1, CLASSES), miss.sum(0)])
-        rows = np.append(rows, BUCKETS)
-        grad = (grad / len(classes)).astype(np.float32)
-        squares = self.squares[rows] + grad * grad
+        rows, counts = np.append(rows, BUCKETS), np.append(counts, len(classes))
+        grad[-1] = miss.sum(0)
+        grad /= np.float32(len(classes))
+        squares = self.squares.take(rows, 0)
+        squares += grad * grad
         self.squares[rows] = squares
-        self.weights[rows] += self.rate * grad / np.sqrt(squares)
-        self.updates += np.bincount(features.ravel(), minlength=len(self.updates))
-        self.updates[BUCKETS] += len(classes)
+        grad *= np.float32(self.rate)
+        grad /= np.sqrt(squares, out=squares)
+        grad += self.weights.take(rows, 0)
+        self.weights[rows] = grad
+        self.updates[rows] += counts
 
 
 LEARNED = "word string, class int, n_train long, n_other long, bucket int, updates double, row array<float>"
@@ -239,7 +266,7 @@ def score(
     docs: DataFrame,
     rounds: int = 2,
     rate: float = 0.4,
-    stride: int = 4,
+    stride: int = 1,
     frequent: int = 150_000,
     id_col: str = "doc_id",
     text_col: str = "text",

@@ -95,6 +95,19 @@ def test_scores_of_odd_rows(odd_docs, no_docs):
     assert unseen.n_tokens == 13
 
 
+def test_every_training_position_takes_a_step(spark, documents, monkeypatch):
+    moved, averaged = [], maxent_lm.averaged
+
+    def counted(learned, weights):
+        moved.append(learned.where(F.col("bucket") == maxent_lm.BUCKETS).agg(F.sum("updates")).first()[0] or 0)
+        return averaged(learned, weights)
+
+    monkeypatch.setattr(maxent_lm, "averaged", counted)
+    one_word = documents.select(F.col("doc_id") + 1_000_000, F.lit("word")).limit(20)
+    scored = maxent_lm.score(documents.select("doc_id", "text").limit(40).union(one_word))
+    assert sum(moved) == scored.first().train_tokens
+
+
 def slow_rule(url):
     if url is None or "://" not in url:
         return "", "", None
