@@ -1,8 +1,10 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 Texts are word sequences (runs of letters, digits and underscores, lower
-case).  A mask such as ``11011011`` picks the positions that a window's hash
-reads, so a substituted word under a 0 doesn't hide the match.
+case; in scripts without blanks each character is a word).  A mask such as
+``11011011`` picks the positions that a window's hash reads, so a substituted
+word under a 0 doesn't hide the match.  An item of fewer than ``SHORT`` words
+has masks of its own, of which one fits whatever words are substituted.
 
 1. The benchmark's windows are hashed, and their hashes set bits of a filter
    of fixed size, which is the only thing broadcast.
@@ -19,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator, Sequence
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,11 @@ MASKS = ("11011011", "101100111", "1110100011")
 #: Log2 of the filter's bits (2 MiB).
 FILTER_BITS = 24
 
-_WORD = re.compile(r"\w+")
+#: Items of fewer words have their own masks.
+SHORT = 15
+#: Thai, Lao, Myanmar, Khmer, kana and Han.
+_UNSPACED = "\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ecd\u1000-\u103f\u1780-\u17d3\u3005-\u3007\u3041-\u3096\u30a1-\u30fa\u30fc\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[^\W{_UNSPACED}]+|[{_UNSPACED}]")
 
 
 class _Ids(dict):
@@ -65,6 +72,23 @@ def window_hashes(ids: np.ndarray, mask: str) -> np.ndarray:
     return out
 
 
+def short_masks(n: int, least: int) -> list[tuple[int, str]]:
+    """(first position, mask) pairs for an item of ``n`` words: wherever
+    ``least`` of them are equal, all words that one of the masks reads are.
+
+    The words are cut into two blocks more than may differ, so two blocks at
+    least are whole; one mask for each choice, without zeros at its ends.
+    """
+    differ = n - least
+    blocks = 1 if not differ else n if n <= 5 else min(n, differ + 2)
+    cuts = [round(n * i / blocks) for i in range(blocks + 1)]
+    out = []
+    for whole in combinations(range(blocks), blocks - differ):
+        mask = "".join(("1" if i in whole else "0") * (cuts[i + 1] - cuts[i]) for i in range(blocks))
+        out.append((mask.index("1"), mask.strip("0")))
+    return out
+
+
 def filter_places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hashes >> np.uint64(64 - FILTER_BITS), hashes & np.uint64((1 << FILTER_BITS) - 1)
 
@@ -98,19 +122,25 @@ def find_overlaps(
     longest verified overlap of every document with every item that it shows.
 
     An overlap has at least ``min_words`` equal words, or ``min_ratio`` of all
-    words of an item that is shorter than that.  Null and empty texts overlap
-    with nothing, and so does an item with fewer words than the shortest mask.
+    words of an item that is shorter than that.  Every overlap with an item of
+    fewer than ``SHORT`` words is found, longer ones as far as ``masks`` reach.
+    Null and empty texts overlap with nothing.
     Repeated rows of ``docs`` have one row an item (k1, k2: the row's key);
     repeated items too.  Other columns are not read.
     """
     spark = docs.sparkSession
 
+    def own_masks(n: int) -> list[tuple[int, str]]:
+        least = math.ceil(min_ratio * n)
+        return short_masks(n, least) if 0 < n < SHORT and 0 < least <= min_words else []
+
     def item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = word_ids(text)
-                found = [window_hashes(ids, m) for m in masks]
-                seeds, pos = np.concatenate(found), np.concatenate([np.arange(len(x)) for x in found])
+                own = own_masks(len(ids))
+                found = [window_hashes(ids, m) for m in masks] + [window_hashes(ids[at : at + len(m)], m) for at, m in own]
+                seeds, pos = np.concatenate(found), np.concatenate([*[np.arange(len(x)) for x in found[: len(masks)]], [at for at, _ in own]]).astype(np.int32)
                 row = [[item], [ids.view(np.int32)], [seeds.view(np.int64)], [pos]]
                 types = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32())]
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], ["item_id", "item_ids", "seeds", "pos"])
@@ -118,6 +148,9 @@ def find_overlaps(
     items = benchmark.select(F.col(item_col).cast("long"), F.col(item_text_col).cast("string")).distinct()
     items = map_batches(items, item_windows, "item_id long, item_ids array<int>, seeds array<long>, pos array<int>")
     items = staged(items.withColumn("item_key", F.xxhash64("item_id", "item_ids")), "benchmark-items")
+    # a row for each number of words under SHORT; documents are read under these masks only if an item needs them
+    lengths = [r[0] for r in items.select(F.size("item_ids").alias("n")).where(F.col("n") < SHORT).distinct().collect()]
+    doc_masks = list(dict.fromkeys([*masks, *(m for n in sorted(lengths) for _, m in own_masks(n))]))
     item_seeds = items.select("item_key", F.explode(F.arrays_zip("seeds", "pos")).alias("s")).select(
         "item_key", F.col("s.seeds").alias("seed"), F.col("s.pos").alias("item_pos")
     )
@@ -144,7 +177,7 @@ def find_overlaps(
             for i, text in enumerate(batch.column(3).to_pylist()):
                 ids = word_ids(text)
                 seeds, pos = [], []
-                for mask in masks:
+                for mask in doc_masks:
                     own = window_hashes(ids, mask)
                     high, low = filter_places(own)
                     hit = np.flatnonzero(bits[high])

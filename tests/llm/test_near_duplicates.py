@@ -1,4 +1,6 @@
+import math
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -123,6 +125,24 @@ def test_short_stretches_and_case(spark):
     assert set(short) == {(1, 7)}
 
 
+def test_every_overlap_with_short_items(spark):
+    """All items of 1 to 14 words, under all substitutions that the ratio allows, cut documents and a script without blanks."""
+    words, docs, items = ITEM.split(), [], []
+    for n in range(1, 15):
+        own = [f"{w}{n}" for w in words[:n]]
+        items.append((n, " ".join(own)))
+        for differ in range(n - math.ceil(0.8 * n) + 1):
+            for places in combinations(range(n), differ):
+                changed = [("zzz" if i in places else w) for i, w in enumerate(own)]
+                docs.append((n, " ".join(["go", *changed, "now"])))
+                docs.append((n, " ".join(changed).removeprefix("zzz ").removesuffix(" zzz")))
+        docs.append((100, " ".join(["zzz"] * (n - math.ceil(0.8 * n) + 1) + own[n - math.ceil(0.8 * n) + 1 :])))
+    items += [(20, "今天天气很好"), (21, "วันนี้อากาศดี")]
+    docs += [(20, "他说今天天气很好。"), (21, "เขาว่าวันนี้อากาศดีมาก"), (100, "今天下雨")]
+    numbered = [(i, text) for i, (_, text) in enumerate(docs)]
+    assert set(overlaps(spark, numbered, items)) == {(i, n) for i, (n, _) in enumerate(docs) if n != 100}
+
+
 def test_op5_against_all_runs(spark, small_dir, texts):
     """Every document with a run of twelve words of an item is found, others aren't."""
     items = {r.item_id: r.text for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").collect()}
