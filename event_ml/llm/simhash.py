@@ -152,21 +152,22 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, fingerprint, component_id, k1, k2): one row a row of ``docs``.
+    """(doc_id, fingerprint, component_id, k1, k2, root): one row a row of ``docs``.
 
     ``component_id`` is the smallest id reachable by links (null ids are
     passed over; null if there is no other).  Null and blank texts have
     fingerprint zero and link like any other.  Repeated rows and ties share a
-    component; k1 and k2 are the row's key.  Other columns are not read; an
+    component; k1 and k2 are the row's key, and root is the component's own
+    fingerprint, which no other component has.  Other columns are not read; an
     empty table gives an empty result.
     """
     prints = staged(fingerprints(docs, shingle, id_col, text_col), "simhash-fingerprints")
     roots = connected_components(links(prints, max_bits, max_bucket), "simhash-links")
     own = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     own = own.select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = own.join(own.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    named = own.join(own.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id", "root")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return prints.join(named, "fp").select("doc_id", hexed, "component_id", "k1", "k2")
+    return prints.join(named, "fp").select("doc_id", hexed, "component_id", "k1", "k2", "root")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -176,10 +177,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     of equal rows one.  All columns are kept.
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # a component without any id is one group by itself a fingerprint
-    group = F.coalesce(F.col("component_id").cast("string"), F.col("fingerprint"))
-    stay = first.groupBy(group).agg(F.min(F.struct("k1", "k2")).alias("k")).select(F.col("k.k1").alias("_llm_k1"), F.col("k.k2").alias("_llm_k2"))
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")
+    stay = found.groupBy("root").agg(F.min(first).alias("k")).select(F.col("k.k1").alias("_llm_k1"), F.col("k.k2").alias("_llm_k2"))
     kept = docs.select("*", *row_key(id_col, text_col)).join(stay, ["_llm_k1", "_llm_k2"], "left_semi")
     return kept.dropDuplicates(["_llm_k1", "_llm_k2"]).select(*docs.columns)
 

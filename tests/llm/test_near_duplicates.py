@@ -88,6 +88,19 @@ def test_one_row_of_each_group_stays(odd_docs, no_docs):
     assert simhash.drop_near_duplicates(no_docs).count() == 0
 
 
+def test_components_that_share_an_id_or_have_none(spark):
+    words = ITEM.split()
+    unlike = [" ".join(words), " ".join(reversed(words))]
+    rows = [(1, t) for t in unlike] + [(2, t) for t in unlike]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect())) == sorted((1, t) for t in unlike)
+    long = [f"w{i}" for i in range(2000)]
+    near = [" ".join(long), " ".join([*long[:-1], "other"])]
+    fps = [simhash.fingerprint(t, 4) for t in near]
+    assert fps[0] != fps[1] and (fps[0] ^ fps[1]).bit_count() <= 4
+    assert simhash.drop_near_duplicates(spark.createDataFrame([(None, t) for t in near], "doc_id long, text string")).count() == 1
+
+
 def test_masks_share_three_blocks():
     masks = simhash.block_masks(4)
     assert len(masks) == 35 and sum(m.bit_count() for m in masks) == 64 * 15
