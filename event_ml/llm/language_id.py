@@ -206,8 +206,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return predict(slim, net, "text", ["doc_id"]).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
-    """The rows of ``docs`` whose language is recognised with ``min_score`` at least."""
+def keep_identified(docs: DataFrame, min_score: float = 0.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
+    """The rows of ``docs`` whose language is recognised (not ``und``), with ``min_score`` at least."""
     net = fit(docs, id_col, text_col, lang_col, **options)
     inner = docs.toDF(*[f"d{i}" for i in range(len(docs.columns))])
     text = inner.columns[docs.columns.index(text_col)]

@@ -50,6 +50,12 @@ def test_languages_of_odd_rows(odd_docs, no_docs):
     assert kept.where("doc_id = 1").first() == odd_docs.where("doc_id = 1").first()
 
 
+def test_unsure_languages_stay(odd_docs, monkeypatch):
+    unsure = language_id.Network(["a", "b", "c"], [np.zeros((w, 256, 1), np.float32) for w in language_id.WIDTHS], np.zeros(3), np.zeros((3, 3)), np.zeros(3))
+    monkeypatch.setattr(language_id, "fit", lambda *a, **b: unsure)
+    assert language_id.keep_identified(odd_docs).count() == odd_docs.count() - 4
+
+
 def test_op2_base_score_and_model(spark, small_dir, texts):
     got = {r.doc_id: r for r in maxent_lm.op2_hashed_maxent(spark, small_dir).collect()}
     words = {k: [*maxent_lm.words_of(t), None] for k, t in texts.items()}
