@@ -67,7 +67,7 @@ def tokens(host: Column, path: Column) -> Column:
     return F.array_sort(F.array_distinct(F.concat(named("host=", labels), F.coalesce(ends, F.array().cast("array<string>")), named("path=", words))))
 
 
-def mined_rules(labelled: DataFrame, min_support: float, min_confidence: float, max_tokens: int) -> DataFrame:
+def mined_rules(labelled: DataFrame, min_support: float, min_confidence: float, max_tokens: int | None = None) -> DataFrame:
     """(antecedent, verdict, confidence, support) from ``labelled`` (tokens, verdict).
 
     With ``min_support`` of s, no more than 1 / s of the item sets with the
@@ -78,10 +78,12 @@ def mined_rules(labelled: DataFrame, min_support: float, min_confidence: float,
     parts = int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence, numPartitions=parts).fit(items)
     rules = model.associationRules.select("antecedent", F.col("consequent")[0].alias("to"), "confidence", "support")
-    rules = rules.where(F.col("to").startswith(VERDICT) & (F.size("antecedent") <= max_tokens) & ~F.exists("antecedent", lambda x: x.startswith(VERDICT)))
+    rules = rules.where(F.col("to").startswith(VERDICT) & ~F.exists("antecedent", lambda x: x.startswith(VERDICT)))
+    if max_tokens is not None:
+        rules = rules.where(F.size("antecedent") <= max_tokens)
     rules = staged(rules.select(F.array_sort("antecedent").alias("antecedent"), F.substring("to", len(VERDICT) + 1, 99).alias("verdict"), "confidence", "support"), "url-rules")
     smaller = rules.select(F.col("antecedent").alias("part"), "verdict", F.col("confidence").alias("c"))
-    # each rule's subsets are listed and looked up: at most 2 ** max_tokens of them
+    # each rule's subsets are listed and looked up; FP-growth mined them all before it
     subsets = rules.where(F.size("antecedent") > 1).select("antecedent", "verdict", "confidence", F.explode(F.expr(f"transform(sequence(1, shiftleft(1, size(antecedent)) - 2), m -> filter(antecedent, (x, i) -> (shiftright(m, i) & 1) = 1))")).alias("part"))
     worse = subsets.join(smaller, ["part", "verdict"]).where("c >= confidence").select("antecedent", "verdict").distinct()
     return rules.join(worse, ["antecedent", "verdict"], "left_anti")
@@ -104,7 +106,7 @@ def judge(
     rules: Sequence[tuple[str, str]] = RULES,
     min_support: float = 0.01,
     min_confidence: float = 0.8,
-    max_tokens: int = 3,
+    max_tokens: int | None = None,
     default: str = "allow",
     id_col: str = "page_id",
     url_col: str = "url",

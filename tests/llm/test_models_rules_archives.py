@@ -151,6 +151,14 @@ def test_op3_against_counting(spark, small_dir):
         assert r.verdict == wanted
 
 
+def test_rules_of_four_tokens(spark):
+    """Only all four of a, b, c, d together tell a verdict."""
+    labelled = [(list("abcd"), "block")] * 10 + [(t, "allow") for t in (list("abc"), list("abd"), list("acd"), list("bcd")) for _ in range(10)]
+    df = spark.createDataFrame(labelled, "tokens array<string>, verdict string")
+    rules = {(tuple(r.antecedent), r.verdict): round(r.confidence, 9) for r in url_rules.mined_rules(df, 0.01, 0.8, None).collect()}
+    assert rules == {(("a", "b", "c", "d"), "block"): 1.0} | {k: round(c, 9) for k, (c, _) in slow_mining(labelled, 0.01, 0.8, 4).items()}
+
+
 def test_rules_of_odd_urls(spark):
     urls = ["http://A.ORG?x", "https://example.org/es/", "https://x.example.org/en/12#y", "https://example.org/en", "//a.org/", "", None, "a://b://org/x", "http://org", "http://notorg/", "http://m.com/fr/1", "http://com/de/", "ftp://café.org/É x", "http://x.org/\n/es"]
     df = spark.createDataFrame([(i if i else None, u, "x", "y") for i, u in enumerate(urls + urls[:2])], "page_id long, url string, host string, rule string")
