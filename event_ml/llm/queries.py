@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from event_ml.llm import decontaminate, language_id, line_dedup, maxent_lm, multiset_hash, packing, separators, simhash, url_rules, warc
+from event_ml.llm import decontaminate, language_id, line_dedup, maxent_lm, merkle, multiset_hash, packing, separators, simhash, url_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_separator_scan": separators.op1_separator_scan,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cost_balanced_packing": packing.op8_cost_balanced_packing,
     "op9_byte_cnn": language_id.op9_byte_cnn,
     "op10_warc_zstd": warc.op10_warc_zstd,
+    "op11_merkle_climb": merkle.op11_merkle_climb,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_warc_zstd": warc.OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op10_warc_zstd": warc.OP10_SQL, "op11_merkle_climb": merkle.OP11_SQL}
