@@ -104,6 +104,34 @@ def connected_components(edges: DataFrame, label: str) -> DataFrame:
         now = staged(small.where("u <> v").distinct(), label)
 
 
+def most_frequent(counts: DataFrame, n_col: str, at_most: int) -> DataFrame:
+    """The rows of ``counts`` above a level of ``n_col`` that at most ``at_most`` rows reach."""
+    level = F.floor(F.log2(F.col(n_col)) * 8)
+    sizes = sorted(((r[0], r[1]) for r in counts.groupBy(level.alias("level")).agg(F.count("*")).collect()), reverse=True)
+    total, least = 0, None
+    for at, n in sizes:  # a few hundred levels at any input
+        total += n
+        if total > at_most:
+            break
+        least = at
+    return counts.where(level >= F.lit(least)) if least is not None else counts.where("false")
+
+
+def join_weighted(big: DataFrame, small: DataFrame, key: str, weight: str, heavy: int = 2000) -> DataFrame:
+    """``big`` joined with ``small`` (a row a ``key``; ``weight``: its rows in ``big``).
+
+    Keys with a ``heavy``-th of all rows or more are at most ``heavy`` many:
+    their rows of ``small`` are broadcast, so a common key isn't shuffled to one
+    task.  The other rows are joined as Spark sees fit.  Both tables are read
+    twice and should be written ones.
+    """
+    total = small.agg(F.sum(weight)).first()[0] or 0
+    often = F.col(weight) * heavy >= F.lit(total)
+    few = small.where(often)
+    others = big.join(F.broadcast(few.select(key)), key, "left_anti").join(small.where(~often), key)
+    return big.join(F.broadcast(few), key).unionByName(others)
+
+
 def previous_in_order(ids: DataFrame, key: str, label: str) -> DataFrame:
     """(key, before): for every distinct value of ``key`` (a long, not null) the
     next smaller one, for the smallest value the largest.

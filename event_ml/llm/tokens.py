@@ -16,6 +16,37 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Recent:
+    """A table of what was looked up of late, in two generations.
+
+    Entries go to the younger one; when that has ``size`` entries it becomes
+    the older one, which is let go.  An entry that is used again moves on, so
+    entries used once don't fill the table.
+    """
+
+    def __init__(self, size: int = 200_000):
+        self.size = size
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def held(self, keys: Iterable) -> dict:
+        """Each distinct key with its entry, None where there is none."""
+        young, old = self.young, self.old
+        out = {}
+        for key in keys:
+            if key not in out:
+                value = young.get(key)
+                if value is None and (value := old.get(key)) is not None:
+                    young[key] = value
+                out[key] = value
+        return out
+
+    def keep(self, entries: dict) -> None:
+        self.young.update(entries)
+        if len(self.young) >= self.size:
+            self.young, self.old = {}, self.young
+
+
 class ChunkEncoder:
     """Encodes texts chunk by chunk, each distinct chunk once.
 
