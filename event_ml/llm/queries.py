@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from event_ml.llm import alignment, decontaminate, language_id, line_dedup, maxent_lm, merkle, multiset_hash, packing, separators, simhash, url_rules, warc
+from event_ml.llm import alignment, decontaminate, language_id, licenses, line_dedup, maxent_lm, merkle, multiset_hash, packing, separators, simhash, url_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_separator_scan": separators.op1_separator_scan,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc_zstd": warc.op10_warc_zstd,
     "op11_merkle_climb": merkle.op11_merkle_climb,
     "op12_exact_dedup_alignment": alignment.op12_exact_dedup_alignment,
+    "op13_template_markup": licenses.op13_template_markup,
 }
 
 ORACLE_SQL: dict[str, str] = {"op10_warc_zstd": warc.OP10_SQL, "op11_merkle_climb": merkle.OP11_SQL}
