@@ -36,9 +36,16 @@ def ordered_prefix(
     descending: bool = False,
     suffix: str = "_cum",
     n_blocks: int | None = None,
+    totals: bool = False,
+    next_cols: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``<c><suffix>`` = inclusive running sum of each ``c`` in ``sum_cols``.
 
+    ``totals`` adds ``<c>_total``, the group's sum, which the blocks' totals
+    hold already.  ``next_cols`` adds ``<c>_next``, the value in the group's
+    next row (null in its last); at a block's end that is the first row of the
+    group's next block.
+
     Rows must be unique per ``partition_cols + order_cols`` (an aggregated
     table), so the running sum is well defined without tie handling.  The
     result does not depend on ``n_blocks``.
@@ -56,27 +63,34 @@ def ordered_prefix(
         .withColumn(_BLOCK, F.spark_partition_id())
         .checkpoint(eager=True)
     )
-    totals = blocked.groupBy(_BLOCK, *partition_cols).agg(
-        *[F.sum(c).alias(c + "_blk") for c in sum_cols]
-    )
-    w_off = (
-        Window.partitionBy(*partition_cols)
-        .orderBy(_BLOCK)
-        .rowsBetween(Window.unboundedPreceding, -1)
+    first = F.max_by if descending else F.min_by
+    place = F.struct(*order_cols)
+    per_block = blocked.groupBy(_BLOCK, *partition_cols).agg(
+        *[F.sum(c).alias(c + "_blk") for c in sum_cols],
+        *[first(F.struct(c), place).alias(c + "_first") for c in next_cols],
     )
-    offsets = totals.select(
+    in_order = Window.partitionBy(*partition_cols).orderBy(_BLOCK)
+    w_off = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    w_all = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = per_block.select(
         _BLOCK,
         *partition_cols,
         *[F.coalesce(F.sum(c + "_blk").over(w_off), F.lit(0)).alias(c + "_off") for c in sum_cols],
+        *[F.sum(c + "_blk").over(w_all).alias(c + "_total") for c in sum_cols if totals],
+        *[F.lead(c + "_first").over(in_order).alias(c + "_after") for c in next_cols],
     )
-    w_in = (
-        Window.partitionBy(_BLOCK, *partition_cols)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    inside = Window.partitionBy(_BLOCK, *partition_cols).orderBy(*order)
+    w_in = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # at most one row per block and group
     joined = join_small(blocked, offsets, [_BLOCK, *partition_cols])
+
+    def following(c: str) -> Column:
+        own = F.lead(F.struct(c)).over(inside)
+        return F.coalesce(own, F.col(c + "_after"))[c].alias(c + "_next")
+
     return joined.select(
         *df.columns,
         *[(F.sum(c).over(w_in) + F.col(c + "_off")).alias(c + suffix) for c in sum_cols],
+        *[c + "_total" for c in sum_cols if totals],
+        *[following(c) for c in next_cols],
     )

@@ -2,8 +2,10 @@
 
 All curves are built from ONE aggregated table with a row per distinct score
 (partial aggregation map-side), given running counts in descending score
-order with ``ordered_prefix`` (a two-level prefix sum, no single-task window).  Every point's predecessor is derived from its own running
-counts (``cum - this``), so no ``lag`` across block boundaries is needed.
+order with ``ordered_prefix`` (a two-level prefix sum, no single-task window),
+which has the class totals too.  Every point's predecessor is derived from its
+own running counts (``cum - this``); a point's successor, where it is needed,
+is looked up across the blocks' ends.
 
 Tie handling: all rows sharing a score form one curve point, and the exact
 AUC counts a positive/negative tie as 1/2 (Mann-Whitney).
@@ -16,7 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from event_ml.functions.joins import join_small
 from event_ml.functions.prefix import ordered_prefix
 
 
@@ -38,18 +39,19 @@ def ranked_scores(
     label_col: str,
     group_cols: Sequence[str] = (),
     n_blocks: int | None = None,
+    neighbours: bool = False,
 ) -> DataFrame:
     """Per distinct score, descending: pos, neg, tp (= pos_cum), fp (=
-    neg_cum), tp_before, fp_before and class totals n_pos, n_neg."""
+    neg_cum), tp_before, fp_before and class totals n_pos, n_neg.
+    ``neighbours`` adds pos_next and neg_next, those of the next lower score.
+    """
     group_cols = list(group_cols)
     g = score_table(pred, score_col, label_col, group_cols)
+    following = ["pos", "neg"] if neighbours else []
     r = ordered_prefix(
-        g, "score", ["pos", "neg"], partition_cols=group_cols, descending=True, n_blocks=n_blocks
+        g, "score", ["pos", "neg"], partition_cols=group_cols, descending=True, n_blocks=n_blocks, totals=True, next_cols=following
     )
-    totals = g.groupBy(*group_cols).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    # one row per group: broadcast if its bytes allow it; no groups -> one row
-    joined = join_small(r, totals, group_cols) if group_cols else r.crossJoin(F.broadcast(totals))
-    return joined.select(
+    return r.select(
         *group_cols,
         "score",
         "pos",
@@ -58,8 +60,9 @@ def ranked_scores(
         F.col("neg_cum").alias("fp"),
         (F.col("pos_cum") - F.col("pos")).alias("tp_before"),
         (F.col("neg_cum") - F.col("neg")).alias("fp_before"),
-        "n_pos",
-        "n_neg",
+        F.col("pos_total").alias("n_pos"),
+        F.col("neg_total").alias("n_neg"),
+        *[c + "_next" for c in following],
     )
 
 
@@ -95,11 +98,47 @@ def auc_from_ranked(r: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def roc_points(ranked: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+def auc_binned(
+    pred: DataFrame,
+    score_col: str,
+    label_col: str,
+    num_bins: int = 1000,
+    n_blocks: int | None = None,
+) -> DataFrame:
+    """(n_bins, auc, auc_pr) of the curves through every ``grouping``-th distinct
+    score, grouping = distinct scores div ``num_bins`` (below 2: every score).
+
+    The running count of the distinct scores numbers the groups, so they are
+    equally large whatever the partitioning; there are fewer than twice
+    ``num_bins``.  No row of a class gives null for what divides by it.
+    """
+    if num_bins < 1:
+        raise ValueError("num_bins must be positive")
+    g = score_table(pred, score_col, label_col).withColumn("one", F.lit(1).cast("long"))
+    r = ordered_prefix(g, "score", ["one"], descending=True, n_blocks=n_blocks, totals=True)
+    grouping = F.greatest(F.lit(1).cast("long"), F.floor(F.col("one_total") / num_bins))
+    bins = r.groupBy(F.floor((F.col("one_cum") - 1) / grouping).alias("bin")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    # fewer than 2 * num_bins rows from here on
+    upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    curve = bins.select("pos", "neg", *[F.sum(c).over(upto).alias(o) for c, o in (("pos", "tp"), ("neg", "fp"))], *[F.sum(c).over(every).alias(o) for c, o in (("pos", "n_pos"), ("neg", "n_neg"))])
+    curve = curve.withColumns({"tp_before": F.col("tp") - F.col("pos"), "fp_before": F.col("fp") - F.col("neg")})
+    area = F.try_divide(F.sum(F.col("neg") * (F.col("tp") + F.col("tp_before"))) / 2, F.max(F.col("n_pos").cast("double") * F.col("n_neg")))
+    return curve.agg(F.count(F.lit(1)).alias("n_bins"), area.alias("auc")).crossJoin(F.broadcast(auc_pr(curve)))
+
+
+def roc_points(ranked: DataFrame, group_cols: Sequence[str] = (), drop_collinear: bool = False) -> DataFrame:
     """(threshold, tp, fp, fpr, tpr) for every distinct score, plus the
-    origin (threshold null, 0, 0).  All points are kept (no dropping of
-    collinear points)."""
+    origin (threshold null, 0, 0).
+
+    ``drop_collinear`` leaves out a point whose step is the next one's too (as
+    many positives and negatives), which bends no line; the first and the last
+    score stay.  ``ranked`` then needs its neighbours.  The area is unchanged.
+    """
     group_cols = list(group_cols)
+    if drop_collinear:
+        ends = (F.col("tp_before") + F.col("fp_before") == 0) | F.col("pos_next").isNull()
+        ranked = ranked.where(ends | (F.col("pos") != F.col("pos_next")) | (F.col("neg") != F.col("neg_next")))
     pts = ranked.select(
         *group_cols,
         F.col("score").cast("double").alias("threshold"),

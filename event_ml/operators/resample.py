@@ -1,17 +1,20 @@
 """Resampling studies: stratified bootstrap CI of the AUC, stability under
 training-set perturbation, grouped mean/std.
 
-Bootstrap at scale: a Poisson resample gives every row a Poisson(1) count, so
-a score with k positives gets a Poisson(k) count of them, drawn for the
-classes on their own.  The data is reduced once to (score, pos, neg) and
-range-partitioned by score; each partition streams its scores in order once,
-for all replicates together, with a running count of negatives and the AUC's
-sum per replicate.  One row per (replicate, partition) then meets a prefix sum
-over partitions that adds positives x negatives of lower partitions.
-
-The draws of a score depend on (seed, score) alone, so a replicate's value
-does not depend on the partitioning.  Memory is bounded by the number of
-replicates; no row of the table is replicated and no group is collected.
+Bootstrap at scale: a replicate draws, for each class on its own, as many rows
+as the class has, with replacement.  The data is reduced once to (score, pos,
+neg) with running counts, so a score's rows are a range of its class's rows in
+order of score, and all that a replicate needs is how many of its draws lie
+below each end of that range.
+
+Those numbers come from a fixed binary tree over the class's rows: at a node,
+the draws that reach it are split between its halves by a binomial draw, and
+at a leaf of ``LEAF`` rows each draw picks a row.  Every node has its own seed
+(replicates' seed, class, level, place), so any task can draw the part of the
+tree that holds its own ends; a row's count is the same in all of them, and
+class sizes are kept exactly.  Replicates don't depend on the partitioning.
+No row is replicated, and a task's memory is bounded by replicates x scores of
+one step.
 """
 
 from __future__ import annotations
@@ -22,9 +25,10 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from event_ml.functions.prefix import ordered_prefix
 from event_ml.operators import metrics as m
 from event_ml.operators.splits import hash_sample
 
@@ -32,29 +36,108 @@ from event_ml.operators.splits import hash_sample
 # executors need not have this package installed or on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Rows of a leaf of the tree, as a power of two.
+LEAF_BITS = 10
+#: Scores of one step of a task.
+STEP = 1024
+
+
+class DrawTree:
+    """Multinomial draws of ``n_boot`` replicates over ``n`` equally likely rows,
+    ``n`` draws each, of which only what is asked for is drawn."""
+
+    def __init__(self, seed: int, label: int, n: int, n_boot: int):
+        self.seed, self.label, self.n, self.n_boot = seed, label, n, n_boot
+        self.levels = max(0, (n - 1).bit_length() - LEAF_BITS)
+        self.splits: dict = {}
+        self.leaves: dict = {}
+
+    def _random(self, level: int, place: int) -> np.random.Generator:
+        return np.random.Generator(np.random.Philox(key=[self.seed, self.label], counter=[0, 0, level, place]))
+
+    @staticmethod
+    def _once(kept: dict, most: int, name, make):
+        """``make()``'s value; ``kept`` holds the ``most`` latest."""
+        if name not in kept:
+            if len(kept) >= most:
+                del kept[next(iter(kept))]
+            kept[name] = make()
+        return kept[name]
+
+    def _left(self, level: int, place: int, draws: np.ndarray) -> np.ndarray:
+        """How many of a node's draws go to its left half.  Its rows are those
+        from ``place`` times its width on."""
+        width = 1 << (level + LEAF_BITS)
+        low = place * width
+        rows = min(width, self.n - low)
+        half = width >> 1
+        if rows <= half:
+            return draws
+        return self._once(self.splits, 256, (level, place), lambda: self._random(level, place).binomial(draws, half / rows))
+
+    def _leaf(self, place: int, draws: np.ndarray) -> np.ndarray:
+        """(replicate, row) counts of draws below each row of a leaf, and below its end."""
+
+        def make() -> np.ndarray:
+            rows = min(1 << LEAF_BITS, self.n - (place << LEAF_BITS))
+            picked = self._random(0, place).integers(0, rows, int(draws.sum()), np.int32)
+            picked += np.repeat(np.arange(self.n_boot, dtype=np.int32) * (rows + 1) + 1, draws)
+            counts = np.bincount(picked, minlength=self.n_boot * (rows + 1)).reshape(self.n_boot, rows + 1)
+            return counts.cumsum(1, dtype=np.int32)
+
+        return self._once(self.leaves, 4, place, make)
+
+    def below(self, ends: np.ndarray) -> np.ndarray:
+        """(replicate, end): draws of rows before ``ends`` (ascending, 0 to n)."""
+        out = np.zeros((self.n_boot, len(ends)), np.int64)
+        out[:, np.searchsorted(ends, self.n) :] = self.n
+        todo = [(self.levels, 0, np.full(self.n_boot, self.n, np.int64), np.zeros(self.n_boot, np.int64))]
+        while todo:
+            level, place, draws, before = todo.pop()
+            width = 1 << (level + LEAF_BITS)
+            if place * width >= self.n:
+                continue
+            # ends inside the node; at its beginning they need no draw of it
+            a, b = np.searchsorted(ends, [place * width, min((place + 1) * width, self.n)])
+            first = a + np.searchsorted(ends[a:b], place * width, "right")
+            out[:, a:first] = before[:, None]
+            if first == b:
+                continue
+            if level == 0:
+                out[:, first:b] = before[:, None] + self._leaf(place, draws)[:, ends[first:b] - place * width]
+                continue
+            left = self._left(level, place, draws)
+            todo.append((level - 1, 2 * place + 1, draws - left, before + left))
+            todo.append((level - 1, 2 * place, left, before))
+        return out
+
 
 def _terms_fn(seed: int, n_boot: int):
-    """Per partition: one row a replicate with its AUC sum and class counts."""
+    """Per task: one row a replicate with its AUC sum and its draws of each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        term, below, above = np.zeros(n_boot), np.zeros(n_boot), np.zeros(n_boot)
-        block = None
+        term, drawn = np.zeros(n_boot), np.zeros((2, n_boot), np.int64)
+        trees: list[DrawTree] = []
         for batch in batches:
-            score, pos, neg, part = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            for s, p, n, block in zip(score.view(np.uint64), pos, neg, part):
-                rng = np.random.Generator(np.random.SFC64([seed, int(s) & 0xFFFFFFFF, int(s) >> 32]))
-                if p:
-                    drawn = rng.poisson(p, n_boot)
-                    above += drawn
-                    term += drawn * below
-                if n:
-                    other = rng.poisson(n, n_boot)
-                    if p:
-                        term += drawn * (other / 2.0)
-                    below += other
-        if block is not None:
-            values = [pa.array(np.arange(n_boot)), pa.array(np.full(n_boot, block, np.int32)), pa.array(term), pa.array(above), pa.array(below)]
-            yield pa.RecordBatch.from_arrays(values, ["replicate", "block", "term", "bpos", "bneg"])
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if not trees and len(columns[0]):
+                trees = [DrawTree(seed, label, int(columns[2 + label][0]), n_boot) for label in (0, 1)]
+            order = np.argsort(columns[0] + columns[1], kind="stable")
+            for at in range(0, len(order), STEP):
+                own = order[at : at + STEP]
+                sides = []
+                for label, tree in enumerate(trees):
+                    upto, count = columns[label][own], columns[4 + label][own]
+                    ends, places = np.unique(np.concatenate([upto - count, upto]), return_inverse=True)
+                    below = tree.below(ends)
+                    sides.append((below[:, places[: len(own)]], below[:, places[len(own) :]]))
+                (neg_from, neg_to), (pos_from, pos_to) = sides
+                pos = pos_to - pos_from
+                term += (pos * (neg_from + neg_to).astype(float)).sum(1) / 2
+                drawn += ((neg_to - neg_from).sum(1), pos.sum(1))
+        if trees:
+            values = [pa.array(np.arange(n_boot)), pa.array(term), pa.array(drawn[1]), pa.array(drawn[0])]
+            yield pa.RecordBatch.from_arrays(values, ["replicate", "term", "pos", "neg"])
 
     return run
 
@@ -67,25 +150,16 @@ def bootstrap_auc(
     seed: int = 42,
     n_blocks: int | None = None,
 ) -> DataFrame:
-    """(replicate, auc) for ``n_boot`` stratified bootstrap replicates (null
-    where a replicate drew no row of a class)."""
-    blocks = n_blocks or int(pred.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hist = m.score_table(pred, score_col, label_col).select(F.col("score").cast("double").alias("score"), "pos", "neg")
-    hist = hist.repartitionByRange(blocks, "score").sortWithinPartitions("score")
-    schema = "replicate long, block int, term double, bpos double, bneg double"
-    terms = hist.select("*", F.spark_partition_id().alias("part")).mapInArrow(_terms_fn(seed, n_boot), schema)
-    # one row per (replicate, partition)
-    w = Window.partitionBy("replicate").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    with_lower = terms.withColumn("neg_lower", F.coalesce(F.sum("bneg").over(w), F.lit(0.0)))
-    agg = with_lower.groupBy("replicate").agg(
-        F.sum(F.col("term") + F.col("bpos") * F.col("neg_lower")).alias("num"),
-        F.sum("bpos").alias("P"),
-        F.sum("bneg").alias("N"),
-    )
-    return agg.select(
-        "replicate",
-        F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("num") / (F.col("P") * F.col("N"))).alias("auc"),
-    )
+    """(replicate, auc, n_pos, n_neg) of ``n_boot`` stratified bootstrap replicates;
+    n_pos and n_neg, the rows drawn, are the classes' own sizes.  Without a row
+    of one class the auc is null; an empty table has no replicates."""
+    hist = m.score_table(pred, score_col, label_col)
+    r = ordered_prefix(hist, "score", ["neg", "pos"], n_blocks=n_blocks, totals=True)
+    r = r.select("neg_cum", "pos_cum", "neg_total", "pos_total", "neg", "pos")
+    terms = r.mapInArrow(_terms_fn(seed, n_boot), "replicate long, term double, pos long, neg long")
+    agg = terms.groupBy("replicate").agg(F.sum("term").alias("num"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    pairs = F.col("n_pos").cast("double") * F.col("n_neg")
+    return agg.select("replicate", F.when(pairs > 0, F.col("num") / pairs).alias("auc"), "n_pos", "n_neg")
 
 
 def bootstrap_ci(replicates: DataFrame, ci: float = 0.95) -> DataFrame:

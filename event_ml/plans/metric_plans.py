@@ -56,6 +56,40 @@ def roc_points(spark, sf_dir):
     return m.roc_points(ranked(spark, sf_dir))
 
 
+@register(
+    "roc_points_reduced",
+    sql=SQL_RANKED
+    + """,
+n AS (SELECT *, LEAD(pos) OVER (ORDER BY score DESC) AS pos_next, LEAD(neg) OVER (ORDER BY score DESC) AS neg_next,
+             LAG(pos) OVER (ORDER BY score DESC) AS pos_prev FROM rb)
+SELECT CAST(score AS DOUBLE) AS threshold, tp, fp,
+       CAST(fp AS DOUBLE) / n_neg AS fpr, CAST(tp AS DOUBLE) / n_pos AS tpr FROM n
+WHERE pos_prev IS NULL OR pos_next IS NULL OR pos <> pos_next OR neg <> neg_next
+UNION ALL SELECT NULL, 0, 0, 0.0, 0.0""",
+)
+def roc_points_reduced(spark, sf_dir):
+    """ROC points without those between equal steps (an evaluation library's default)."""
+    r = m.ranked_scores(events(spark, sf_dir), "q", "label", neighbours=True)
+    return m.roc_points(r, drop_collinear=True)
+
+
+@register(
+    "auc_binned",
+    sql=SQL_RANKED
+    + """,
+b AS (SELECT (row_number() OVER (ORDER BY score DESC) - 1) // GREATEST(1, (SELECT COUNT(*) FROM rb) // 1000) AS bin, pos, neg FROM rb),
+c AS (SELECT bin, CAST(SUM(pos) AS DOUBLE) AS pos, CAST(SUM(neg) AS DOUBLE) AS neg FROM b GROUP BY bin),
+d AS (SELECT pos, neg, SUM(pos) OVER (ORDER BY bin) AS tp, SUM(neg) OVER (ORDER BY bin) AS fp, SUM(pos) OVER () AS n_pos, SUM(neg) OVER () AS n_neg FROM c)
+SELECT COUNT(*) AS n_bins, ROUND(SUM(neg * (tp + tp - pos)) / 2 / (MAX(n_pos) * MAX(n_neg)), 10) AS auc,
+       ROUND(SUM(pos / n_pos * (tp / (tp + fp) + CASE WHEN tp - pos + fp - neg = 0 THEN tp / (tp + fp) ELSE (tp - pos) / (tp - pos + fp - neg) END) / 2), 10) AS auc_pr
+FROM d""",
+)
+def auc_binned(spark, sf_dir):
+    """The evaluator's curve of 1,000 groups of scores, by distributed running counts."""
+    found = m.auc_binned(events(spark, sf_dir), "q", "label", num_bins=1000)
+    return found.select("n_bins", F.round("auc", 10).alias("auc"), F.round("auc_pr", 10).alias("auc_pr"))
+
+
 @register(
     "pr_points",
     sql=SQL_RANKED

@@ -121,20 +121,25 @@ g AS (SELECT q AS score, SUM(y) AS pos, SUM(1 - y) AS neg FROM ev GROUP BY q),
 r AS (SELECT pos, neg, SUM(neg) OVER (ORDER BY score) - neg AS below FROM g)
 SELECT CAST(500 AS BIGINT) AS n_replicates,
        ROUND(SUM(CAST(pos AS DOUBLE) * (below + neg / 2.0)) / (CAST(SUM(pos) AS DOUBLE) * SUM(neg)), 6) AS auc,
+       CAST(SUM(pos) AS BIGINT) AS min_pos, CAST(SUM(pos) AS BIGINT) AS max_pos,
+       CAST(SUM(neg) AS BIGINT) AS min_neg, CAST(SUM(neg) AS BIGINT) AS max_neg,
        true AS brackets_auc, true AS width_as_expected
 FROM r""",
 )
 def bootstrap_auc_ci(spark, sf_dir):
-    """500 stratified bootstrap replicates of the AUC of score q: the interval
-    holds the AUC, and is as wide as its analytic standard error lets expect."""
+    """500 stratified bootstrap replicates of the AUC of score q: every replicate
+    draws as many rows of a class as it has, the interval holds the AUC, and is
+    as wide as its analytic standard error lets expect."""
     pred = events(spark, sf_dir).select("label", "q")
-    ci = rs.bootstrap_ci(rs.bootstrap_auc(pred, "q", "label", n_boot=500, seed=42), 0.95)
+    replicates = materialise(rs.bootstrap_auc(pred, "q", "label", n_boot=500, seed=42), "replicates")
+    sizes = replicates.agg(*[f(c).alias(f"{o}_{c[2:]}") for c in ("n_pos", "n_neg") for o, f in (("min", F.min), ("max", F.max))])
+    ci = rs.bootstrap_ci(replicates, 0.95).crossJoin(F.broadcast(sizes))
     a, p, n = F.col("auc"), F.col("n_pos").cast("double"), F.col("n_neg").cast("double")
     q1, q2 = a / (2 - a), 2 * a * a / (1 + a)
     error = F.sqrt((a * (1 - a) + (p - 1) * (q1 - a * a) + (n - 1) * (q2 - a * a)) / (p * n))
     ratio = (F.col("ci_high") - F.col("ci_low")) / (2 * 1.96 * error)
     return ci.crossJoin(m.auc_exact(pred, "q", "label")).select(
-        "n_replicates", F.round("auc", 6).alias("auc"), a.between(F.col("ci_low"), F.col("ci_high")).alias("brackets_auc"), ratio.between(0.7, 1.4).alias("width_as_expected")
+        "n_replicates", F.round("auc", 6).alias("auc"), "min_pos", "max_pos", "min_neg", "max_neg", a.between(F.col("ci_low"), F.col("ci_high")).alias("brackets_auc"), ratio.between(0.7, 1.4).alias("width_as_expected")
     )
 
 

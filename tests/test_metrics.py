@@ -125,3 +125,42 @@ def test_grouped_auc_and_leaderboard(spark):
     board = m.leaderboard(m.auc_exact(df, "score", "label", ["model"]), "auc", "model").collect()
     best = max(per, key=per.get)
     assert [r["model"] for r in board if r["rank"] == 1] == [best]
+
+
+@pytest.mark.parametrize("n_blocks", [1, 4, 9])
+def test_reduced_roc_keeps_bends_and_area(spark, n_blocks):
+    """Against the definition over the whole list of points, at every cut into blocks."""
+    rng = random.Random(n_blocks)
+    rows = [(y, s) for s in range(120) for y in rng.choice([[0], [1], [0], [0, 1]])]
+    df = frame(spark, rows)
+    ranked = m.ranked_scores(df, "score", "label", n_blocks=n_blocks, neighbours=True)
+    every = sorted((r.tp, r.fp, r.threshold) for r in m.roc_points(ranked).collect() if r.threshold is not None)
+    got = sorted((r.tp, r.fp, r.threshold) for r in m.roc_points(ranked, drop_collinear=True).collect() if r.threshold is not None)
+    step = lambda i: (every[i][0] - every[i - 1][0], every[i][1] - every[i - 1][1])
+    wanted = [x for i, x in enumerate(every) if i in (0, len(every) - 1) or step(i) != step(i + 1)]
+    assert got == wanted and len(got) < len(every)
+    area = lambda pts: sum((f - g) * (t + u) / 2 for (u, g, _), (t, f, _) in zip([(0, 0, 0), *pts], pts))
+    assert area(got) == area(every)
+
+
+def test_reduced_roc_by_group(spark):
+    df = frame(spark, [(i % 2, i % 7) for i in range(40)]).withColumn("g", F.col("score") > 3)
+    ranked = m.ranked_scores(df, "score", "label", ["g"], n_blocks=5, neighbours=True)
+    last = {r.g: (r.pos_next, r.neg_next) for r in ranked.where("tp = n_pos AND fp = n_neg").collect()}
+    assert last == {True: (None, None), False: (None, None)}
+    assert ranked.where("pos_next IS NULL").count() == 2
+
+
+@pytest.mark.parametrize("bins", [1, 7, 20, 1000])
+def test_binned_auc_equals_the_evaluator(spark, bins):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rng = random.Random(bins)
+    rows = [(y, round(rng.random() + 0.3 * y, 3)) for y in (rng.randint(0, 1) for _ in range(900))]
+    df = frame(spark, rows).coalesce(1)
+    ev = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=bins)
+    got = m.auc_binned(df, "score", "label", bins, n_blocks=5).first()
+    # the evaluator's groups end at its partitions' ends: one partition
+    assert got.auc == pytest.approx(ev.evaluate(df), abs=1e-12)
+    assert got.auc_pr == pytest.approx(ev.setMetricName("areaUnderPR").evaluate(df), abs=1e-12)
+    assert m.auc_binned(df.where("label = 1"), "score", "label", bins).first().auc is None

@@ -79,6 +79,36 @@ def test_bootstrap_ci_properties(spark):
     assert ci["ci_low"] <= ci["mean"] <= ci["ci_high"]
 
 
+def test_draw_tree_is_a_multinomial_with_a_fixed_total():
+    """Rows' counts: fixed totals, the same from any task, mean 1, variance and covariance of a multinomial."""
+    n, boots = 5000, 400
+    whole = rs.DrawTree(3, 1, n, boots).below(np.arange(n + 1))
+    assert (whole[:, 0] == 0).all() and (whole[:, -1] == n).all()
+    counts = np.diff(whole, axis=1)
+    assert counts.min() == 0 and not (counts[0] == counts[1]).all()
+    for ends in ([0, 1, 1023, 1024, 1025], [2048, 4999, 5000], [700], [], [5000]):
+        assert (rs.DrawTree(3, 1, n, boots).below(np.array(ends, np.int64)) == whole[:, ends]).all()
+    assert abs(counts.mean(0).std() - 1 / np.sqrt(boots)) < 0.005 and abs(counts.var() - 1) < 0.01
+    halves = np.stack([whole[:, 2500], n - whole[:, 2500]])
+    assert 0.85 < halves[0].std() / np.sqrt(n / 4) < 1.15
+    for other in (rs.DrawTree(4, 1, n, boots), rs.DrawTree(3, 0, n, boots)):
+        assert (other.below(np.arange(n + 1)) != whole).any()
+    assert rs.DrawTree(3, 1, 0, boots).below(np.zeros(2, np.int64)).tolist() == [[0, 0]] * boots
+    assert (rs.DrawTree(3, 1, 1, boots).below(np.arange(2)) == [0, 1]).all()
+
+
+@pytest.mark.parametrize("sizes", [(1, 1), (3, 1500), (1025, 1024)])
+def test_replicates_keep_class_sizes(spark, sizes):
+    rows = [(float(y), (i * 7919 % 101) / 10 + y) for y in (0, 1) for i in range(sizes[y])]
+    df = spark.createDataFrame(rows, "label double, score double")
+    got = rs.bootstrap_auc(df, "score", "label", 20, 1, n_blocks=3).collect()
+    assert len(got) == 20 and {(r["n_neg"], r["n_pos"]) for r in got} == {sizes}
+    assert all(0 <= r["auc"] <= 1 for r in got)
+    assert rs.bootstrap_auc(df.limit(0), "score", "label", 20, 1).count() == 0
+    one_class = rs.bootstrap_auc(df.where("label = 1"), "score", "label", 20, 1).collect()
+    assert {r["auc"] for r in one_class} == {None}
+
+
 def test_bootstrap_of_many_equal_scores(spark):
     """Mean and spread of the replicates against the exact AUC and a
     resampling of the rows themselves."""
