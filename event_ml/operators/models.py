@@ -11,6 +11,7 @@ import contextlib
 import time
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from itertools import product
 
 from pyspark import StorageLevel
@@ -141,7 +142,23 @@ def feature_importances(spark: SparkSession, model, feature_names: Sequence[str]
     return imp.join(F.broadcast(names), "ordinal").select("feature", "importance", "ordinal")
 
 
-def cross_validate(
+def ranked_together(parts: Sequence[tuple[dict, DataFrame]], label_col: str = "label") -> DataFrame:
+    """Exact AUC and class sizes of several scored tables, (names..., n_pos, n_neg, auc).
+
+    ``parts`` pairs a table of predictions with the values that name it (the
+    same names everywhere).  All scores are one long table with the names as
+    group columns, so it is counted, ordered and summed once, however many
+    models there are.
+    """
+    groups = list(parts[0][0])
+    scored = [
+        pred.select(*[F.lit(names[g]).alias(g) for g in groups], F.col(label_col).alias("label"), score_column(pred).alias("score"))
+        for names, pred in parts
+    ]
+    return m.auc_exact(reduce(DataFrame.unionByName, scored), "score", "label", group_cols=groups)
+
+
+def cross_validate_folds(
     df: DataFrame,
     name: str,
     grid: dict[str, Sequence[float]],
@@ -151,26 +168,36 @@ def cross_validate(
     features_col: str = "features",
     label_col: str = "label",
 ) -> DataFrame:
-    """k-fold CV over a parameter grid with a user fold column (hash folds:
-    reproducible and partition-independent).  Rows: (params, avg_auc), the
-    mean of the folds' exact AUCs (``metrics.auc_exact``)."""
+    """k-fold CV over a grid of any parameters with a user fold column (hash folds:
+    reproducible and partition-independent): (setting, params, fold, n_pos,
+    n_neg, auc), a row for each setting and held-out fold.
+
+    Fits are submitted ``parallelism`` at a time; the held-out scores of all of
+    them are evaluated together.  A fold without rows has no row; one without a
+    row of a class has a null AUC.
+    """
     settings = [dict(zip(grid, values)) for values in product(*grid.values())]
+    jobs = [(i, fold) for i in range(len(settings)) for fold in range(num_folds)]
 
-    def one(job: tuple[dict, int]) -> float:
-        params, fold = job
-        model = make_estimator(name, features_col, label_col, **params).fit(df.where(F.col(fold_col) != fold))
-        held = model.transform(df.where(F.col(fold_col) == fold))
-        scored = held.select(F.col(label_col).alias("label"), score_column(held).alias("score"))
-        return m.auc_exact(scored, "score", "label").first()["auc"]
+    def fitted(job: tuple[int, int]):
+        i, fold = job
+        return make_estimator(name, features_col, label_col, **settings[i]).fit(df.where(F.col(fold_col) != fold))
 
-    jobs = [(params, fold) for params in settings for fold in range(num_folds)]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        aucs = list(pool.map(one, jobs))
-    rows = [
-        ({k: float(v) for k, v in params.items()}, sum(aucs[i * num_folds : (i + 1) * num_folds]) / num_folds)
-        for i, params in enumerate(settings)
-    ]
-    return df.sparkSession.createDataFrame(rows, "params map<string,double>, avg_auc double")
+        models = list(pool.map(fitted, jobs))
+    held = [({"setting": i, "fold": fold}, model.transform(df.where(F.col(fold_col) == fold))) for (i, fold), model in zip(jobs, models, strict=True)]
+    aucs = ranked_together(held, label_col)
+    rows = [(i, {k: float(v) for k, v in params.items()}) for i, params in enumerate(settings)]
+    named = df.sparkSession.createDataFrame(rows, "setting int, params map<string,double>")
+    # a row a setting
+    return aucs.join(F.broadcast(named), "setting").select("setting", "params", "fold", "n_pos", "n_neg", "auc")
+
+
+def cross_validate(df: DataFrame, name: str, grid: dict[str, Sequence[float]], **options) -> DataFrame:
+    """(params, avg_auc): the mean of the folds' AUCs of ``cross_validate_folds``."""
+    folds = cross_validate_folds(df, name, grid, **options)
+    mean = folds.groupBy("setting").agg(F.first("params").alias("params"), F.avg("auc").alias("avg_auc"))
+    return mean.select("params", "avg_auc")
 
 
 def fit_all(

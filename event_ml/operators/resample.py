@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from event_ml.functions.prefix import ordered_prefix
 from event_ml.operators import metrics as m
-from event_ml.operators.splits import hash_sample
+from event_ml.operators.splits import TWO32, hash_sample, key_hash
 
 # The map functions below run in Python workers; ship them by value so
 # executors need not have this package installed or on their path.
@@ -199,28 +199,33 @@ def stability(
     parallelism: int = 4,
 ) -> DataFrame:
     """Refit on train with a fraction removed (deterministic hash sample,
-    salt = trial * 100); (perturbation_pct, trial, test_auc) per refit.
-    ``fit_fn(train_subset)`` returns a fitted model.  Each fit is a
-    distributed job; up to ``parallelism`` refits are submitted at once from
-    driver threads (Spark runs concurrent jobs), which fills the cluster when
-    single fits are too small to use it."""
+    salt = trial * 100): (perturbation_pct, trial, n_removed, removed_keys,
+    test_auc) per refit.
+
+    ``removed_keys`` adds the keys' 32-bit hashes, so a trial's removed rows can
+    be told from another's.  ``fit_fn(train_subset)`` returns a fitted model;
+    up to ``parallelism`` refits are submitted at once from driver threads,
+    which fills the cluster when single fits are too small to use it.  The
+    scores of all refits are one long table, evaluated once.
+    """
     from concurrent.futures import ThreadPoolExecutor
 
-    def one(frac: float, trial: int):
-        subset = hash_sample(train, key, 1.0 - frac, salt=f"stab{trial * 100}")
-        model = fit_fn(subset)
-        pred = model.transform(test)
-        scored = pred.select("label", m_score(pred).alias("score"))
-        auc = m.auc_exact(scored, "score", "label").first()["auc"]
-        return (int(round(frac * 100)), trial, float(auc))
+    from event_ml.operators.models import ranked_together
 
-    jobs = [(frac, trial) for frac in levels for trial in range(trials)]
+    jobs = [(int(round(frac * 100)), frac, trial) for frac in levels for trial in range(trials)]
+    salt = lambda trial: f"stab{trial * 100}"
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(lambda ft: one(*ft), jobs))
-    return train.sparkSession.createDataFrame(rows, "perturbation_pct int, trial int, test_auc double")
-
-
-def m_score(pred: DataFrame):
-    from event_ml.operators.models import score_column
-
-    return score_column(pred)
+        models = list(pool.map(lambda job: fit_fn(hash_sample(train, key, 1.0 - job[1], salt=salt(job[2]))), jobs))
+    scored = [({"perturbation_pct": pct, "trial": trial}, model.transform(test)) for (pct, _, trial), model in zip(jobs, models, strict=True)]
+    aucs = ranked_together(scored)
+    # one pass over train counts what every trial removed
+    gone = [(pct, trial, key_hash(key, salt(trial)) >= int(round((1.0 - frac) * TWO32))) for pct, frac, trial in jobs]
+    items = [
+        F.struct(F.lit(pct).alias("perturbation_pct"), F.lit(trial).alias("trial"), F.count_if(out).alias("n_removed"), F.coalesce(F.sum(F.when(out, key_hash(key))), F.lit(0)).alias("removed_keys"))
+        for pct, trial, out in gone
+    ]
+    removed = train.agg(F.array(*items).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+    # a row a refit
+    return F.broadcast(removed).join(aucs, ["perturbation_pct", "trial"]).select(
+        "perturbation_pct", "trial", "n_removed", "removed_keys", F.col("auc").alias("test_auc")
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,6 +51,27 @@ def weak_scaling(
     return spark.createDataFrame(rows, "input string, rows long, time_s double, type string")
 
 
+def partition_balance(df: DataFrame, partitions: Sequence[int] = (8, 16, 32)) -> DataFrame:
+    """(partitions, n_rows, n_filled, largest, ideal_rows, ideal_share, largest_share):
+    how evenly ``repartition(p)`` spreads the rows for every ``p``.
+
+    Each count is a row a partition before it is summed; the ideal line is what
+    p equal parts would hold.  An empty table has rows of zeros and null shares.
+    """
+    found = []
+    for p in partitions:
+        parts = df.select(F.lit(1).alias("one")).repartition(int(p)).groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
+        found.append(
+            parts.agg(
+                F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_filled"), F.coalesce(F.max("n"), F.lit(0)).alias("largest")
+            ).select(F.lit(int(p)).alias("partitions"), "*")
+        )
+    table = reduce(DataFrame.unionByName, found)
+    return table.select(
+        "*", (F.col("n_rows") / F.col("partitions")).alias("ideal_rows"), (1 / F.col("partitions")).alias("ideal_share"), F.try_divide("largest", "n_rows").alias("largest_share")
+    )
+
+
 def ideal_line(table: DataFrame, p_col: str = "partitions", t_col: str = "time_s") -> DataFrame:
     """Adds ideal_time_s = t0 * p0 / p from the first row (smallest p).  The
     table has one row per measured configuration, so the global window is

@@ -8,7 +8,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from event_ml.functions.columns import vector_string
+from event_ml.operators import certificates as ct
 from event_ml.operators import features as fe
+from event_ml.operators import scaling as sc
 from event_ml.plans.explore_plans import ENG_NAMES, SQL_ENG, lineitem_engineer
 from event_ml.plans.registry import register
 from event_ml.sources.tables import NUMERIC_FEATURES, SQL_DIRTY, SQL_EVENTS, dirty_events, events, read_table
@@ -95,26 +97,45 @@ def vector_serialise(spark, sf_dir):
 
 @register(
     "pca_variance",
-    sql="""WITH e AS (SELECT unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
-s AS (SELECT i, VAR_SAMP(CAST(v AS DOUBLE)) AS var FROM e GROUP BY i),
-t AS (SELECT ROUND(SUM(var), 6) AS total_variance FROM s)
-SELECT CAST(c.component AS INTEGER) AS component, t.total_variance, true AS ordered, true AS matches_projection
-FROM (SELECT unnest(range(1, 21)) AS component) c CROSS JOIN t""",
+    sql="""WITH e AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+m AS (SELECT i, AVG(v) AS mean FROM e GROUP BY i),
+d AS (SELECT vec_id, e.i, v - mean AS v FROM e JOIN m ON e.i = m.i),
+c AS (SELECT a.i, b.i AS j, SUM(a.v * b.v) / (COUNT(*) - 1) AS cov FROM d a JOIN d b ON a.vec_id = b.vec_id GROUP BY a.i, b.i),
+t AS (SELECT ROUND(SUM(cov) FILTER (i = j), 6) AS total_variance, ROUND(SUM(cov * cov), 6) AS squared_norm FROM c)
+SELECT CAST(k.component AS INTEGER) AS component, t.total_variance, t.squared_norm, true AS ordered, true AS share_matches, true AS matches_projection
+FROM (SELECT unnest(range(1, 21)) AS component) k CROSS JOIN t""",
 )
 def pca_variance(spark, sf_dir):
-    """PCA(k=20) of the 64-dim embeddings: per component whether its share is
-    no larger than the one before, and whether share times total variance is
-    the variance of the projected column."""
-    emb = read_table(spark, sf_dir, "embeddings").select("embedding", array_to_vector("embedding").alias("raw"))
-    model, shares = fe.fit_pca(emb, "raw", k=20, target=0.95)
+    """The 20 largest of 64 principal components of the embeddings: the spectrum's
+    sums are the covariance's trace and squared norm; a component's variance is
+    no larger than the one before, its cumulative share is the model's, and it
+    is the variance of the projected column."""
+    emb = read_table(spark, sf_dir, "embeddings").select(F.col("embedding").cast("array<double>").alias("embedding"), array_to_vector("embedding").alias("raw"))
     dims = len(emb.first()["embedding"])
-    totals = emb.select(*[F.col("embedding")[i].cast("double").alias(f"d{i}") for i in range(dims)])
-    total = totals.agg(sum((F.var_samp(f"d{i}") for i in range(1, dims)), F.var_samp("d0")).alias("total_variance"))
+    found = ct.spectrum(emb, F.col("embedding"), dims, k=20)
+    model, shares = fe.fit_pca(emb, "raw", k=20, target=0.95)
     columns = model.transform(emb).select(*[vector_to_array("_pca")[i].alias(f"p{i}") for i in range(20)])
     spread = columns.agg(F.array(*[F.var_samp(f"p{i}") for i in range(20)]).alias("v"))
-    spread = spread.select(F.posexplode("v").alias("i", "variance")).select((F.col("i") + 1).alias("component"), "variance")
-    before = F.lag("explained_variance").over(Window.orderBy("component"))
-    near = F.abs(F.col("explained_variance") * F.col("total_variance") - F.col("variance")) < 1e-6 * F.col("total_variance")
-    return shares.withColumn("ordered", F.coalesce(before >= F.col("explained_variance"), F.lit(True))).join(spread, "component").crossJoin(total).select(
-        "component", F.round("total_variance", 6).alias("total_variance"), "ordered", near.alias("matches_projection")
-    )
+    spread = spread.select(F.posexplode("v").alias("i", "projected")).select((F.col("i") + 1).alias("component"), "projected")
+    before = F.lag("variance").over(Window.orderBy("component"))
+    same = (F.abs(F.col("share") - F.col("explained_variance")) < 1e-9) & (F.col("reached_target") == F.col("reached_model"))
+    both = found.join(shares.select("component", "explained_variance", F.col("reached_target").alias("reached_model")), "component").join(spread, "component")
+    return both.select(
+        "component", F.round("total", 6).alias("total_variance"), F.round("squared", 6).alias("squared_norm"), F.coalesce(before >= F.col("variance"), F.lit(True)).alias("ordered"),
+        same.alias("share_matches"), (F.abs(F.col("variance") - F.col("projected")) < 1e-6 * F.col("total")).alias("matches_projection"),
+    )
+
+
+@register(
+    "partition_balance",
+    sql="""SELECT CAST(p AS INTEGER) AS partitions, n AS n_rows, CAST(p AS BIGINT) AS n_filled, CAST(n AS DOUBLE) / p AS ideal_rows,
+       CAST(1 AS DOUBLE) / p AS ideal_share, true AS balanced
+FROM (SELECT COUNT(*) AS n FROM lineitem) CROSS JOIN (VALUES (8), (16), (32)) AS x(p)""",
+)
+def partition_balance(spark, sf_dir):
+    """Rows of every partition after a repartition, against the ideal line: no
+    partition exceeds its share by more than a row for each input partition."""
+    rows = read_table(spark, sf_dir, "lineitem").select("l_orderkey")
+    found = sc.partition_balance(rows, (8, 16, 32))
+    inputs = rows.select(F.spark_partition_id().alias("part")).distinct().count()
+    return found.select("partitions", "n_rows", "n_filled", "ideal_rows", "ideal_share", (F.col("largest") - F.col("ideal_rows") <= inputs).alias("balanced"))

@@ -200,6 +200,30 @@ def leaderboard_json(spark, sf_dir):
     return w.taken(back.select("model", "result.auc", "result.rank", "result.lift_over_baseline"), path)
 
 
+@register(
+    "results_map_json",
+    sql=f"""WITH board AS ({SQL_LEADERBOARD}),
+{SQL_EVENTS},
+p AS (SELECT l_linenumber AS model, CAST(MIN(q) AS DOUBLE) AS lowest, CAST(MAX(q) AS DOUBLE) AS highest, CAST(COUNT(*) AS DOUBLE) AS n_rows FROM ev GROUP BY l_linenumber)
+SELECT CAST(b.model AS VARCHAR) AS model, auc AS val_auc, rank, unnest(map_keys(m)) AS param, unnest(map_values(m)) AS value
+FROM board b JOIN (SELECT model, MAP {{'lowest': lowest, 'highest': highest, 'n_rows': n_rows}} AS m FROM p) p ON b.model = p.model""",
+)
+def results_map_json(spark, sf_dir):
+    """All results as one object {model: {figures, params: {name: number}}}, read
+    back with the declared map schema and flattened to a row a parameter."""
+    ev = events(spark, sf_dir)
+    found = ev.groupBy(F.col("l_linenumber").alias("model")).agg(
+        F.create_map(F.lit("lowest"), F.min("q").cast("double"), F.lit("highest"), F.max("q").cast("double"), F.lit("n_rows"), F.count(F.lit(1)).cast("double")).alias("best_params")
+    )
+    board = leaderboard(spark, sf_dir).join(found, "model")  # a row a model
+    entry = F.struct(F.col("model").cast("string"), F.struct(F.col("auc").alias("val_auc"), "rank", "best_params"))
+    path = w.scratch_path(spark, "results")
+    w.write_result_table(board.agg(F.map_from_entries(F.collect_list(entry)).alias("results")), path, fmt="json")
+    back = spark.read.schema("results map<string, struct<val_auc: double, rank: bigint, best_params: map<string, double>>>").json(path)
+    models = back.select(F.explode("results").alias("model", "r"))
+    return w.taken(models.select("model", "r.val_auc", "r.rank", F.explode("r.best_params").alias("param", "value")), path)
+
+
 _SQL_TEXT = "concat_ws(',', l_orderkey, l_linenumber, " + ", ".join(f"CAST(ROUND({c} * 100) AS BIGINT)" for c in NUMERIC_FEATURES[:-1]) + ")"
 
 
