@@ -95,7 +95,7 @@ class PieceVocabulary:
 
     def encode(self, texts: Sequence[list[str]]) -> list[np.ndarray | None]:
         """One id array for each text's chunks; None where the pieces aren't the text."""
-        known = self.known.held(c for chunks in texts for c in chunks)
+        known = self.known.held(set().union(*texts))
         fresh = [c for c, v in known.items() if v is None]
         for chunk, ids in zip(fresh, self.model.encode([c[1:] for c in fresh], num_threads=1), strict=True):
             same = b"".join([self.bytes[i] for i in ids]) == chunk.encode()

@@ -75,7 +75,7 @@ def pack(
     """One row a piece: its document, the place in it, and the place in a sequence.
 
     A document's ids are those of its text (null: none) and then ``end_id``, so
-    empty documents have one token.  Repeated rows are packed as documents of
+    empty documents have one token; the string of a special token gives its id.  Repeated rows are packed as documents of
     their own; a null id stays null; other columns are not read.  No rows give
     no pieces.  ``sequence_id`` is the task's number and a count inside it.
     """
@@ -104,7 +104,7 @@ def pack(
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = part.column(1).to_pylist()
-                for doc, own in zip(part.column(0).to_pylist(), encoder(vocabulary).encode(texts), strict=True):
+                for doc, own in zip(part.column(0).to_pylist(), encoder(vocabulary, special=True).encode(texts), strict=True):
                     ids.append(doc)
                     tokens.append(np.concatenate([own, end]))
                     held += len(own) + 1

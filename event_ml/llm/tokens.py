@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterable, Sequence
 
 import numpy as np
+import regex
 
 from event_ml.llm.common import kept_in_worker
 
@@ -30,15 +33,14 @@ class Recent:
         self.old: dict = {}
 
     def held(self, keys: Iterable) -> dict:
-        """Each distinct key with its entry, None where there is none."""
+        """Each of the (distinct) keys with its entry, None where there is none."""
         young, old = self.young, self.old
         out = {}
         for key in keys:
-            if key not in out:
-                value = young.get(key)
-                if value is None and (value := old.get(key)) is not None:
-                    young[key] = value
-                out[key] = value
+            value = young.get(key)
+            if value is None and (value := old.get(key)) is not None:
+                young[key] = value
+            out[key] = value
         return out
 
     def keep(self, entries: dict) -> None:
@@ -47,44 +49,103 @@ class Recent:
             self.young, self.old = {}, self.young
 
 
-class ChunkEncoder:
-    """Encodes texts chunk by chunk, each distinct chunk once.
+#: Suffix of a vocabulary's entries that end a word, and the byte that stands for it: no text in UTF-8 has this byte.
+WORD_END, END_BYTE = "</w>", b"\xff"
+
 
-    A chunk is a run without ASCII white space.  The vocabulary's normaliser
-    and its pre-tokenizer drop white space and never look across it, so a
-    text's ids are those of its chunks in order.  At most ``max_entries``
-    chunks are remembered; later ones are encoded again when they return.
-    Strings that look like special tokens are ordinary text.
+class ChunkEncoder:
+    """Encodes texts chunk by chunk, each distinct chunk of late only once.
+
+    A chunk is a run without ASCII white space, in lower case.  The vocabulary's
+    normaliser lowers case, and it and the pre-tokenizer drop white space and
+    never look across it, so a text's ids are those of its chunks in order.  A
+    new chunk is cut into the pre-tokenizer's words (letters, single digits,
+    other characters, contractions), and a new word is merged by the
+    vocabulary's ranks.  Chunks with characters beyond Latin, whose case and
+    composition have rules of their own, and very long words are left to the
+    tokenizer itself.
+
+    With ``special`` a text that holds a special token's string is encoded by
+    the tokenizer as a whole, so it gives the special id; else such strings are
+    ordinary text.
     """
 
-    def __init__(self, vocabulary: str, dtype: str = "<u4", max_entries: int = 400_000):
+    ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    LATIN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\x85\xa0\p{L}\p{N}]+")
+    #: Characters below it are composed already, and their case has one form.
+    BEYOND = "\u0250"
+
+    def __init__(self, vocabulary: str, dtype: str = "<u4", special: bool = False, max_entries: int = 250_000, longest: int = 1000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
-        self.dtype, self.max_entries = dtype, max_entries
-        self.known: dict[bytes, bytes] = {}
+        self.tokenizer.encode_special_tokens = not special
+        with open(vocabulary, encoding="utf-8") as f:
+            file = json.load(f)
+        names = {t["content"] for t in file["added_tokens"]}
+        self.special = sorted(names) if special else []
+        self.ranks = self._ranks(file["model"]["vocab"], names)
+        self.merge = tiktoken.Encoding("words", pat_str=".", mergeable_ranks=self.ranks, special_tokens={})._core_bpe.encode_single_piece
+        self.dtype, self.longest = np.dtype(dtype), longest
+        self.known = Recent(max_entries)
+
+    @staticmethod
+    def _ranks(vocabulary: dict[str, int], special: set[str]) -> dict[bytes, int]:
+        """The vocabulary's entries as bytes.  Its ids are the merges' order."""
+        # the byte-level alphabet: printable bytes are themselves, the others follow from 256 on
+        same = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+        other = [b for b in range(256) if b not in same]
+        byte = {chr(b): b for b in same} | {chr(256 + i): b for i, b in enumerate(other)}
+        out = {}
+        for entry, i in vocabulary.items():
+            if entry not in special:
+                end = entry.endswith(WORD_END)
+                out[bytes(byte[c] for c in entry.removesuffix(WORD_END)) + END_BYTE * end] = i
+        return out
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """One id array a text; null and blank texts give an empty one."""
-        split = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        known = self.known
-        fresh = self._lookup(list({w for words in split for w in words if w not in known}))
-        if len(known) + len(fresh) <= self.max_entries:
-            known.update(fresh)
-            return [self._joined(map(known.__getitem__, words)) for words in split]
-        return [self._joined(known[w] if w in known else fresh[w] for w in words) for words in split]
-
-    def _joined(self, parts: Iterable[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join(parts), self.dtype)
-
-    def _lookup(self, words: list[bytes]) -> dict[bytes, bytes]:
-        found = self.tokenizer.encode_batch([w.decode("utf-8") for w in words], add_special_tokens=False)
-        return {w: np.array(e.ids, self.dtype).tobytes() for w, e in zip(words, found, strict=True)}
-
-
+        texts = [t or "" for t in texts]
+        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
+        split = [[] if i in whole else t.encode("utf-8", "replace").lower().split() for i, t in enumerate(texts)]
+        known = self.known.held(set().union(*split))
+        fresh = [w for w, ids in known.items() if ids is None]
+        if fresh:
+            known.update(self._looked_up(fresh))
+            self.known.keep({w: known[w] for w in fresh})
+        out = [np.frombuffer(b"".join([known[w] for w in words]), self.dtype) for words in split]
+        for i in whole:
+            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, self.dtype)
+        return out
 
-def encoder(vocabulary: str, dtype: str = "<u4") -> ChunkEncoder:
+    def _words(self, chunk: bytes) -> list[bytes] | None:
+        """The pre-tokenizer's words of a chunk; None where they are left to the tokenizer."""
+        if chunk.isascii():
+            return [chunk] if chunk.isalpha() else self.ASCII.findall(chunk)
+        text = chunk.decode("utf-8").lower()
+        if max(text) >= self.BEYOND:
+            return None
+        return [w.encode() for w in self.LATIN.findall(text)]
+
+    def _looked_up(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        words = {c: self._words(c) for c in chunks}
+        known = self.known.held({w for own in words.values() for w in own or ()})
+        new, left = {}, [c for c, own in words.items() if own is None]
+        for w, ids in known.items():
+            if ids is None:
+                if len(w) > self.longest:
+                    left.append(w)
+                else:
+                    new[w] = np.array(self.merge(w + END_BYTE), self.dtype).tobytes()
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in left], add_special_tokens=False)
+        new.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(left, found, strict=True))
+        known.update(new)
+        self.known.keep({w: ids for w, ids in new.items() if len(w) <= 64})
+        return {c: known[c] if own is None else b"".join([known[w] for w in own]) for c, own in words.items()}
+
+
+def encoder(vocabulary: str, dtype: str = "<u4", special: bool = False) -> ChunkEncoder:
     """The Python worker's encoder."""
-    return kept_in_worker(("encoder", vocabulary, dtype), lambda: ChunkEncoder(vocabulary, dtype))
+    return kept_in_worker(("encoder", vocabulary, dtype, special), lambda: ChunkEncoder(vocabulary, dtype, special))

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -9,19 +10,41 @@ from event_ml.llm import packing, separators, tokens
 from event_ml.llm.common import scratch_dir
 
 
-@pytest.fixture(scope="module")
-def direct():
+def reader(special):
     t = Tokenizer.from_file(tokens.default_vocabulary())
-    t.encode_special_tokens = True
+    t.encode_special_tokens = not special
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
-def test_chunks_give_the_ids_of_whole_texts(direct, texts):
-    odd = ["", None, "  x y ", "a\x1cb", "é ́e", "ΟΔΟΣ ΟΔΟΣ.", "don't I'LL", "<|endoftext|> a<|endoftext|>", "日本語 テスト 🙂👍", "\x00\x01 �"]
-    several = odd + list(texts.values())[:60]
+@pytest.fixture(scope="module")
+def direct():
+    """The contract's call: strings of special tokens give their ids."""
+    return reader(True)
+
+
+ODD = ["", None, "  x y ", "a\x1cb", "é ́e", "ΟΔΟΣ ΟΔΟΣ.", "don't I'LL x''s !'s 'S", "日本語 テスト 🙂👍", "\x00\x01 �", "a\x85b\xa0c ÀÉÎ ß ĲŸ ¹²½ ªº İI ǅ ſ", "l" * 5000, "aé" * 3000]
+MARKED = ["<|endoftext|> a<|endoftext|>", "x <|endoftext|> y", "<|ENDOFTEXT|>", "a<|startoftext|>B c", "<|endoftext |>"]
+
+
+@pytest.mark.parametrize("special", [False, True])
+def test_chunks_give_the_ids_of_whole_texts(texts, special):
+    wanted = reader(special)
+    several = ODD + MARKED + list(texts.values())[:60] + ODD
     for limit in (500_000, 10):
-        encoder = tokens.ChunkEncoder(tokens.default_vocabulary(), max_entries=limit)
-        assert [x.tolist() for x in encoder.encode(several)] == [direct(t) for t in several]
+        encoder = tokens.ChunkEncoder(tokens.default_vocabulary(), special=special, max_entries=limit)
+        for at in (0, 0, 40):
+            assert [x.tolist() for x in encoder.encode(several[at:])] == [wanted(t) for t in several[at:]]
+    assert wanted("x <|endoftext|> y") == [343, 49407, 344] or not special
+
+
+def test_words_merge_as_the_tokenizer_merges():
+    """Words of all lengths and alphabets, cut and merged here, against the tokenizer."""
+    rng, wanted = random.Random(11), reader(False)
+    letters = ["abcdefghijklmnopqrstuvwxyz", "etaoin", "aàâäæçéèêëîïôœùûüÿñßø", "ąćęłńóśźż", "0123456789", "'sdltmre!?.,-", "abcABC019'!é "]
+    encoder = tokens.ChunkEncoder(tokens.default_vocabulary(), max_entries=1000)
+    lines = [" ".join("".join(rng.choices(rng.choice(letters), k=rng.randint(1, 24))) for _ in range(40)) for _ in range(500)]
+    lines += [f"a{chr(c)}b {chr(c)}1{chr(c)} {chr(c)}'s" for c in [*range(1, 0x600), 0x1E9E, 0x212B, 0xFB01, 0x3000, 0xAC00, 0x1F600]]
+    assert [x.tolist() for x in encoder.encode(lines)] == [wanted(t) for t in lines]
 
 
 def check_packing(rows, wanted, capacity):
