@@ -1,6 +1,8 @@
 import hashlib
 import io
 import math
+import random
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -159,6 +161,56 @@ def test_rules_of_four_tokens(spark):
     assert rules == {(("a", "b", "c", "d"), "block"): 1.0} | {k: round(c, 9) for k, (c, _) in slow_mining(labelled, 0.01, 0.8, 4).items()}
 
 
+def judged_slowly(urls, labelled_by):
+    """Verdicts by counting all token sets; ``urls`` are (url, tokens)."""
+    rules = slow_mining([(t, labelled_by(u)[2][0]) for u, t in urls if labelled_by(u)[2]], 0.01, 0.8, 12)
+    out = []
+    for u, t in urls:
+        best = labelled_by(u)[2]
+        fitting = [(c, s, len(a), " ".join(a), v) for (a, v), (c, s) in rules.items() if set(a) <= set(t)]
+        out.append(best[0] if best else max(fitting)[4] if fitting else "allow")
+    return out
+
+
+def long_urls(n, words, rng):
+    """Sites with a template of ``words`` path words that all their URLs share, and a word or two that tell."""
+    out = []
+    for i in range(n):
+        host = rng.choice(["a.org", "b.com", "c.net", "example.org"])
+        start = rng.choice(["/de", "/fr", "/es", "/en/1", ""]) if host != "a.org" else ""
+        same = "/".join(chr(97 + j % 26) * 2 + "x" * (j // 26) for j in range(words))
+        out.append(f"http://{host}{start}/{same}/{rng.choice(['red', 'green', 'blue'])}-{rng.choice(['one', 'two'])}")
+    return out
+
+
+def test_rules_of_urls_with_shared_words(spark):
+    rng = random.Random(4)
+    urls = long_urls(300, 3, rng)
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    host, path = url_rules.host_and_path(F.col("url"))
+    tokens = {r.url: r.t for r in df.select("url", url_rules.tokens(host, path).alias("t")).collect()}
+    got = {r.page_id: r.verdict for r in url_rules.judge(df).collect()}
+    assert [got[i] for i in range(300)] == judged_slowly([(u, tokens[u]) for u in urls], slow_rule)
+
+
+@pytest.mark.parametrize("words", [15, 30])
+def test_long_urls_are_mined_in_seconds(spark, words):
+    """The same verdicts as with three shared words: the template is one item."""
+    short, long = long_urls(400, 3, random.Random(9)), long_urls(400, words, random.Random(9))
+    began = time.monotonic()
+    verdicts = [{r.page_id: (r.verdict, r.confidence) for r in url_rules.judge(spark.createDataFrame(list(enumerate(u)), "page_id long, url string")).collect()} for u in (short, long)]
+    assert verdicts[0] == verdicts[1] and len(set(verdicts[0].values())) > 2
+    assert time.monotonic() - began < 120
+
+
+def test_items_of_tokens(spark):
+    """Tokens with the same URLs are one item; those of one verdict or of all URLs are alone."""
+    labelled = [(list("abxz"), "block")] * 3 + [(list("abyz"), "allow")] * 3 + [(list("cz"), "allow")] * 2 + [(["q", "z"], "allow")]
+    df = spark.createDataFrame(labelled, "tokens array<string>, verdict string")
+    got = {r.token: (r.item, r.n, r.alone) for r in url_rules.token_items(df, 2, 9).collect()}
+    assert got == {"a": ("a", 6, False), "b": ("a", 6, False), "x": ("x", 3, True), "y": ("y", 3, True), "c": ("c", 2, True), "z": ("z", 9, True)}
+
+
 def test_rules_of_odd_urls(spark):
     urls = ["http://A.ORG?x", "https://example.org/es/", "https://x.example.org/en/12#y", "https://example.org/en", "//a.org/", "", None, "a://b://org/x", "http://org", "http://notorg/", "http://m.com/fr/1", "http://com/de/", "ftp://café.org/É x", "http://x.org/\n/es"]
     df = spark.createDataFrame([(i if i else None, u, "x", "y") for i, u in enumerate(urls + urls[:2])], "page_id long, url string, host string, rule string")
