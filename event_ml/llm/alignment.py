@@ -95,12 +95,13 @@ class PieceVocabulary:
 
     def encode(self, texts: Sequence[list[str]]) -> list[np.ndarray | None]:
         """One id array for each text's chunks; None where the pieces aren't the text."""
-        known = self.known.held(set().union(*texts))
+        known = {c: self.known.get(c) for c in set().union(*texts)}
         fresh = [c for c, v in known.items() if v is None]
         for chunk, ids in zip(fresh, self.model.encode([c[1:] for c in fresh], num_threads=1), strict=True):
             same = b"".join([self.bytes[i] for i in ids]) == chunk.encode()
             known[chunk] = np.array(ids, "<i4").tobytes() if same else b"?"
-        self.known.keep({c: known[c] for c in fresh if len(c) <= 40})
+            if len(chunk) <= 40:
+                self.known.put(chunk, known[chunk])
         out = []
         for chunks in texts:
             parts = [known[c] for c in chunks]

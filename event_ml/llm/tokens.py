@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterable, Sequence
+from array import array
+from collections.abc import Sequence
 
 import numpy as np
 import regex
@@ -32,19 +33,15 @@ class Recent:
         self.young: dict = {}
         self.old: dict = {}
 
-    def held(self, keys: Iterable) -> dict:
-        """Each of the (distinct) keys with its entry, None where there is none."""
-        young, old = self.young, self.old
-        out = {}
-        for key in keys:
-            value = young.get(key)
-            if value is None and (value := old.get(key)) is not None:
-                young[key] = value
-            out[key] = value
-        return out
+    def get(self, key):
+        """The key's entry, None if there is none."""
+        value = self.young.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
 
-    def keep(self, entries: dict) -> None:
-        self.young.update(entries)
+    def put(self, key, value) -> None:
+        self.young[key] = value
         if len(self.young) >= self.size:
             self.young, self.old = {}, self.young
 
@@ -75,7 +72,7 @@ class ChunkEncoder:
     #: Characters below it are composed already, and their case has one form.
     BEYOND = "\u0250"
 
-    def __init__(self, vocabulary: str, dtype: str = "<u4", special: bool = False, max_entries: int = 250_000, longest: int = 1000):
+    def __init__(self, vocabulary: str, dtype: str = "<u4", special: bool = False, max_entries: int = 400_000, longest: int = 1000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
         from tokenizers import Tokenizer
@@ -89,6 +86,9 @@ class ChunkEncoder:
         self.ranks = self._ranks(file["model"]["vocab"], names)
         self.merge = tiktoken.Encoding("words", pat_str=".", mergeable_ranks=self.ranks, special_tokens={})._core_bpe.encode_single_piece
         self.dtype, self.longest = np.dtype(dtype), longest
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
+        if not self.dtype.isnative:
+            raise ValueError("ids have the machine's byte order")
         self.known = Recent(max_entries)
 
     @staticmethod
@@ -107,43 +107,53 @@ class ChunkEncoder:
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """One id array a text; null and blank texts give an empty one."""
-        texts = [t or "" for t in texts]
-        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
-        split = [[] if i in whole else t.encode("utf-8", "replace").lower().split() for i, t in enumerate(texts)]
-        known = self.known.held(set().union(*split))
-        fresh = [w for w, ids in known.items() if ids is None]
-        if fresh:
-            known.update(self._looked_up(fresh))
-            self.known.keep({w: known[w] for w in fresh})
-        out = [np.frombuffer(b"".join([known[w] for w in words]), self.dtype) for words in split]
-        for i in whole:
-            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, self.dtype)
+        out = []
+        for text in texts:
+            text = text or ""
+            if any(s in text for s in self.special):
+                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype))
+                continue
+            chunks = text.encode("utf-8", "replace").lower().split()
+            ids = list(map(self.known.young.get, chunks))
+            if None in ids:
+                ids = [self._chunk(c) if i is None else i for c, i in zip(chunks, ids)]
+            out.append(np.frombuffer(b"".join(ids), self.dtype))
         return out
 
     def _words(self, chunk: bytes) -> list[bytes] | None:
         """The pre-tokenizer's words of a chunk; None where they are left to the tokenizer."""
         if chunk.isascii():
-            return [chunk] if chunk.isalpha() else self.ASCII.findall(chunk)
+            return self.ASCII.findall(chunk)
         text = chunk.decode("utf-8").lower()
         if max(text) >= self.BEYOND:
             return None
         return [w.encode() for w in self.LATIN.findall(text)]
 
-    def _looked_up(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        words = {c: self._words(c) for c in chunks}
-        known = self.known.held({w for own in words.values() for w in own or ()})
-        new, left = {}, [c for c, own in words.items() if own is None]
-        for w, ids in known.items():
-            if ids is None:
-                if len(w) > self.longest:
-                    left.append(w)
-                else:
-                    new[w] = np.array(self.merge(w + END_BYTE), self.dtype).tobytes()
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in left], add_special_tokens=False)
-        new.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(left, found, strict=True))
-        known.update(new)
-        self.known.keep({w: ids for w, ids in new.items() if len(w) <= 64})
-        return {c: known[c] if own is None else b"".join([known[w] for w in own]) for c, own in words.items()}
+    def _chunk(self, chunk: bytes) -> bytes:
+        """Ids of a chunk that isn't among the latest."""
+        ids = self.known.get(chunk)
+        if ids is None:
+            words = [chunk] if chunk.isalpha() else self._words(chunk)  # ASCII letters: one word
+            if words is None:
+                ids = self._whole(chunk)
+            elif len(words) == 1:
+                ids = self._word(words[0])
+            else:
+                ids = b"".join([self.known.get(w) or self._word(w) for w in words])
+            if len(chunk) <= 64:
+                self.known.put(chunk, ids)
+        return ids
+
+    def _word(self, word: bytes) -> bytes:
+        if len(word) > self.longest:
+            return self._whole(word)
+        ids = array(self.code, self.merge(word + END_BYTE)).tobytes()
+        if len(word) <= 64:
+            self.known.put(word, ids)
+        return ids
+
+    def _whole(self, chunk: bytes) -> bytes:
+        return array(self.code, self.tokenizer.encode(chunk.decode("utf-8"), add_special_tokens=False).ids).tobytes()
 
 
 def encoder(vocabulary: str, dtype: str = "<u4", special: bool = False) -> ChunkEncoder:
