@@ -1,18 +1,21 @@
 """Removal of repeated line runs by a suffix array over line ids.
 
-Suffixes (document, line number) are sorted into classes by prefix doubling:
-at level k a class holds the places where the same ``2**k`` lines follow, and
-is named by its earliest place, so names are exact.  Level k + 1 pairs the
-name at a line with the name ``2**k`` lines on.  Only suffixes whose class has
-two places or more stay, so each level is smaller than the one before; the
-levels end when none is left.
+All documents' lines are numbered in one order (``place``: documents by id, then
+by text, with a free number between them).  Suffixes are sorted into classes by
+prefix doubling: at level k a class holds the places where the same ``2**k``
+lines follow, and is named by its earliest place, so names are exact.  Level
+k + 1 pairs the name at a place with the name ``2**k`` places on, which the free
+numbers keep inside the document.  Only suffixes whose class has two places or
+more stay, so each level is smaller than the one before; the levels end when
+none is left.
 
 A suffix's longest common prefix with an earlier suffix is then built from the
 levels, largest first: it grows by ``2**k`` lines while the grown run's class
-has an earlier place.  Those are the maximal repeated runs.  A run of enough
-characters is deleted everywhere but at its earliest place.
+has an earlier place.  Those are the maximal repeated runs.  A run that isn't
+blank is deleted everywhere but at its earliest place.
 
-Documents are ordered by id, then by text.  Everything here is DataFrame
+Texts are split and hashed once.  A class with very many places is spread over
+several tasks where its places look up its name.  Everything here is DataFrame
 operations; each level is written to the shared folder.
 """
 
@@ -21,11 +24,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from event_ml.functions.prefix import ordered_prefix
 from event_ml.llm.common import staged, table
 
 #: A document's key: its id with nulls last, and a hash of its text.
 DOC = ["no_id", "id", "th"]
-PLACE = [*DOC, "pos"]
+#: A class of a ``HEAVY``-th of all places or more is spread over ``SPREAD`` tasks; there are at most ``HEAVY``.
+HEAVY, SPREAD = 1000, 64
 
 
 def _key(id_col: str, text_col: str) -> list[Column]:
@@ -33,28 +38,48 @@ def _key(id_col: str, text_col: str) -> list[Column]:
     return [own.isNull().alias("no_id"), F.coalesce(own, F.lit(0)).alias("id"), F.xxhash64(text_col).alias("th")]
 
 
-def _earliest(rows: DataFrame, group: list[str], name: str) -> DataFrame:
-    """Rows whose ``group`` has two places or more, with the earliest one as ``name``."""
-    place = F.struct(*PLACE)
-    first = rows.groupBy(*group).agg(F.min(place).alias(name), F.max(place).alias("_last")).where(F.col(name) != F.col("_last"))
-    return rows.join(first.drop("_last"), group)
+def _named(rows: DataFrame, group: list[str], name: str, heavy: int) -> DataFrame:
+    """Rows (place, ...) whose ``group`` has two places or more, with the earliest one as ``name``.
 
-
-def repeated_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Level 0: every place of a line that has two places or more."""
-    lines = docs.select(*_key(id_col, text_col), F.posexplode(F.split(text_col, "\n")).alias("pos", "line")).select(
-        *PLACE, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), F.length(F.trim("line")).alias("chars")
-    )
-    often = lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    repeated = staged(lines.join(often, ["h1", "h2"]).distinct(), "line-places")
-    return staged(_earliest(repeated, ["h1", "h2"], "name").select(*PLACE, "chars", "name"), "line-level")
-
-
-def doubled(level: DataFrame, k: int) -> DataFrame:
+    A group of ``heavy`` rows or more is looked up in parts: its rows by a hash
+    of their place, its name once for every part.
+    """
+    found = rows.groupBy(*group).agg(F.min("place").alias(name), F.max("place").alias("_last"), F.count("*").alias("_n"))
+    found = found.where(F.col(name) != F.col("_last")).drop("_last")
+    few = found.where(F.col("_n") >= heavy).select(*group, F.lit(True).alias("_heavy"))
+    part = F.when(F.col("_heavy"), F.pmod(F.xxhash64("place"), F.lit(SPREAD))).otherwise(0).cast("int")
+    parts = F.when(F.col("_n") >= heavy, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+    spread = found.select(*group, name, F.explode(parts).alias("_part"))
+    marked = rows.join(F.broadcast(few), group, "left").withColumn("_part", part).drop("_heavy")
+    return marked.join(spread, [*group, "_part"]).drop("_part")
+
+
+def numbered_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(no_id, id, th, start, lines): each distinct document's line hashes, and its first line's place."""
+    one = lambda x: F.struct(F.xxhash64(x).alias("h1"), F.xxhash64(F.lit(1), x).alias("h2"), F.length(F.trim(x)).alias("chars"))
+    hashed = docs.where(F.col(text_col).isNotNull()).select(*_key(id_col, text_col), F.transform(F.split(text_col, "\n"), one).alias("lines"))
+    hashed = staged(hashed, "line-hashes")
+    sizes = hashed.select(*DOC, (F.size("lines").cast("long") + 1).alias("room")).distinct()
+    starts = ordered_prefix(sizes, DOC, ["room"]).select(*DOC, (F.col("room_cum") - F.col("room")).alias("start"))
+    return staged(hashed.join(starts, DOC), "line-numbers")
+
+
+def repeated_lines(numbered: DataFrame) -> tuple[DataFrame, int]:
+    """Level 0, (start, place, chars, name) of every place of a line that has two
+    places or more, and the rows from which on a class is heavy at any level."""
+    places = numbered.select("start", F.posexplode("lines").alias("pos", "l")).select("start", (F.col("start") + F.col("pos")).alias("place"), "l.*")
+    total = numbered.agg(F.sum(F.size("lines"))).first()[0] or 0
+    heavy = max(1000, total // HEAVY)
+    level = _named(places, ["h1", "h2"], "name", heavy)
+    # rows that are the same document have the same places
+    return staged(level.select("start", "place", "chars", "name").distinct(), "line-level"), heavy
+
+
+def doubled(level: DataFrame, k: int, heavy: int) -> DataFrame:
     """Level k + 1 from level k."""
-    ahead = level.select(*DOC, (F.col("pos") - (1 << k)).alias("pos"), F.col("name").alias("next"))
-    pairs = level.select(*PLACE, F.col("name").alias("half")).join(ahead, PLACE)
-    return staged(_earliest(pairs, ["half", "next"], "name").select(*PLACE, "name"), "line-level")
+    ahead = level.select((F.col("place") - (1 << k)).alias("place"), F.col("name").alias("next"))
+    pairs = level.select("place", F.col("name").alias("half")).join(ahead, "place")
+    return staged(_named(pairs, ["half", "next"], "name", heavy).select("place", "name"), "line-level")
 
 
 def _wanted(members: DataFrame) -> DataFrame:
@@ -62,74 +87,79 @@ def _wanted(members: DataFrame) -> DataFrame:
     return members.join(members.where("mine").select("n", "name").distinct(), ["n", "name"], "left_semi")
 
 
-def _grown(members: DataFrame, level: DataFrame, k: int) -> DataFrame:
+def _grown(members: DataFrame, level: DataFrame, k: int, heavy: int) -> DataFrame:
     """``members`` after each run was tried with ``2**k`` lines more.
 
     A class (length n, earliest place) holds all its places, since any of them
     may be the earlier copy of a longer run; ``mine`` marks those whose own
     longest run so far has this length.
     """
-    ahead = level.select(*DOC, F.col("pos").alias("at"), F.col("name").alias("next"))
-    tried = members.withColumn("at", F.col("pos") + F.col("n")).join(ahead, [*DOC, "at"])
-    found = _earliest(tried.drop("at"), ["n", "name", "next"], "longer").select(
-        *PLACE, "n", F.col("longer").alias("name"), (F.col("mine") & (F.struct(*PLACE) != F.col("longer"))).alias("mine")
+    ahead = level.select(F.col("place").alias("at"), F.col("name").alias("next"))
+    tried = members.withColumn("at", F.col("place") + F.col("n")).join(ahead, "at")
+    found = _named(tried.drop("at"), ["n", "name", "next"], "longer", heavy).select(
+        "place", "n", F.col("longer").alias("name"), (F.col("mine") & (F.col("place") != F.col("longer"))).alias("mine")
     )
     found = staged(found, "line-runs")
-    gone = found.where("mine").select(*PLACE, "n", F.lit(True).alias("gone"))
-    stayed = members.join(gone, [*PLACE, "n"], "left").withColumn("mine", F.col("mine") & F.col("gone").isNull()).drop("gone")
+    gone = found.where("mine").select("place", "n", F.lit(True).alias("gone"))
+    stayed = members.join(gone, ["place", "n"], "left").withColumn("mine", F.col("mine") & F.col("gone").isNull()).drop("gone")
     longer = found.withColumn("n", F.col("n") + (1 << k))
     return staged(_wanted(stayed).unionByName(_wanted(longer)), "line-runs")
 
 
-def repeated_runs(levels: list[DataFrame]) -> DataFrame:
-    """(no_id, id, th, pos, n): for every place that has one, the longest run of
-    ``n`` lines that begins there and at an earlier place."""
-    later = lambda level: level.where(F.struct(*PLACE) != F.col("name"))
+def repeated_runs(levels: list[DataFrame], heavy: int) -> DataFrame:
+    """(place, n): for every place that has one, the longest run of ``n`` lines
+    that begins there and at an earlier place."""
+    later = lambda level: level.where(F.col("place") != F.col("name"))
     members = None
     for k in range(len(levels) - 1, 0, -1):
         if members is not None:
-            members = _grown(members, levels[k], k)
-        own = later(levels[k]).select(*PLACE)
+            members = _grown(members, levels[k], k, heavy)
+        own = later(levels[k]).select("place")
         if k + 1 < len(levels):
-            own = own.join(later(levels[k + 1]).select(*PLACE), PLACE, "left_anti")
-        begun = levels[k].select(*PLACE, "name", F.lit(1 << k).alias("n"))
-        begun = _wanted(begun.join(own.withColumn("own", F.lit(True)), PLACE, "left").withColumn("mine", F.col("own").isNotNull()).drop("own"))
+            own = own.join(later(levels[k + 1]).select("place"), "place", "left_anti")
+        begun = levels[k].select("place", "name", F.lit(1 << k).cast("long").alias("n"))
+        begun = _wanted(begun.join(own.withColumn("own", F.lit(True)), "place", "left").withColumn("mine", F.col("own").isNotNull()).drop("own"))
         members = begun if members is None else members.unionByName(begun)
         members = staged(members, "line-runs")
-    single = later(levels[0]).select(*PLACE, F.lit(1).alias("n"))
+    single = later(levels[0]).select("place", F.lit(1).cast("long").alias("n"))
     if members is None:
         return single
-    runs = _grown(members, levels[0], 0).where("mine").select(*PLACE, "n")
-    return runs.unionByName(single.join(runs, PLACE, "left_anti"))
+    runs = _grown(members, levels[0], 0, heavy).where("mine").select("place", "n")
+    return runs.unionByName(single.join(runs, "place", "left_anti"))
 
 
-def repeated_places(docs: DataFrame, min_chars: int, id_col: str, text_col: str) -> DataFrame:
-    """(no_id, id, th, pos) of every line in a repeated run of ``min_chars`` characters."""
-    levels = [repeated_lines(docs, id_col, text_col)]
+def repeated_places(numbered: DataFrame, min_chars: int) -> DataFrame:
+    """(start, pos) of every line in a repeated run of ``min_chars`` characters that are no outer blanks."""
+    level, heavy = repeated_lines(numbered)
+    levels = [level]
     while not levels[-1].isEmpty():
-        levels.append(doubled(levels[-1], len(levels) - 1))
-    runs = repeated_runs(levels[:-1] or levels)
-    in_doc = Window.partitionBy(*DOC).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    summed = levels[0].select(*PLACE, "chars", F.sum("chars").over(in_doc).alias("upto"))
-    ends = summed.select(*DOC, F.col("pos").alias("last"), F.col("upto").alias("end_upto"))
-    sized = runs.withColumn("last", F.col("pos") + F.col("n") - 1).join(ends, [*DOC, "last"])
-    sized = summed.join(sized, PLACE, "left").withColumn("long", F.col("end_upto") - F.col("upto") + F.col("chars") >= min_chars)
+        levels.append(doubled(levels[-1], len(levels) - 1, heavy))
+    runs = repeated_runs(levels[:-1] or levels, heavy)
+    in_doc = Window.partitionBy("start").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    summed = levels[0].select("start", "place", "chars", F.sum("chars").over(in_doc).alias("upto"))
+    ends = summed.select(F.col("place").alias("last"), F.col("upto").alias("end_upto"))
+    sized = runs.withColumn("last", F.col("place") + F.col("n") - 1).join(ends, "last")
+    sized = summed.join(sized, "place", "left").withColumn("long", F.col("end_upto") - F.col("upto") + F.col("chars") >= min_chars)
     reach = F.max(F.when(F.col("long"), F.col("last"))).over(in_doc)
-    return sized.select(*PLACE, reach.alias("reach")).where("reach >= pos").select(*PLACE)
+    return sized.select("start", "place", reach.alias("reach")).where("reach >= place").select("start", (F.col("place") - F.col("start")).cast("int").alias("pos"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with its texts after deletion, and n_lines, n_deleted (null text: null).
 
     A line goes if it is in a run of lines that begins at an earlier place too
-    and has ``min_chars`` characters, outer blanks of lines not counted.  Texts
-    are split at newlines; what stays is joined by them, so a text without
-    repeats is unchanged, and one that is all repeats becomes empty.  Rows with
-    the same id and text are one document and have the same result.  Null ids
-    come last.  Columns named n_lines or n_deleted are replaced; others stay.
+    and has ``min_chars`` characters, outer blanks of lines not counted: by
+    default every run that isn't blank.  Texts are split at newlines, however
+    long they are; what stays is joined by them, so a text without repeats is
+    unchanged, an empty text has one blank line and stays, and one that is all
+    repeats becomes empty.  Rows with the same id and text are one document and
+    have the same result.  Null ids come last; rows that share an id are ordered
+    by a hash of their texts.  Columns named n_lines or n_deleted are replaced;
+    others stay, whatever their names.  An empty table gives no rows.
     """
-    gone = repeated_places(docs, min_chars, id_col, text_col)
-    gone = gone.groupBy(*DOC).agg(F.collect_set("pos").alias("gone"))
+    numbered = numbered_lines(docs, id_col, text_col)
+    gone = repeated_places(numbered, min_chars).groupBy("start").agg(F.collect_set("pos").alias("gone"))
+    gone = numbered.select("start", *DOC).distinct().join(gone, "start")
     gone = staged(gone.select(*[F.col(c).alias(f"_llm_{c}") for c in DOC], F.col("gone").alias("_llm_gone")), "deleted-lines")
     keys = [k.alias(f"_llm_{c}") for c, k in zip(DOC, _key(id_col, text_col))]
     columns = [c for c in docs.columns if c not in (text_col, "n_lines", "n_deleted")]

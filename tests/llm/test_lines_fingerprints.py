@@ -35,7 +35,7 @@ def slow_dedup(rows, min_chars):
 
 
 def test_op7_against_all_places(spark, small_dir, texts):
-    wanted = slow_dedup(list(texts.items()), 20)
+    wanted = slow_dedup(list(texts.items()), 1)
     got = line_dedup.op7_line_suffix_array(spark, small_dir).collect()
     assert {(r.doc_id, texts[r.doc_id]): (r.text, r.n_lines, r.n_deleted) for r in got} == wanted
 
@@ -49,6 +49,16 @@ def test_runs_of_few_lines(spark, min_chars):
     assert {(r.doc_id, r.t): (r.text, r.n_lines, r.n_deleted) for r in got} == slow_dedup(rows, min_chars)
 
 
+def test_classes_spread_over_tasks(spark, monkeypatch):
+    """With every class spread, the same lines go."""
+    rng = random.Random(8)
+    rows = [(i, "\n".join(rng.choice(["a", "bb", "c d", "", "e"]) for _ in range(rng.randint(1, 9)))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("t", F.col("text"))
+    monkeypatch.setattr(line_dedup, "repeated_lines", lambda numbered, own=line_dedup.repeated_lines: (own(numbered)[0], 2))
+    got = line_dedup.dedup_lines(df).collect()
+    assert {(r.doc_id, r.t): (r.text, r.n_lines, r.n_deleted) for r in got} == slow_dedup(rows, 1)
+
+
 def test_lines_of_odd_rows(odd_docs, no_docs):
     rows = line_dedup.dedup_lines(odd_docs.withColumn("n_lines", F.lit("x")), 20)
     assert sorted(rows.columns) == sorted([*odd_docs.columns, "n_lines", "n_deleted"])
