@@ -28,15 +28,16 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
+from array import array
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from event_ml.llm.common import kept_in_worker, map_batches, staged, table
+from event_ml.llm.common import map_batches, staged, table
 
 CLASSES = 48
 END = CLASSES - 1
@@ -49,14 +50,29 @@ def word_class(word: bytes) -> int:
     return zlib.crc32(word[:2]) % END
 
 
-class _Codes(dict):
-    """Word to its class and 32-bit hash; forgets all when it has 300,000 words."""
+class Numbered(dict):
+    """Words to numbers from 0, in order of appearance; ``codes`` are their classes and 32-bit hashes."""
+
+    def __init__(self):
+        super().__init__()
+        self._codes = array("q")
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 300_000:
-            self.clear()
-        self[word] = code = word_class(word) << 32 | zlib.crc32(word) | 1
-        return code
+        self[word] = n = len(self)
+        self._codes.append(word_class(word) << 32 | zlib.crc32(word) | 1)
+        return n
+
+    @property
+    def codes(self) -> np.ndarray:
+        return np.array(self._codes, np.int64)
+
+    def of(self, docs: list[list[bytes]]) -> np.ndarray:
+        """The numbers of all words of ``docs``, one after the other."""
+        return np.fromiter(map(self.__getitem__, chain.from_iterable(docs)), np.int64, sum(map(len, docs)))
+
+    def clear(self) -> None:
+        super().clear()
+        self._codes = array("q")
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -66,14 +82,16 @@ def words_of(text: str | None) -> list[bytes]:
 def targets(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(features, classes, starts): a row of feature buckets and a class for
     every token of ``docs``, ends included, and where each document begins."""
-    known = kept_in_worker("word codes", _Codes).__getitem__
-    lengths = np.array([len(d) for d in docs])
+    words = Numbered()
+    numbers = words.of(docs)
+    return targets_of(words.codes[numbers], np.array([len(d) for d in docs]))
+
+
+def targets_of(own_codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``targets`` of documents with so many words each, whose codes follow each other."""
     # three zeros before each document and after the last: no history crosses
-    codes = np.zeros(int(lengths.sum()) + 3 * (len(docs) + 1), np.int64)
-    at = 0
-    for words in docs:
-        codes[at + 3 : at + 3 + len(words)] = np.fromiter(map(known, words), np.int64, len(words))
-        at += 3 + len(words)
+    codes = np.zeros(int(lengths.sum()) + 3 * (len(lengths) + 1), np.int64)
+    codes[np.arange(len(own_codes)) + 3 * np.repeat(np.arange(1, len(lengths) + 1), lengths)] = own_codes
     # the words, and the zero after a document's last one, which is its end
     ends = np.cumsum(lengths + 3)
     own = codes != 0
@@ -143,18 +161,22 @@ def _summed(features: np.ndarray, miss: np.ndarray, most: int = 16) -> tuple[np.
 class Trainer:
     """AdaGrad on the classes' cross-entropy."""
 
-    def __init__(self, weights: np.ndarray, rate: float, batch: int = 2048):
-        self.weights, self.rate, self.batch = weights.copy(), rate, batch
+    def __init__(self, weights: np.ndarray, rate: float, batch: int = 2048, most: int = 4096):
+        self.weights, self.rate, self.batch, self.most = weights.copy(), rate, batch, most
         self.squares = np.full(weights.shape, 1e-6, np.float32)
         self.updates = np.zeros(len(weights))
         self.held: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
 
     def add(self, features: np.ndarray, classes: np.ndarray) -> None:
-        self.held.append((features, classes))
-        self.size += len(classes)
-        if self.size >= self.batch:
-            self.step()
+        """Take tokens; a step is made from ``batch`` to ``most`` of them."""
+        for at in range(0, len(classes), self.most):
+            if self.size + len(classes[at : at + self.most]) > self.most:
+                self.step()
+            self.held.append((features[:, at : at + self.most], classes[at : at + self.most]))
+            self.size += len(self.held[-1][1])
+            if self.size >= self.batch:
+                self.step()
 
     def step(self) -> None:
         if not self.size:
@@ -196,34 +218,35 @@ def learn(docs: DataFrame, weights: np.ndarray, rate: float, stride: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(shared.value, rate)
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
+        words, counts = Numbered(), np.zeros((2, 0), np.int64)
 
         def counted() -> pa.RecordBatch:
-            words = list(counts[0].keys() | counts[1].keys())
-            batch = _learned((pa.array(words, pa.binary()), [word_class(w) for w in words], [counts[0][w] for w in words], [counts[1][w] for w in words]))
-            counts[0].clear()
-            counts[1].clear()
-            return batch
+            return _learned((pa.array(list(words), pa.binary()), (words.codes >> 32).astype(np.int32), *counts))
 
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                own = []
-                for text, held, phase in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    words = words_of(text)
-                    counts[held].update(words)
-                    if not held:
-                        own.append((words, phase))
-                if own:
-                    features, classes, starts = targets([w for w, _ in own])
-                    place = np.arange(len(classes)) - np.repeat(starts, [len(w) + 1 for w, _ in own])
-                    taken = place % stride == np.repeat([p % stride for _, p in own], [len(w) + 1 for w, _ in own])
-                    if taken.any():
-                        trainer.add(features[:, taken], classes[taken])
-                if len(counts[0]) + len(counts[1]) > 300_000:
+                texts, held, phases = (c.to_pylist() for c in part.columns)
+                docs = [words_of(t) for t in texts]
+                numbers, lengths, held = words.of(docs), np.array([len(d) for d in docs]), np.array(held, bool)
+                other = np.repeat(held, lengths)
+                counts = np.pad(counts, ((0, 0), (0, len(words) - counts.shape[1])))
+                counts[0] += np.bincount(numbers[~other], minlength=len(words))
+                counts[1] += np.bincount(numbers[other], minlength=len(words))
+                if not held.all():
+                    own = lengths[~held]
+                    features, classes, starts = targets_of(words.codes[numbers[~other]], own)
+                    if stride > 1:
+                        place = np.arange(len(classes)) - np.repeat(starts, own + 1)
+                        taken = place % stride == np.repeat(np.array(phases)[~held] % stride, own + 1)
+                        features, classes = features[:, taken], classes[taken]
+                    trainer.add(features, classes)
+                if len(words) > 300_000:
                     yield counted()
+                    words.clear()
+                    counts = np.zeros((2, 0), np.int64)
         trainer.step()
-        if counts[0] or counts[1]:
+        if words:
             yield counted()
         moved = np.flatnonzero(trainer.updates)
         for at in range(0, len(moved), 4096):
@@ -311,26 +334,36 @@ def score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, share_logs, logs = shared.value
+        words, values = Numbered(), np.zeros(0)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                texts = [words_of(t) for t in part.column(1).to_pylist()]
-                features, classes, starts = targets(texts)
+                if len(words) > 300_000:
+                    words.clear()
+                    values = np.zeros(0)
+                docs = [words_of(t) for t in part.column(1).to_pylist()]
+                numbers, lengths = words.of(docs), np.array([len(d) for d in docs])
+                # words are in order of appearance: the new ones are the last
+                values = np.append(values, [logs.get(w, np.nan) for w in islice(words, len(values), None)])
+                features, classes, starts = targets_of(words.codes[numbers], lengths)
                 scores = target_scores(weights, features, classes)
                 sums = np.add.reduceat(scores / math.log(10) - share_logs[classes], starts)
-                looked_up = [list(map(logs.get, words)) for words in texts]
-                found = [[x for x in own if x is not None] for own in looked_up]
-                other = [[w.decode("utf-8") for w, x in zip(words, own) if x is None] for words, own in zip(texts, looked_up)]
-                values = [
+                own, doc = values[numbers], np.repeat(np.arange(len(docs)), lengths)
+                missing = np.isnan(own)
+                total = lambda x: np.bincount(doc, weights=x, minlength=len(docs))
+                every = list(chain.from_iterable(docs))
+                other = pa.array([every[i].decode("utf-8") for i in np.flatnonzero(missing)], pa.string())
+                ends = np.concatenate([[0], np.cumsum(total(missing))]).astype(np.int32)
+                found = [
                     part.column(0),
                     part.column(2),
-                    pa.array([len(t) + 1 for t in texts], pa.int64()),
+                    pa.array(lengths + 1, pa.int64()),
                     pa.array(sums),
-                    pa.array([math.fsum(x) + end_log for x in found]),
-                    pa.array([sum(v > 0 for v in x) + end_known for x in found], pa.int64()),
-                    pa.array(other, pa.list_(pa.string())),
+                    pa.array(total(np.where(missing, 0.0, own)) + end_log),
+                    pa.array((total(own > 0) + end_known).astype(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(ends), other),
                 ]
-                yield pa.RecordBatch.from_arrays(values, names)
+                yield pa.RecordBatch.from_arrays(found, names)
 
     names = ["doc_id", "held_out", "n_tokens", "model_part", "count_part", "known_part", "other"]
     schema = "doc_id long, held_out boolean, n_tokens long, model_part double, count_part double, known_part long, other array<string>"

@@ -88,6 +88,44 @@ def test_probabilities_add_up(spark):
     assert sum(10 ** got[k].score for k, _ in held) < 1
 
 
+def slow_scores(rows, weights):
+    """Scores by the model's definition, one token at a time, from its weights."""
+    mask = (1 << 64) - 1
+    a, b, c, d, e = (int(m) for m in maxent_lm.MULTIPLIERS)
+    shift = 64 - maxent_lm.BUCKETS.bit_length() + 1
+    words = {k: [w.encode().lower() for w in (t or "").split()] for k, t in rows}
+    held = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k in words}
+    counts = Counter(w for k, own in words.items() if not held[k] for w in [*own, None])
+    every = {w for own in words.values() for w in own}
+    classes = {w: zlib.crc32(w[:2]) % 47 for w in every} | {None: 47}
+    room = Counter({k: 1 for k in range(48)})  # a word that training didn't have
+    for w, n in counts.items():
+        room[classes[w]] += n + (w is not None)
+    out = {}
+    for k, own in words.items():
+        total, before = 0.0, [0, 0, 0]
+        for w in [*own, None]:
+            one, two, three = before
+            rows_of = [(one + 1) * a, ((one * b & mask) ^ (two + 3)) * c, (two + 5) * d, (three + 7) * e]
+            logits = weights[maxent_lm.BUCKETS].astype(float) + sum(weights[(x & mask) >> shift].astype(float) for x in rows_of)
+            total += (logits - np.log(np.exp(logits).sum()))[classes[w]] / math.log(10) + math.log10((counts[w] + 1) / room[classes[w]])
+            before = [zlib.crc32(w) | 1 if w is not None else 0, one, two]
+        out[k] = total
+    return out
+
+
+def test_scores_against_the_definition(spark, documents, monkeypatch):
+    kept, averaged = [], maxent_lm.averaged
+    monkeypatch.setattr(maxent_lm, "averaged", lambda *a: kept.append(averaged(*a)) or kept[-1])
+    rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").limit(40).collect()] + [(10**6, None), (10**6 + 1, ""), (10**6 + 2, "NEVER seen é 日本")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for frequent in (150_000, 3):
+        got = {r.doc_id: r.score for r in maxent_lm.score(df, frequent=frequent).collect()}
+        wanted = slow_scores(rows, kept[-1])
+        assert got.keys() == wanted.keys() and np.abs(kept[-1]).max() > 0.1
+        assert all(got[k] == pytest.approx(wanted[k], rel=1e-5, abs=1e-6) for k in wanted)
+
+
 def test_frequent_and_other_words_agree(spark, documents):
     few, many = (sorted((r.doc_id, round(r.base_score, 6), round(r.score, 6), r.n_known) for r in maxent_lm.score(documents.limit(40), frequent=n).collect()) for n in (5, 10_000))
     assert few == many
