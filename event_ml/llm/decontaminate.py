@@ -10,8 +10,9 @@ has masks of its own, of which one fits whatever words are substituted.
    of fixed size, which is the only thing broadcast.
 2. One pass over the documents hashes every window under every mask; documents
    with a window in the filter are written with their words and those windows.
-3. The windows join the benchmark's on the full hash; hits meet by document,
-   item and diagonal (the difference of the positions).
+3. The windows join the benchmark's on the full hash; hits meet by document and
+   item, one row with the diagonals (differences of the positions) on which
+   they lie.  Both word sequences join that row once.
 4. On each diagonal all words are compared, and the longest stretch with at
    least ``min_ratio`` equal words counts if it has enough of them.
 """
@@ -107,6 +108,28 @@ def longest_overlap(equal: np.ndarray, min_ratio: float) -> tuple[int, int, int]
     return int(first[end] + inside[0]), int(inside[-1] - inside[0] + 1), len(inside)
 
 
+def best_overlap(diagonals: np.ndarray, ids: np.ndarray, own: np.ndarray, min_ratio: float) -> tuple[int, int, int, int]:
+    """(equal words, -length, -start in ``ids``, -start in ``own``) of the overlap with the
+    most equal words on any of the diagonals; of those the shortest, then the first."""
+    best = (0, 0, 0, 0)
+    for diagonal in np.sort(diagonals).tolist():
+        a, b = max(0, -diagonal), min(len(own), len(ids) - diagonal)
+        same = own[a:b] == ids[a + diagonal : b + diagonal]
+        if same.sum() >= max(1, best[0]):
+            start, n, equal = longest_overlap(same, min_ratio)
+            best = max(best, (equal, -n, -(a + start + diagonal), -(a + start)))
+    return best
+
+
+def met(hits: DataFrame, item_seeds: DataFrame) -> DataFrame:
+    """(k1, k2, item_key, diagonals): one row for each document and item that share a window."""
+    return (
+        hits.join(item_seeds, "seed")
+        .groupBy("k1", "k2", "item_key")
+        .agg(F.collect_set((F.col("pos") - F.col("item_pos")).cast("int")).alias("diagonals"))
+    )
+
+
 def find_overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -124,9 +147,12 @@ def find_overlaps(
     An overlap has at least ``min_words`` equal words, or ``min_ratio`` of all
     words of an item that is shorter than that.  Every overlap with an item of
     fewer than ``SHORT`` words is found, longer ones as far as ``masks`` reach.
-    Null and empty texts overlap with nothing.
-    Repeated rows of ``docs`` have one row an item (k1, k2: the row's key);
-    repeated items too.  Other columns are not read.
+    Null and empty texts overlap with nothing; texts of any length are read
+    whole.  Of equally long overlaps the first counts.  Repeated rows of ``docs``
+    have one row an item (k1, k2: the row's key); repeated items too.  Other
+    columns, whatever their names, are not read.  An empty table on either side
+    gives no rows.  An item of one word overlaps with every document that has
+    this word.
     """
     spark = docs.sparkSession
 
@@ -195,19 +221,19 @@ def find_overlaps(
     schema = "doc_id long, k1 long, k2 long, ids array<int>, seeds array<long>, pos array<int>"
     held = staged(map_batches(keyed, doc_windows, schema), "suspect-documents")
     hits = held.select("doc_id", "k1", "k2", F.explode(F.arrays_zip("seeds", "pos")).alias("s")).select("k1", "k2", F.col("s.seeds").alias("seed"), F.col("s.pos").alias("pos"))
-    diagonals = hits.join(item_seeds, "seed").select("k1", "k2", "item_key", (F.col("pos") - F.col("item_pos")).alias("diagonal")).distinct()
+    # equal documents have equal hits, so their rows' diagonals are those of one
+    pairs = met(hits, item_seeds)
     one = held.select("doc_id", "k1", "k2", "ids").dropDuplicates(["k1", "k2"])
-    pairs = diagonals.join(one, ["k1", "k2"]).join(items.select("item_key", "item_id", "item_ids"), "item_key")
+    pairs = pairs.join(one, ["k1", "k2"]).join(items.select("item_key", "item_id", "item_ids"), "item_key")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for key, diagonal, ids, own in zip(range(batch.num_rows), batch.column(4).to_pylist(), batch.column(5), batch.column(6)):
+            for key, diagonals, ids, own in zip(range(batch.num_rows), batch.column(4), batch.column(5), batch.column(6)):
                 ids, own = ids.values.to_numpy(zero_copy_only=False), own.values.to_numpy(zero_copy_only=False)
-                a, b = max(0, -diagonal), min(len(own), len(ids) - diagonal)
-                start, n, equal = longest_overlap(own[a:b] == ids[a + diagonal : b + diagonal], min_ratio)
-                if n and equal >= min(min_words, math.ceil(min_ratio * len(own))):
-                    out.append((key, a + start + diagonal, a + start, n, equal))
+                best = best_overlap(diagonals.values.to_numpy(zero_copy_only=False), ids, own, min_ratio)
+                if best[0] and best[0] >= min(min_words, math.ceil(min_ratio * len(own))):
+                    out.append((key, -best[2], -best[3], -best[1], best[0]))
             if out:
                 rows, *found = zip(*out)
                 picked = batch.take(pa.array(rows))
@@ -216,7 +242,8 @@ def find_overlaps(
                 )
 
     schema = "doc_id long, item_id long, k1 long, k2 long, doc_start int, item_start int, n_words int, n_equal int"
-    found = map_batches(pairs.select("doc_id", "item_id", "k1", "k2", "diagonal", "ids", "item_ids"), verify, schema)
+    found = map_batches(pairs.select("doc_id", "item_id", "k1", "k2", "diagonals", "ids", "item_ids"), verify, schema)
+    # an item id may stand for several texts
     order = F.struct(F.col("n_equal"), -F.col("n_words"), -F.col("doc_start"), -F.col("item_start"))
     best = found.groupBy("k1", "k2", "item_id").agg(F.first("doc_id").alias("doc_id"), F.max(order).alias("o"))
     return best.select(

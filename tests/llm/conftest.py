@@ -20,7 +20,7 @@ ROWS = [
 def odd_docs(spark):
     """Documents with every odd case, and columns whose names the operators use inside."""
     df = spark.createDataFrame(ROWS, "doc_id long, text string, lang string")
-    for clash in ("source", "fp", "pos", "n", "line", "component_id", "sequence_id", "k1", "score", "word", "key", "next"):
+    for clash in ("source", "fp", "pos", "n", "line", "component_id", "sequence_id", "k1", "score", "word", "key", "next", "n_lines", "n_deleted", "lines", "start", "place", "fold", "copies", "items", "diagonals"):
         df = df.withColumn(clash, F.lit("x"))
     return df.withColumn("n_chars", F.length("text").cast("long"))
 

@@ -181,6 +181,32 @@ def test_decontamination_of_odd_rows(spark, odd_docs, no_docs):
     assert decontaminate.drop_contaminated(odd_docs, bench.limit(0)).count() == odd_docs.count()
 
 
+def test_a_long_text_meets_a_frequent_item_once(spark, monkeypatch):
+    """20,000 words with a two-word item all over: one row with all diagonals, the text's words joined once."""
+    rows, met = [], decontaminate.met
+    monkeypatch.setattr(decontaminate, "met", lambda *a: rows.append(met(*a)) or rows[-1])
+    text = "alpha beta " * 10_000
+    got = overlaps(spark, [(1, text), (2, "beta alpha"), (3, text)], [(7, "alpha beta"), (8, "alpha gamma")])
+    assert set(got) == {(1, 7), (3, 7)}
+    assert [(got[k].doc_start, got[k].item_start, got[k].n_words, got[k].n_equal) for k in got] == [(0, 0, 2, 2)] * 2
+    found = rows[0].select("diagonals").collect()
+    assert sorted(len(r.diagonals) for r in found) == [10_000, 10_000]
+
+
+def test_best_overlap_against_all_diagonals():
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        ids, own = rng.integers(0, 3, 40), rng.integers(0, 3, 9)
+        every = np.arange(-len(own) + 1, len(ids))
+        found = []
+        for d in every.tolist():
+            a, b = max(0, -d), min(len(own), len(ids) - d)
+            start, n, equal = decontaminate.longest_overlap(own[a:b] == ids[a + d : b + d], 0.8)
+            if n:
+                found.append((equal, -n, -(a + start + d), -(a + start)))
+        assert decontaminate.best_overlap(rng.permutation(every), ids, own, 0.8) == max(found)
+
+
 def test_longest_overlap():
     equal = np.array([0, 1, 1, 1, 0, 1, 0, 0, 1], bool)
     assert decontaminate.longest_overlap(equal, 0.8) == (1, 5, 4)
