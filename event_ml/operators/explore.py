@@ -166,5 +166,5 @@ def filter_by_selection(df: DataFrame, selection: DataFrame, key: str) -> DataFr
 
 
 def tag_features(df: DataFrame, feature_col: str, dimension: DataFrame) -> DataFrame:
-    """Attach (grp, ordinal) from a small feature dimension table."""
-    return df.join(F.broadcast(dimension), df[feature_col] == dimension["name"], "left").drop("name")
+    """Attach (grp, ordinal) from a feature dimension table, broadcast if its bytes allow it."""
+    return join_small(df, dimension.withColumnRenamed("name", feature_col), feature_col, "left").select(*df.columns, *[c for c in dimension.columns if c != "name"])

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from event_ml.functions.columns import col, hash_u32
+from event_ml.functions.joins import materialise
 
 TWO32 = 1 << 32
 
@@ -99,24 +100,34 @@ def capped_fraction(n_rows: int, max_rows: int) -> float:
     return 1.0 if n_rows <= 0 else min(1.0, max_rows / n_rows)
 
 
-def _narrowed(df: DataFrame, value: Column, bits: int, k: int, bits_per_pass: int) -> tuple[int, int]:
+def _bins(df: DataFrame, value: Column, weight: Column) -> list[tuple[int, int]]:
+    """(bin, rows) in order, of rows whose bin isn't null."""
+    binned = df.select(value.alias("b"), weight.alias("n")).groupBy("b").agg(F.sum("n").alias("n"))
+    return [tuple(r) for r in binned.where("b IS NOT NULL").orderBy("b").collect()]
+
+
+def _holding(bins: list[tuple[int, int]], below: int, k: int) -> tuple[int, int]:
+    """(bin that holds the k-th row, rows before it)."""
+    for b, n in bins:
+        if below + n >= k:
+            return b, below
+        below += n
+    raise ValueError("fewer than k rows")
+
+
+def _narrowed(df: DataFrame, value: Column, bits: int, k: int, bits_per_pass: int, weight: Column | None = None) -> tuple[int, int]:
     """(v, below) of the k-th smallest ``value`` (an unsigned integer of that
     many bits): v itself and the number of rows below it.  Each pass counts the
-    rows of at most 2^bits_per_pass bins of the range that holds the k-th."""
+    rows of at most 2^bits_per_pass bins of the range that holds the k-th;
+    ``weight`` counts for so many rows."""
     lo, below = 0, 0
     while bits:
         shift = max(0, bits - bits_per_pass)
         off = value - F.lit(lo)
         # rows outside the range have a null bin; the value is used once
-        binned = df.select(F.when(F.shiftright(off, bits) == 0, F.shiftright(off, shift)).alias("b"))
-        hist = binned.groupBy("b").agg(F.count(F.lit(1)).alias("n")).where("b IS NOT NULL").orderBy("b").collect()
-        for b, n in hist:
-            if below + n >= k:
-                lo, bits = lo + (b << shift), shift
-                break
-            below += n
-        else:
-            raise ValueError("fewer than k rows")
+        bins = _bins(df, F.when(F.shiftright(off, bits) == 0, F.shiftright(off, shift)), F.lit(1) if weight is None else weight)
+        b, below = _holding(bins, below, k)
+        lo, bits = lo + (b << shift), shift
     return lo, below
 
 
@@ -130,34 +141,41 @@ def smallest_by_hash(
     """Exactly ``k`` rows: those with the smallest (hash, key).
 
     Same rows as ``ORDER BY hash, key LIMIT k`` without a global sort or a
-    k-row merge in one task; a null key is an empty one.  Counts narrow the
-    32-bit hash to the value h* of the k-th row, at most 2^bits_per_pass
-    (bin, count) rows a pass; ``k`` may be a function of the number of rows.
-    Rows below h* are in; at h* the keys' counts decide, so rows are never
-    fetched.  Of several rows with the last key, those with the smallest
+    k-row merge in one task; a null key is an empty one.  One pass counts
+    2^bits_per_pass bins of the 32-bit hash, and so the rows too (``k`` may be a
+    function of their number); a second writes the keys of the bin that holds
+    the k-th row, and its hash h* is found among them.  Rows below h* are in; at
+    h* the keys' counts decide, so rows are never fetched: one more pass
+    returns them.  Of several rows with the last key, those with the smallest
     64-bit hash of all their columns are in, and of equal rows as many as are
     still wanted.
     """
-    n = df.count() if callable(k) else None
+    hashed = df.withColumn("_h", key_hash(key, salt)).withColumn("_k", _marked(col(key)))
+    rest = max(0, 32 - bits_per_pass)
+    bins = _bins(hashed, F.shiftright("_h", rest), F.lit(1))
+    n = sum(rows for _, rows in bins)
     k = k(n) if callable(k) else k
     if k <= 0:
         return df.limit(0)
-    n = df.count() if n is None else n
     if k >= n:
         return df
-    hashed = df.withColumn("_h", key_hash(key, salt)).withColumn("_k", _marked(col(key)))
-    cut, below = _narrowed(hashed, F.col("_h"), 32, k, bits_per_pass)
+    # the keys of the bin that holds the k-th row are written: about n / 2^bits_per_pass rows
+    at, under = _holding(bins, 0, k)
+    inside = hashed.where(F.shiftright("_h", rest) == at).groupBy("_h", "_k").agg(F.count(F.lit(1)).alias("n"))
+    inside = materialise(inside, "sample-edge")
+    low, more = _narrowed(inside, F.col("_h") - F.lit(at << rest), rest, k - under, bits_per_pass, F.col("n"))
+    cut, below = (at << rest) + low, under + more
     sure = hashed.where(F.col("_h") < cut).select(*df.columns)
     edge = hashed.where(F.col("_h") == cut)
     # one row a key with this hash: about n / 2^32 of them
     running = Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    keys = edge.groupBy("_k").agg(F.count(F.lit(1)).alias("n")).select("_k", "n", F.sum("n").over(running).alias("upto"))
+    keys = inside.where(F.col("_h") == cut).select("_k", "n", F.sum("n").over(running).alias("upto"))
     last = keys.where(F.col("upto") >= k - below).orderBy("upto").first()
+    if last["upto"] == k - below:
+        return hashed.where((F.col("_h") < cut) | ((F.col("_h") == cut) & (F.col("_k") <= last["_k"]))).select(*df.columns)
     sure = sure.unionByName(edge.where(F.col("_k") < last["_k"]).select(*df.columns))
     wanted = k - below - (last["upto"] - last["n"])
     same = edge.where(F.col("_k") == last["_k"]).select(*df.columns)
-    if wanted == last["n"]:
-        return sure.unionByName(same)
     same = same.withColumn("_r", F.shiftrightunsigned(F.xxhash64(*df.columns), 1))
     cut, below = _narrowed(same, F.col("_r"), 63, wanted, bits_per_pass)
     equal = same.where(F.col("_r") == cut).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
