@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from event_ml.llm.common import connected_components, map_batches, staged, table
+from event_ml.llm.common import connected_components, join_weighted, map_batches, staged, table
 
 #: Reference fingerprints of the pivot table: XXH64 of their numbers.
 PIVOTS = [xxhash.xxh64_intdigest(f"pivot {i}".encode(), 42) for i in range(24)]
@@ -163,11 +163,13 @@ def near_duplicates(
     """
     prints = staged(fingerprints(docs, shingle, id_col, text_col), "simhash-fingerprints")
     roots = connected_components(links(prints, max_bits, max_bucket), "simhash-links")
-    own = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    own = own.select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = own.join(own.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id", "root")
+    own = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    own = staged(own.select("fp", "least", "rows", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+    # a component or a fingerprint may have a large share of all rows
+    least = staged(own.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("prints")), "simhash-components")
+    named = staged(join_weighted(own, least, "root", "prints").select("fp", "component_id", "root", "rows"), "simhash-names")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return prints.join(named, "fp").select("doc_id", hexed, "component_id", "k1", "k2", "root")
+    return join_weighted(prints, named, "fp", "rows").select("doc_id", hexed, "component_id", "k1", "k2", "root")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
