@@ -198,8 +198,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """(doc_id, held_out, lang_pred, score) of every row; the whole text is read.
 
     Null texts and texts without a letter are ``und`` with score 0, as are all
-    where no row has a language.  Repeated rows have the same result each; a
-    null id stays null.  Other columns are not read.
+    where no row has a language.  Texts of any length are read in windows, which
+    count by their length; languages that tie are ordered as they were learned.
+    Repeated rows have the same result each; a null id stays null.  Other
+    columns, whatever their names, are not read.  An empty table gives no rows.
     """
     net = fit(docs, id_col, text_col, lang_col, **options)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -207,7 +209,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
-    """The rows of ``docs`` whose language is recognised (not ``und``), with ``min_score`` at least."""
+    """The rows of ``docs`` whose language is recognised (not ``und``), with ``min_score`` at least.
+
+    All columns are kept, whatever their names; repeated rows stay or go together.
+    """
     net = fit(docs, id_col, text_col, lang_col, **options)
     inner = docs.toDF(*[f"d{i}" for i in range(len(docs.columns))])
     text = inner.columns[docs.columns.index(text_col)]

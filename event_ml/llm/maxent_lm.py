@@ -300,7 +300,8 @@ def score(
     neither counted nor trained on.  A null text is empty (its end is its only
     token); a null id counts as an empty one and stays null.  Repeated rows are
     scored alike, each as a row.  Without any training row both scores are
-    those of the smoothing alone.  Other columns are not read.
+    those of the smoothing alone.  Texts of any length are scored whole.  Other
+    columns, whatever their names, are not read.  An empty table gives no rows.
     """
     spark = docs.sparkSession
     held = _crc(id_col) % 7 == 2

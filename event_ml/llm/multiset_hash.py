@@ -115,7 +115,8 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     smallest long.  Rows that share an id have a row each, and the one whose
     text has the smallest hash stands for the id as a next document.  Equal
     texts and ties have equal fingerprints.  A single document follows itself;
-    an empty table gives an empty result.  Other columns are not read.
+    an empty table gives an empty result.  Texts of any length are read whole.
+    Other columns, whatever their names, are not read.
     """
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")

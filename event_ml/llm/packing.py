@@ -76,8 +76,8 @@ def pack(
 
     A document's ids are those of its text (null: none) and then ``end_id``, so
     empty documents have one token; the string of a special token gives its id.  Repeated rows are packed as documents of
-    their own; a null id stays null; other columns are not read.  No rows give
-    no pieces.  ``sequence_id`` is the task's number and a count inside it.
+    their own; a null id stays null; other columns, whatever their names, are not
+    read.  Texts longer than a sequence are cut.  No rows give no pieces.  ``sequence_id`` is the task's number and a count inside it.
     """
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")

@@ -39,7 +39,9 @@ def write_token_files(
 
     The returned table is written with Spark's commit protocol and names only
     files of tasks that ended; what a lost attempt left is never read.  A null
-    or empty text has no ids before its separator.
+    or empty text has no ids before its separator; a text of any length is one
+    document.  Repeated rows are written each, a null id stays null, and other
+    columns, whatever their names, are not read.  An empty table writes no file.
     """
     vocabulary = vocabulary or default_vocabulary()
 
@@ -74,7 +76,8 @@ def scan_separators(
     ``start`` counts ids from the file's beginning; the separator is not
     counted in ``n_tokens``.  Two separators in a row bound an empty document.
     Ids after the last separator are a document with ``terminated`` false.  An
-    empty file has none.  A file whose length is no multiple of the id's width
+    empty file has none, no files give no rows, and a document may be longer
+    than any block.  A file whose length is no multiple of the id's width
     is an error.
     """
     width = np.dtype(dtype).itemsize

@@ -158,8 +158,9 @@ def near_duplicates(
     passed over; null if there is no other).  Null and blank texts have
     fingerprint zero and link like any other.  Repeated rows and ties share a
     component; k1 and k2 are the row's key, and root is the component's own
-    fingerprint, which no other component has.  Other columns are not read; an
-    empty table gives an empty result.
+    fingerprint, which no other component has.  Texts of any length are read
+    whole.  Other columns, whatever their names, are not read; an empty table
+    gives an empty result.
     """
     prints = staged(fingerprints(docs, shingle, id_col, text_col), "simhash-fingerprints")
     roots = connected_components(links(prints, max_bits, max_bucket), "simhash-links")

@@ -184,8 +184,10 @@ def write_archives(
 ) -> DataFrame:
     """Writes one record a row below ``folder``; (archive, records, bytes) of each file.
 
-    A null html is an empty payload.  Rows that share the smallest id of their
-    payload are all responses, and a null id is larger than any.
+    A null html is an empty payload, a null url an empty one; payloads of any
+    size are one record.  Rows that share the smallest id of their payload, such
+    as repeated rows, are all responses, and a null id is larger than any.  Other
+    columns, whatever their names, are not read.  An empty table writes no file.
     """
     dictionary = trained_dictionary(pages, id_col, html_col)
     rows = with_records(pages, id_col, url_col, html_col, min_revisit)

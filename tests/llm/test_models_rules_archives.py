@@ -37,6 +37,29 @@ def test_pair_tables_give_the_convolution():
     assert np.allclose(language_id.Scorer(net).logits(x), wanted, atol=1e-4)
 
 
+def test_scores_of_whole_texts():
+    """A text's languages by its windows' logits, convolved one by one and weighted by their bytes."""
+    rng = np.random.default_rng(5)
+    net = language_id.Network(["x", "y", "z"], [rng.normal(size=(w, 256, 2)).astype("f4") for w in language_id.WIDTHS], rng.normal(size=6), rng.normal(size=(6, 3)), rng.normal(size=3))
+    texts = ["Ab", "short TEXT é", "word one two " * 60, "Zz" * 128, "q" * 257, None, "", "12 !?"]
+    found, scores = language_id.Scorer(net).score(texts)
+    for text, lang, score in zip(texts, found, scores, strict=True):
+        if not text or not any(c.isalpha() for c in text):
+            assert (lang, score) == ("und", 0.0)
+            continue
+        raw = text.encode().lower()
+        total, weights = np.zeros(3), 0
+        for at in range(0, len(raw), language_id.WINDOW):
+            part = raw[at : at + language_id.WINDOW]
+            row = list(part) + [0] * (language_id.WINDOW - len(part))
+            tops = np.concatenate([np.max([sum(k[j][row[t + j]] for j in range(len(k))) for t in range(len(row) - len(k) + 1)], axis=0) for k in net.filters])
+            total += len(part) * (np.maximum(tops + net.bias, 0) @ net.out + net.out_bias)
+            weights += len(part)
+        p = np.exp(total / weights - (total / weights).max())
+        p /= p.sum()
+        assert lang == net.languages[int(p.argmax())] and score == pytest.approx(p.max(), rel=1e-4)
+
+
 def test_languages_of_odd_rows(odd_docs, no_docs):
     got = defaultdict(set)
     for r in language_id.identify(odd_docs).collect():
