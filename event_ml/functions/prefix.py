@@ -81,8 +81,8 @@ def ordered_prefix(
     )
     inside = Window.partitionBy(_BLOCK, *partition_cols).orderBy(*order)
     w_in = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # at most one row per block and group
-    joined = join_small(blocked, offsets, [_BLOCK, *partition_cols])
+    # at most one row per block and group; without groups that is n_blocks rows
+    joined = join_small(blocked, offsets, [_BLOCK, *partition_cols]) if partition_cols else blocked.join(F.broadcast(offsets), _BLOCK)
 
     def following(c: str) -> Column:
         own = F.lead(F.struct(c)).over(inside)

@@ -53,7 +53,7 @@ class DrawTree:
         self.leaves: dict = {}
 
     def _random(self, level: int, place: int) -> np.random.Generator:
-        return np.random.Generator(np.random.Philox(key=[self.seed, self.label], counter=[0, 0, level, place]))
+        return np.random.Generator(np.random.SFC64([self.seed, self.label, level, place]))
 
     @staticmethod
     def _once(kept: dict, most: int, name, make):
@@ -80,8 +80,8 @@ class DrawTree:
 
         def make() -> np.ndarray:
             rows = min(1 << LEAF_BITS, self.n - (place << LEAF_BITS))
-            picked = self._random(0, place).integers(0, rows, int(draws.sum()), np.int32)
-            picked += np.repeat(np.arange(self.n_boot, dtype=np.int32) * (rows + 1) + 1, draws)
+            picked = self._random(0, place).integers(0, rows, int(draws.sum()))
+            picked += np.repeat(np.arange(self.n_boot) * (rows + 1) + 1, draws)
             counts = np.bincount(picked, minlength=self.n_boot * (rows + 1)).reshape(self.n_boot, rows + 1)
             return counts.cumsum(1, dtype=np.int32)
 
@@ -123,18 +123,24 @@ def _terms_fn(seed: int, n_boot: int):
             if not trees and len(columns[0]):
                 trees = [DrawTree(seed, label, int(columns[2 + label][0]), n_boot) for label in (0, 1)]
             order = np.argsort(columns[0] + columns[1], kind="stable")
-            for at in range(0, len(order), STEP):
-                own = order[at : at + STEP]
+            for label, tree in enumerate(trees):
+                # rows next to each other share an end: only the ends of their runs are needed
+                upto, count = columns[label][order], columns[4 + label][order]
+                new = np.append(True, upto[1:] - count[1:] != upto[:-1])[: len(order)]
+                ends = np.concatenate([(upto - count)[new], upto[np.append(new[1:], True)[: len(order)]]])
+                for at in range(0, len(ends) // 2, STEP):
+                    first, last = (x[at : at + STEP] for x in np.split(ends, 2))
+                    drawn[label] += (tree.below(last) - tree.below(first)).sum(1)
+            own = order[columns[5][order] > 0]  # a score without positives adds nothing to the sum
+            for at in range(0, len(own), STEP):
                 sides = []
                 for label, tree in enumerate(trees):
-                    upto, count = columns[label][own], columns[4 + label][own]
+                    upto, count = (columns[i + label][own[at : at + STEP]] for i in (0, 4))
                     ends, places = np.unique(np.concatenate([upto - count, upto]), return_inverse=True)
                     below = tree.below(ends)
-                    sides.append((below[:, places[: len(own)]], below[:, places[len(own) :]]))
+                    sides.append((below[:, places[: len(upto)]], below[:, places[len(upto) :]]))
                 (neg_from, neg_to), (pos_from, pos_to) = sides
-                pos = pos_to - pos_from
-                term += (pos * (neg_from + neg_to).astype(float)).sum(1) / 2
-                drawn += ((neg_to - neg_from).sum(1), pos.sum(1))
+                term += np.einsum("ij,ij->i", pos_to - pos_from, neg_from + neg_to, dtype=float) / 2
         if trees:
             values = [pa.array(np.arange(n_boot)), pa.array(term), pa.array(drawn[1]), pa.array(drawn[0])]
             yield pa.RecordBatch.from_arrays(values, ["replicate", "term", "pos", "neg"])
