@@ -88,21 +88,6 @@ def fit_status(spark, sf_dir):
     return status.select("model", "status", F.lit(n_train).cast("long").alias("n_train"))
 
 
-_NAMES = ", ".join(f"({i}, '{c}')" for i, c in enumerate(DOC_FEATURES))
-
-
-@register(
-    "feature_importance",
-    sql=f"SELECT CAST(ordinal AS INTEGER) AS ordinal, feature, true AS is_share, true AS adds_up FROM (VALUES {_NAMES}) AS f(ordinal, feature)",
-)
-def feature_importance(spark, sf_dir):
-    """Random-forest importances by feature name (ordinal join)."""
-    train, _, _ = prepared(spark, sf_dir)
-    found = md.feature_importances(spark, md.make_estimator("RandomForest").fit(train), DOC_FEATURES)
-    total = found.agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("adds_up"))
-    return found.crossJoin(total).select("ordinal", "feature", F.col("importance").between(0.0, 1.0).alias("is_share"), "adds_up")
-
-
 _FOLDS = sp.normalised_cuts([1, 1, 1])
 SQL_TRAIN = f"""WITH t AS (SELECT d.doc_id, CAST(l.quality AS DOUBLE) AS y, CAST(d.doc_id AS VARCHAR) AS row_key,
        CAST(len(string_split(text, ' ')) AS DOUBLE) AS n_words,
@@ -138,9 +123,7 @@ def cross_validate(spark, sf_dir):
 _LONG = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS value, y FROM t" for c in DOC_FEATURES)
 
 
-@register(
-    "first_split",
-    sql=f"""{SQL_TRAIN},
+SQL_FIRST_SPLIT = f"""{SQL_TRAIN},
 c AS (SELECT feature, value, COUNT(*) AS n, CAST(SUM(y) AS BIGINT) AS pos FROM ({_LONG}) GROUP BY feature, value),
 r AS (SELECT feature, value, LEAD(value) OVER w AS hi, CAST(SUM(n) OVER w AS BIGINT) AS n_left, CAST(SUM(pos) OVER w AS BIGINT) AS pos_left,
              SUM(n) OVER (PARTITION BY feature) AS n, SUM(pos) OVER (PARTITION BY feature) AS pos
@@ -150,7 +133,14 @@ g AS (SELECT *, CAST(2 AS DOUBLE) * pos * (n - pos) / (CAST(n AS DOUBLE) * n)
            - CAST(n - n_left AS DOUBLE) / n * (CAST(2 AS DOUBLE) * (pos - pos_left) * (n - n_left - pos + pos_left) / (CAST(n - n_left AS DOUBLE) * (n - n_left))) AS gain
       FROM r WHERE hi IS NOT NULL),
 b AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY gain DESC, value) AS best FROM g),
-o AS (SELECT *, row_number() OVER (ORDER BY gain DESC) AS place FROM b WHERE best = 1)
+o AS (SELECT *, row_number() OVER (ORDER BY gain DESC) AS place FROM b WHERE best = 1)"""
+#: Bins of a tree that shall try every value: as many as rows, up to this.
+MOST_BINS = 1 << 14
+
+
+@register(
+    "first_split",
+    sql=f"""{SQL_FIRST_SPLIT}
 SELECT feature, value AS lo, hi, ROUND(gain, 9) AS gain, n_left, pos_left, place = 1 AS tree_root, place = 1 AS gbt_root FROM o""",
 )
 def first_split(spark, sf_dir):
@@ -160,8 +150,7 @@ def first_split(spark, sf_dir):
     train = materialise(train.where(sp.split_index("row_key", SPLITS[1], salt="split42") == 0), "model-input")
     found = ct.best_splits(train, DOC_FEATURES)
     vectors = fe.assemble(train, DOC_FEATURES, "features").select("label", "features")
-    # as many bins as rows: every value is a candidate, up to a bound
-    bins = max(2, min(train.count(), 1 << 14))
+    bins = max(2, min(train.count(), MOST_BINS))
     with md.cached(vectors) as (v,):
         tree = DecisionTreeClassifier(maxDepth=1, maxBins=bins).fit(v)
         boosted = md.make_estimator("GBT", maxIter=1, maxDepth=1, maxBins=bins).fit(v)
@@ -173,6 +162,28 @@ def first_split(spark, sf_dir):
     return out.select("feature", "lo", "hi", F.round("gain", 9).alias("gain"), "n_left", "pos_left", "tree_root", "gbt_root")
 
 
+_NAMES = ", ".join(f"({i}, '{c}')" for i, c in enumerate(DOC_FEATURES))
+
+
+@register(
+    "feature_importance",
+    sql=f"""{SQL_FIRST_SPLIT}
+SELECT CAST(ordinal AS INTEGER) AS ordinal, f.feature, CASE WHEN o.place = 1 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS stump_importance,
+       true AS is_share, true AS adds_up
+FROM (VALUES {_NAMES}) AS f(ordinal, feature) LEFT JOIN o ON f.feature = o.feature""",
+)
+def feature_importance(spark, sf_dir):
+    """Random-forest importances by feature name (ordinal join), and those of a
+    tree with one split, which are the best split's feature's alone."""
+    train, _, _ = prepared(spark, sf_dir)
+    with md.cached(train) as (tr,):
+        found = md.feature_importances(spark, md.make_estimator("RandomForest").fit(tr), DOC_FEATURES)
+        stump = DecisionTreeClassifier(maxDepth=1, maxBins=max(2, min(tr.count(), MOST_BINS))).fit(tr)
+    first = md.feature_importances(spark, stump, DOC_FEATURES).select("ordinal", F.col("importance").alias("stump_importance"))
+    total = found.agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("adds_up"))
+    return found.join(first, "ordinal").crossJoin(total).select("ordinal", "feature", "stump_importance", F.col("importance").between(0.0, 1.0).alias("is_share"), "adds_up")
+
+
 _REG = 0.01
 
 

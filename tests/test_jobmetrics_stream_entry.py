@@ -120,3 +120,17 @@ def test_entry_contract(spark):
     out = e.entry(spark)
     assert out.columns == ["threshold", "tp", "fp", "tn", "fn", "cost"]
     assert out.count() == 1
+
+
+def test_queries_without_the_training_data_folder(monkeypatch):
+    """A missing folder leaves the other queries; any other missing module is an error."""
+    import sys
+
+    import __spark_entry__ as entry
+
+    from event_ml.plans import registry
+
+    for name in ("event_ml.llm", "event_ml.llm.queries"):
+        monkeypatch.setitem(sys.modules, name, None)
+    assert entry._llm() == ({}, {})
+    assert set(registry.queries()) <= set(entry.queries()) and set(registry.oracle_sql()) <= set(entry.oracle_sql())
