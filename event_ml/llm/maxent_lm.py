@@ -28,9 +28,9 @@ from __future__ import annotations
 
 import math
 import zlib
-from array import array
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -50,29 +50,34 @@ def word_class(word: bytes) -> int:
     return zlib.crc32(word[:2]) % END
 
 
-class Numbered(dict):
-    """Words to numbers from 0, in order of appearance; ``codes`` are their classes and 32-bit hashes."""
+class Numbered:
+    """Words to numbers from 0, in order of appearance."""
 
     def __init__(self):
-        super().__init__()
-        self._codes = array("q")
+        self.clear()
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        self._codes.append(word_class(word) << 32 | zlib.crc32(word) | 1)
-        return n
+    def clear(self) -> None:
+        self.numbers: dict[bytes, int] = defaultdict(count().__next__)
+        self._codes = np.zeros(0, np.int64)
 
-    @property
-    def codes(self) -> np.ndarray:
-        return np.array(self._codes, np.int64)
+    def __len__(self) -> int:
+        return len(self.numbers)
+
+    def since(self, n: int) -> list[bytes]:
+        """The words numbered from ``n`` on."""
+        return list(islice(reversed(self.numbers), len(self) - n))[::-1]
 
     def of(self, docs: list[list[bytes]]) -> np.ndarray:
         """The numbers of all words of ``docs``, one after the other."""
-        return np.fromiter(map(self.__getitem__, chain.from_iterable(docs)), np.int64, sum(map(len, docs)))
+        return np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(docs)), np.int64, sum(map(len, docs)))
 
-    def clear(self) -> None:
-        super().clear()
-        self._codes = array("q")
+    def codes(self) -> np.ndarray:
+        """The words' classes and 32-bit hashes, by number."""
+        new = self.since(len(self._codes))
+        if new:
+            classes, hashes = (np.array(x, np.int64) for x in ([word_class(w) for w in new], [zlib.crc32(w) for w in new]))
+            self._codes = np.append(self._codes, classes << 32 | hashes | 1)
+        return self._codes
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -84,7 +89,7 @@ def targets(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     every token of ``docs``, ends included, and where each document begins."""
     words = Numbered()
     numbers = words.of(docs)
-    return targets_of(words.codes[numbers], np.array([len(d) for d in docs]))
+    return targets_of(words.codes()[numbers], np.array([len(d) for d in docs]))
 
 
 def targets_of(own_codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,7 +166,7 @@ def _summed(features: np.ndarray, miss: np.ndarray, most: int = 16) -> tuple[np.
 class Trainer:
     """AdaGrad on the classes' cross-entropy."""
 
-    def __init__(self, weights: np.ndarray, rate: float, batch: int = 2048, most: int = 4096):
+    def __init__(self, weights: np.ndarray, rate: float, batch: int = 2048, most: int = 8192):
         self.weights, self.rate, self.batch, self.most = weights.copy(), rate, batch, most
         self.squares = np.full(weights.shape, 1e-6, np.float32)
         self.updates = np.zeros(len(weights))
@@ -221,7 +226,7 @@ def learn(docs: DataFrame, weights: np.ndarray, rate: float, stride: int) -> Dat
         words, counts = Numbered(), np.zeros((2, 0), np.int64)
 
         def counted() -> pa.RecordBatch:
-            return _learned((pa.array(list(words), pa.binary()), (words.codes >> 32).astype(np.int32), *counts))
+            return _learned((pa.array(words.since(0), pa.binary()), (words.codes() >> 32).astype(np.int32), *counts))
 
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
@@ -235,7 +240,7 @@ def learn(docs: DataFrame, weights: np.ndarray, rate: float, stride: int) -> Dat
                 counts[1] += np.bincount(numbers[other], minlength=len(words))
                 if not held.all():
                     own = lengths[~held]
-                    features, classes, starts = targets_of(words.codes[numbers[~other]], own)
+                    features, classes, starts = targets_of(words.codes()[numbers[~other]], own)
                     if stride > 1:
                         place = np.arange(len(classes)) - np.repeat(starts, own + 1)
                         taken = place % stride == np.repeat(np.array(phases)[~held] % stride, own + 1)
@@ -246,7 +251,7 @@ def learn(docs: DataFrame, weights: np.ndarray, rate: float, stride: int) -> Dat
                     words.clear()
                     counts = np.zeros((2, 0), np.int64)
         trainer.step()
-        if words:
+        if len(words):
             yield counted()
         moved = np.flatnonzero(trainer.updates)
         for at in range(0, len(moved), 4096):
@@ -344,9 +349,8 @@ def score(
                     values = np.zeros(0)
                 docs = [words_of(t) for t in part.column(1).to_pylist()]
                 numbers, lengths = words.of(docs), np.array([len(d) for d in docs])
-                # words are in order of appearance: the new ones are the last
-                values = np.append(values, [logs.get(w, np.nan) for w in islice(words, len(values), None)])
-                features, classes, starts = targets_of(words.codes[numbers], lengths)
+                values = np.append(values, [logs.get(w, np.nan) for w in words.since(len(values))])
+                features, classes, starts = targets_of(words.codes()[numbers], lengths)
                 scores = target_scores(weights, features, classes)
                 sums = np.add.reduceat(scores / math.log(10) - share_logs[classes], starts)
                 own, doc = values[numbers], np.repeat(np.arange(len(docs)), lengths)
