@@ -61,7 +61,7 @@ def test_classes_spread_over_tasks(spark, monkeypatch):
 
 def test_lines_of_odd_rows(odd_docs, no_docs):
     rows = line_dedup.dedup_lines(odd_docs.withColumn("n_lines", F.lit("x")), 20)
-    assert sorted(rows.columns) == sorted([*odd_docs.columns, "n_lines", "n_deleted"])
+    assert sorted(rows.columns) == sorted({*odd_docs.columns, "n_lines", "n_deleted"})
     got = defaultdict(list)
     for r in rows.collect():
         got[r.doc_id].append((r.text, r.n_lines, r.n_deleted))
