@@ -16,6 +16,8 @@ have it.  Two fingerprints are linked when at most ``max_bits`` bits differ.
   than ``max_bucket`` fingerprints nothing is compared: each of its members is
   joined with all fingerprints within ``max_bits / 2`` bits of it, and two
   share such a midpoint exactly when they are linked.
+* Keys and midpoints are many rows a fingerprint, which Spark's size estimates
+  leave out, so their joins ask for a sort-merge join and are never broadcast.
 """
 
 from __future__ import annotations
@@ -109,8 +111,9 @@ def links(prints: DataFrame, max_bits: int, max_bucket: int) -> DataFrame:
     keyed = distinct.select("fp", keys.alias("k")).select("fp", "k.t", "k.key")
     shared = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
     distances = F.array(*[F.bit_count(F.col("fp").bitwiseXOR(F.lit(signed(p)))).cast("tinyint") for p in PIVOTS])
-    members = staged(keyed.join(shared, ["t", "key"]), "simhash-buckets")
-    pivoted = distinct.join(members.select("fp").distinct(), "fp", "left_semi").select("fp", distances.alias("d"))
+    # without the hints Spark broadcasts 35 keys a fingerprint as if they were one
+    members = staged(keyed.join(shared.hint("merge"), ["t", "key"]), "simhash-buckets")
+    pivoted = distinct.join(members.select("fp").distinct().hint("merge"), "fp", "left_semi").select("fp", distances.alias("d"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,12 +138,12 @@ def links(prints: DataFrame, max_bits: int, max_bucket: int) -> DataFrame:
             for fp in batch.column(0).to_numpy():
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(flips), fp)), pa.array(flips ^ fp)], ["fp", "mid"])
 
-    small = members.where(F.col("n") <= max_bucket).join(pivoted, "fp").groupBy("t", "key")
+    small = members.where(F.col("n") <= max_bucket).join(pivoted.hint("merge"), "fp").groupBy("t", "key")
     lists = small.agg(F.collect_list(F.struct("fp", "d")).alias("members")).select("members")
     cold = map_batches(lists, compare, "u long, v long")
     around = map_batches(members.where(F.col("n") > max_bucket).select("fp").distinct(), midpoints, "fp long, mid long")
     least = around.groupBy("mid").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1")
-    hot = around.join(least, "mid").where("fp <> v").select(F.col("fp").alias("u"), "v")
+    hot = around.join(least.hint("merge"), "mid").where("fp <> v").select(F.col("fp").alias("u"), "v")
     return cold.unionByName(hot).distinct()
 
 

@@ -212,3 +212,22 @@ def test_longest_overlap():
     assert decontaminate.longest_overlap(equal, 0.8) == (1, 5, 4)
     assert decontaminate.longest_overlap(np.zeros(4, bool), 0.8) == (0, 0, 0)
     assert decontaminate.longest_overlap(np.zeros(0, bool), 0.8) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("max_bucket", [2048, 2])
+def test_keys_and_midpoints_are_never_broadcast(spark, monkeypatch, max_bucket):
+    """A join of 35 keys or 2,081 midpoints a fingerprint doesn't pass the driver, however small Spark takes it to be."""
+    plans = []
+
+    def recorded(df, label, write=simhash.staged):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(simhash, "staged", recorded)
+    fps = [0, 1, 3, 7, 1 << 40, 5 << 40]
+    prints = simhash.staged(spark.createDataFrame([(fp,) for fp in fps], "fp long"), "test-prints")
+    found = simhash.staged(simhash.links(prints, 4, max_bucket), "test-links")
+    assert not any("Broadcast" in p for p in plans)
+    # all six are within four bits of zero: one component
+    linked = {0} | {r.u for r in found.collect()} | {r.v for r in found.collect()}
+    assert linked == set(fps)
