@@ -13,6 +13,7 @@ The network is trained on the driver on a bounded sample: about
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -20,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from event_ml.llm.common import map_batches, table
+from event_ml.llm.common import kept_in_worker, map_batches, table
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -175,20 +177,28 @@ def fit(
 
 
 def predict(docs: DataFrame, net: Network, text_col: str, keep: Sequence[str]) -> DataFrame:
-    """The ``keep`` columns of every row with lang_pred and score."""
+    """The ``keep`` columns of every row with lang_pred and score.
+
+    A text that is kept goes to the Python worker once, and the worker lets go
+    of what it kept for other operators.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(net)  # its size is fixed by the number of languages
+    kind = ("languages", uuid.uuid4().hex)
+    kept = text_col in keep and docs.schema[text_col].dataType == StringType()
+    at_text = list(keep).index(text_col) if kept else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = kept_in_worker(kind, lambda: Scorer(shared.value))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                lang, score = scorer.score(part.column(0).to_pylist())
-                columns = [*part.columns[1:], pa.array(lang, pa.string()), pa.array(score, pa.float64())]
+                lang, score = scorer.score(part.column(at_text).to_pylist())
+                columns = [*part.columns[: len(names)], pa.array(lang, pa.string()), pa.array(score, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, [*names, "lang_pred", "score"])
 
     names = [f"c{i}" for i in range(len(keep))]
-    taken = docs.select(F.col(text_col).cast("string").alias("scored"), *[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)])
+    scored = [] if kept else [F.col(text_col).cast("string").alias("scored")]
+    taken = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names, strict=True)], *scored)
     types = [f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.select(*keep).schema, strict=True)]
     out = map_batches(taken, run, ", ".join([*types, "lang_pred string", "score double"]))
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep, strict=True)], "lang_pred", "score")

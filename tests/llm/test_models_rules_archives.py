@@ -333,3 +333,22 @@ def test_broken_archives():
             warc.parsed(good.replace(a, b, 1))
     with pytest.raises(warc.WarcError):
         warc.parsed(good + b"x")
+
+
+def test_a_kept_text_goes_to_python_once(spark, odd_docs, monkeypatch):
+    """Texts aren't sent twice, and a worker lets go of other operators' tables first."""
+    from event_ml.llm import common
+
+    sent = []
+
+    def recorded(df, run, schema, send=common.map_batches):
+        sent.append((df, run))
+        return send(df, run, schema)
+
+    monkeypatch.setattr(language_id, "map_batches", recorded)
+    kept = language_id.keep_identified(odd_docs)
+    df, run = sent[-1]
+    assert len(df.columns) == len(odd_docs.columns) and kept.columns == odd_docs.columns
+    monkeypatch.setattr(common, "_KEPT", {"table of another operator": "x"})
+    rows = sum(batch.num_rows for batch in run(df.toArrow().to_batches()))
+    assert rows == odd_docs.count() and [kind[0] for kind in common._KEPT] == ["languages"]
