@@ -112,13 +112,19 @@ def targets_of(own_codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray,
     return features, classes, np.cumsum(lengths + 1) - (lengths + 1)
 
 
-def _logits(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """The classes' weights, a row a token, less the row's largest where one would leave exp's range."""
+def _bound(weights: np.ndarray, features: int = 4) -> float:
+    """What no token's logit exceeds in size."""
+    return features * float(np.abs(weights[:BUCKETS]).max()) + float(np.abs(weights[BUCKETS]).max())
+
+
+def _logits(weights: np.ndarray, features: np.ndarray, bound: float = math.inf) -> np.ndarray:
+    """The classes' weights, a row a token, less the row's largest where one would
+    leave exp's range; with a ``bound`` inside it none is looked for."""
     logits = weights.take(features[0], 0)
     for f in features[1:]:
         logits += weights.take(f, 0)
     logits += weights[BUCKETS]
-    if max(logits.max(initial=0), -logits.min(initial=0)) > 80:
+    if bound > 79 and max(logits.max(initial=0), -logits.min(initial=0)) > 80:
         far = np.abs(logits).max(1) > 80  # by row, so equal rows stay equal
         logits[far] -= logits[far].max(1, keepdims=True)
     return logits
@@ -131,12 +137,12 @@ def class_scores(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     return logits
 
 
-def target_scores(weights: np.ndarray, features: np.ndarray, classes: np.ndarray, span: int = 2048) -> np.ndarray:
+def target_scores(weights: np.ndarray, features: np.ndarray, classes: np.ndarray, span: int = 2048, bound: float = math.inf) -> np.ndarray:
     """Logarithms of the probabilities of the tokens' own classes."""
     out = np.empty(len(classes))
     for at in range(0, len(classes), span):
         own = classes[at : at + span]
-        logits = _logits(weights, features[:, at : at + span])
+        logits = _logits(weights, features[:, at : at + span], bound)
         picked = logits[np.arange(len(own)), own]
         out[at : at + span] = picked - np.log(np.exp(logits, out=logits).sum(1))
     return out
@@ -340,7 +346,7 @@ def score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, share_logs, logs = shared.value
-        words, values = Numbered(), np.zeros(0)
+        words, values, bound = Numbered(), np.zeros(0), _bound(weights)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
@@ -351,7 +357,7 @@ def score(
                 numbers, lengths = words.of(docs), np.array([len(d) for d in docs])
                 values = np.append(values, [logs.get(w, np.nan) for w in words.since(len(values))])
                 features, classes, starts = targets_of(words.codes()[numbers], lengths)
-                scores = target_scores(weights, features, classes)
+                scores = target_scores(weights, features, classes, bound=bound)
                 sums = np.add.reduceat(scores / math.log(10) - share_logs[classes], starts)
                 own, doc = values[numbers], np.repeat(np.arange(len(docs)), lengths)
                 missing = np.isnan(own)
@@ -374,9 +380,9 @@ def score(
     schema = "doc_id long, held_out boolean, n_tokens long, model_part double, count_part double, known_part long, other array<string>"
     scored = map_batches(rows.select("doc_id", "text", "held_out"), run, schema)
     scored = staged(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scored")
-    rare = scored.select("row", F.explode("other").alias("word")).groupBy("row", "word").agg(F.count("*").alias("n"))
-    rare = rare.join(counts.select("word", "n_train"), "word").groupBy("row")
-    rare = rare.agg(F.sum(F.col("n") * F.log10(F.col("n_train") + 1)).alias("logs"), F.sum(F.when(F.col("n_train") > 0, F.col("n"))).alias("known"))
+    # a word that training didn't have adds nothing to either sum
+    rare = scored.select("row", F.explode("other").alias("word")).join(counts.where("n_train > 0").select("word", "n_train").hint("merge"), "word")
+    rare = rare.groupBy("row").agg(F.sum(F.log10(F.col("n_train") + 1)).alias("logs"), F.count("*").alias("known"))
     whole = scored.drop("other").join(rare, "row", "left")
     logs_sum = F.col("count_part") + F.coalesce("logs", F.lit(0.0))
     return whole.select(
