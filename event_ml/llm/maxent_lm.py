@@ -34,6 +34,7 @@ from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +43,10 @@ from event_ml.llm.common import map_batches, staged, table
 CLASSES = 48
 END = CLASSES - 1
 BUCKETS = 1 << 14
+#: Rows of classes that are worked on at a time.
+SPAN = 1024
+#: Words of so many rows, or of so many bytes of text, are looked up at a time; their tokens are worked on ``FEW`` rows at a time.
+PART, PART_BYTES, FEW = 512, 4 << 20, 64
 #: Odd multipliers of the feature hashes.
 MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
@@ -71,6 +76,12 @@ class Numbered:
         """The numbers of all words of ``docs``, one after the other."""
         return np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(docs)), np.int64, sum(map(len, docs)))
 
+    def of_words(self, words: pa.Array) -> np.ndarray:
+        """The numbers of ``words``; each distinct one is looked up once."""
+        found = words.dictionary_encode()
+        own = found.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+        return np.fromiter(map(self.numbers.__getitem__, own), np.int64, len(own))[found.indices.to_numpy()]
+
     def codes(self) -> np.ndarray:
         """The words' classes and 32-bit hashes, by number."""
         new = self.since(len(self._codes))
@@ -84,6 +95,26 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after the other, and how many each text has: those of ``words_of``."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = parts.flatten()
+    some = pc.greater(pc.binary_length(words), 0)  # blanks at a text's ends leave empty strings
+    upto = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    return words.filter(some), np.diff(upto[parts.offsets.to_numpy()])
+
+
+def parts_of(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of ``PART`` rows at most with ``PART_BYTES`` of text in the column at most, or one row."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PART_BYTES, "right"))
+        n = min(PART, max(1, end - at))
+        yield batch.slice(at, n)
+        at += n
+
+
 def targets(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(features, classes, starts): a row of feature buckets and a class for
     every token of ``docs``, ends included, and where each document begins."""
@@ -112,11 +143,11 @@ def targets_of(own_codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray,
     return features, classes, np.cumsum(lengths + 1) - (lengths + 1)
 
 
-def _logits(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+def _logits(weights: np.ndarray, features: np.ndarray, out: np.ndarray | None = None, spare: np.ndarray | None = None) -> np.ndarray:
     """The classes' weights, a row a token, less the row's largest where one would leave exp's range."""
-    logits = weights.take(features[0], 0)
+    logits = weights.take(features[0], 0, out, "clip")
     for f in features[1:]:
-        logits += weights.take(f, 0)
+        logits += weights.take(f, 0, spare, "clip")
     logits += weights[BUCKETS]
     if max(logits.max(initial=0), -logits.min(initial=0)) > 80:
         far = np.abs(logits).max(1) > 80  # by row, so equal rows stay equal
@@ -131,36 +162,39 @@ def class_scores(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     return logits
 
 
-def target_scores(weights: np.ndarray, features: np.ndarray, classes: np.ndarray, span: int = 2048) -> np.ndarray:
+def target_scores(weights: np.ndarray, features: np.ndarray, classes: np.ndarray, span: int = SPAN) -> np.ndarray:
     """Logarithms of the probabilities of the tokens' own classes."""
     out = np.empty(len(classes))
+    buffers = np.empty((2, min(span, len(classes)), CLASSES), np.float32)
     for at in range(0, len(classes), span):
         own = classes[at : at + span]
-        logits = _logits(weights, features[:, at : at + span])
+        logits = _logits(weights, features[:, at : at + span], *buffers[:, : len(own)])
         picked = logits[np.arange(len(own)), own]
         out[at : at + span] = picked - np.log(np.exp(logits, out=logits).sum(1))
     return out
 
 
-def _summed(features: np.ndarray, miss: np.ndarray, most: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(buckets, how often each occurs, its tokens' ``miss`` summed, with a free row at the end)."""
+def _grouped(features: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(buckets, how often each occurs, frequent ones first; where its tokens begin; all buckets' tokens)."""
     bits = features.size.bit_length()
     keys = (features.ravel() << bits) + np.arange(features.size)
     keys.sort()
-    buckets, of = keys >> bits, (keys & ((1 << bits) - 1)) % len(miss)
+    buckets, of = keys >> bits, (keys & ((1 << bits) - 1)) % features.shape[1]
     first = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
     counts = np.diff(first, append=len(buckets))
     order = np.argsort(-counts, kind="stable")
-    first, counts = first[order], counts[order]
-    out = np.empty((len(first) + 1, CLASSES), np.float32)
-    miss.take(of[first], 0, out=out[:-1])
+    return buckets[first[order]], counts[order], first[order], of
+
+
+def _summed(miss: np.ndarray, counts: np.ndarray, first: np.ndarray, of: np.ndarray, out: np.ndarray, spare: np.ndarray, most: int = 16) -> None:
+    """The tokens' ``miss`` summed for each of some buckets of ``_grouped``, into ``out``."""
+    miss.take(of[first], 0, out, "clip")
     # all buckets' second tokens, third tokens, and so on; then the rest of each frequent bucket
-    for at in range(1, most):
+    for at in range(1, min(most, int(counts[0]))):
         n = int(np.searchsorted(-counts, -at))
-        out[:n] += miss.take(of[first[:n] + at], 0)
+        out[:n] += miss.take(of[first[:n] + at], 0, spare[:n], "clip")
     for i in range(int(np.searchsorted(-counts, -most))):
         out[i] += miss.take(of[first[i] + most : first[i] + counts[i]], 0).sum(0)
-    return buckets[first], counts, out
 
 
 class Trainer:
@@ -172,6 +206,8 @@ class Trainer:
         self.updates = np.zeros(len(weights))
         self.held: list[tuple[np.ndarray, np.ndarray]] = []
         self.size = 0
+        self.miss = np.empty((most, CLASSES), np.float32)
+        self.buffers = np.empty((2, SPAN, CLASSES), np.float32)
 
     def add(self, features: np.ndarray, classes: np.ndarray) -> None:
         """Take tokens; a step is made from ``batch`` to ``most`` of them."""
@@ -189,20 +225,28 @@ class Trainer:
         features = np.concatenate([f for f, _ in self.held], 1)
         classes = np.concatenate([c for _, c in self.held])
         self.held, self.size = [], 0
-        miss = np.exp(_logits(self.weights, features))
-        miss *= (-1 / (miss @ np.ones(CLASSES, np.float32)))[:, None]
+        miss, (grad, spare) = self.miss[: len(classes)], self.buffers
+        for at in range(0, len(classes), SPAN):  # what is worked on at a time stays in the CPU's cache
+            part = miss[at : at + SPAN]
+            np.exp(_logits(self.weights, features[:, at : at + SPAN], part, spare[: len(part)]), out=part)
+            part *= (-1 / (part @ np.ones(CLASSES, np.float32)))[:, None]
         miss[np.arange(len(classes)), classes] += 1
-        rows, counts, grad = _summed(features, miss)
+        buckets, counts, first, of = _grouped(features)
         # only the rows of this batch's features move
-        rows, counts = np.append(rows, BUCKETS), np.append(counts, len(classes))
-        grad[-1] = miss.sum(0)
-        grad /= np.float32(len(classes))
+        for at in range(0, len(buckets), SPAN):
+            rows, some = buckets[at : at + SPAN], counts[at : at + SPAN]
+            _summed(miss, some, first[at : at + SPAN], of, grad[: len(rows)], spare)
+            self.move(rows, some, grad[: len(rows)], spare[: len(rows)], len(classes))
+        self.move(np.array([BUCKETS]), len(classes), miss.sum(0)[None], spare[:1], len(classes))
+
+    def move(self, rows: np.ndarray, counts: np.ndarray | int, grad: np.ndarray, spare: np.ndarray, size: int) -> None:
+        grad /= np.float32(size)
         squares = self.squares.take(rows, 0)
-        squares += grad * grad
+        squares += np.multiply(grad, grad, out=spare)
         self.squares[rows] = squares
         grad *= np.float32(self.rate)
         grad /= np.sqrt(squares, out=squares)
-        grad += self.weights.take(rows, 0)
+        grad += self.weights.take(rows, 0, spare, "clip")
         self.weights[rows] = grad
         self.updates[rows] += counts
 
@@ -229,21 +273,24 @@ def learn(docs: DataFrame, weights: np.ndarray, rate: float, stride: int) -> Dat
             return _learned((pa.array(words.since(0), pa.binary()), (words.codes() >> 32).astype(np.int32), *counts))
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                texts, held, phases = (c.to_pylist() for c in part.columns)
-                docs = [words_of(t) for t in texts]
-                numbers, lengths, held = words.of(docs), np.array([len(d) for d in docs]), np.array(held, bool)
+            for part in parts_of(batch, 0):
+                own_words, lengths = split_words(part.column(0))
+                held, phases = (np.array(c.to_pylist()) for c in part.columns[1:])
+                numbers = words.of_words(own_words)
                 other = np.repeat(held, lengths)
                 counts = np.pad(counts, ((0, 0), (0, len(words) - counts.shape[1])))
                 counts[0] += np.bincount(numbers[~other], minlength=len(words))
                 counts[1] += np.bincount(numbers[other], minlength=len(words))
-                if not held.all():
-                    own = lengths[~held]
-                    features, classes, starts = targets_of(words.codes()[numbers[~other]], own)
+                codes, upto = words.codes()[numbers], np.concatenate([[0], np.cumsum(lengths)])
+                for d in range(0, part.num_rows, FEW):
+                    here, train = slice(upto[d], upto[min(d + FEW, part.num_rows)]), ~held[d : d + FEW]
+                    if not train.any():
+                        continue
+                    own = lengths[d : d + FEW][train]
+                    features, classes, starts = targets_of(codes[here][~other[here]], own)
                     if stride > 1:
                         place = np.arange(len(classes)) - np.repeat(starts, own + 1)
-                        taken = place % stride == np.repeat(np.array(phases)[~held] % stride, own + 1)
+                        taken = place % stride == np.repeat(phases[d : d + FEW][train] % stride, own + 1)
                         features, classes = features[:, taken], classes[taken]
                     trainer.add(features, classes)
                 if len(words) > 300_000:
@@ -342,22 +389,22 @@ def score(
         weights, share_logs, logs = shared.value
         words, values = Numbered(), np.zeros(0)
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            for part in parts_of(batch, 1):
                 if len(words) > 300_000:
                     words.clear()
                     values = np.zeros(0)
-                docs = [words_of(t) for t in part.column(1).to_pylist()]
-                numbers, lengths = words.of(docs), np.array([len(d) for d in docs])
+                own_words, lengths = split_words(part.column(1))
+                numbers = words.of_words(own_words)
                 values = np.append(values, [logs.get(w, np.nan) for w in words.since(len(values))])
-                features, classes, starts = targets_of(words.codes()[numbers], lengths)
-                scores = target_scores(weights, features, classes)
-                sums = np.add.reduceat(scores / math.log(10) - share_logs[classes], starts)
-                own, doc = values[numbers], np.repeat(np.arange(len(docs)), lengths)
+                codes, upto, sums = words.codes()[numbers], np.concatenate([[0], np.cumsum(lengths)]), np.empty(part.num_rows)
+                for d in range(0, part.num_rows, FEW):
+                    features, classes, starts = targets_of(codes[upto[d] : upto[min(d + FEW, part.num_rows)]], lengths[d : d + FEW])
+                    scores = target_scores(weights, features, classes)
+                    sums[d : d + FEW] = np.add.reduceat(scores / math.log(10) - share_logs[classes], starts)
+                own, doc = values[numbers], np.repeat(np.arange(part.num_rows), lengths)
                 missing = np.isnan(own)
-                total = lambda x: np.bincount(doc, weights=x, minlength=len(docs))
-                every = list(chain.from_iterable(docs))
-                other = pa.array([every[i].decode("utf-8") for i in np.flatnonzero(missing)], pa.string())
+                total = lambda x: np.bincount(doc, weights=x, minlength=part.num_rows)
+                other = own_words.filter(pa.array(missing)).cast(pa.string())
                 ends = np.concatenate([[0], np.cumsum(total(missing))]).astype(np.int32)
                 found = [
                     part.column(0),

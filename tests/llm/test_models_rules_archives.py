@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -359,3 +360,55 @@ def test_other_words_are_joined_as_they_occur(spark, documents):
     found = maxent_lm.score(documents.limit(40), frequent=5)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(row#" in plan and not any("hashpartitioning(row#" in x and "word#" in x.split("hashpartitioning(row#")[1].split(")")[0] for x in plan.splitlines())
+
+
+def test_each_distinct_word_is_looked_up_once_a_part():
+    """Words come from Arrow, as ``words_of`` has them; a part's repeats don't reach Python."""
+    texts = [None, "", " \t\n", "A b\x0bA\x0cé\x1c É  b ", "\x85x y　z Iİ", "b " * 500 + "end"]
+    found, lengths = maxent_lm.split_words(pa.array(texts, pa.string()))
+    own = [maxent_lm.words_of(t) for t in texts]
+    assert lengths.tolist() == [len(d) for d in own] and found.cast(pa.binary()).to_pylist() == [w for d in own for w in d]
+
+    class Counted(dict):
+        looked = 0
+
+        def __missing__(self, word):
+            self[word] = own = len(self)
+            return own
+
+        def __getitem__(self, word):
+            Counted.looked += 1
+            return super().__getitem__(word)
+
+    words, slow = maxent_lm.Numbered(), maxent_lm.Numbered()
+    words.numbers = Counted()
+    assert words.of_words(found).tolist() == slow.of(own).tolist() and list(words.numbers) == list(slow.numbers)
+    assert Counted.looked == len(slow)
+    assert words.of_words(found.slice(0, 0)).tolist() == []
+
+
+def test_parts_are_bounded_by_rows_and_text(monkeypatch):
+    monkeypatch.setattr(maxent_lm, "PART", 3)
+    monkeypatch.setattr(maxent_lm, "PART_BYTES", 10)
+    texts = ["x" * 25, "a", None, "", "b", "c" * 10, "d", "e" * 9, "f" * 11]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(texts)], ["doc_id", "text"])
+    parts = [p.column(0).to_pylist() for p in maxent_lm.parts_of(batch, 1)]
+    assert parts == [[0], [1, 2, 3], [4], [5], [6, 7], [8]]
+
+
+def test_a_step_sums_each_bucket_whole():
+    """Summing block by block gives each row the sum of its tokens, however frequent it is."""
+    rng = np.random.default_rng(7)
+    features = np.where(rng.random((4, 3000)) < 0.3, 5, rng.integers(0, maxent_lm.BUCKETS, (4, 3000)))
+    classes = rng.integers(0, maxent_lm.CLASSES, 3000)
+    trainer = maxent_lm.Trainer(np.zeros((maxent_lm.BUCKETS + 1, maxent_lm.CLASSES), np.float32), 0.4)
+    trainer.add(features, classes)
+    miss = np.full((3000, maxent_lm.CLASSES), -1 / maxent_lm.CLASSES)
+    miss[np.arange(3000), classes] += 1
+    grad = np.zeros((maxent_lm.BUCKETS + 1, maxent_lm.CLASSES))
+    for f in features:
+        np.add.at(grad, f, miss)
+    grad[-1] = miss.sum(0)
+    grad /= 3000
+    assert np.allclose(trainer.weights, 0.4 * grad / np.sqrt(1e-6 + grad * grad), atol=2e-3)
+    assert trainer.updates.sum() == 5 * 3000 and trainer.size == 0
