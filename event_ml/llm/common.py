@@ -117,18 +117,19 @@ def most_frequent(counts: DataFrame, n_col: str, at_most: int) -> DataFrame:
     return counts.where(level >= F.lit(least)) if least is not None else counts.where("false")
 
 
-def join_weighted(big: DataFrame, small: DataFrame, key: str, weight: str, heavy: int = 2000) -> DataFrame:
+def join_weighted(big: DataFrame, small: DataFrame, key: str, weight: str, heavy: int = 2000, hint: str | None = None) -> DataFrame:
     """``big`` joined with ``small`` (a row a ``key``; ``weight``: its rows in ``big``).
 
     Keys with a ``heavy``-th of all rows or more are at most ``heavy`` many:
     their rows of ``small`` are broadcast, so a common key isn't shuffled to one
-    task.  The other rows are joined as Spark sees fit.  Both tables are read
+    task.  The other rows are joined as ``hint`` says, else as Spark sees fit.  Both tables are read
     twice and should be written ones.
     """
     total = small.agg(F.sum(weight)).first()[0] or 0
     often = F.col(weight) * heavy >= F.lit(total)
     few = small.where(often)
-    others = big.join(F.broadcast(few.select(key)), key, "left_anti").join(small.where(~often), key)
+    rest = small.where(~often)
+    others = big.join(F.broadcast(few.select(key)), key, "left_anti").join(rest.hint(hint) if hint else rest, key)
     return big.join(F.broadcast(few), key).unionByName(others)
 
 

@@ -18,6 +18,8 @@ have it.  Two fingerprints are linked when at most ``max_bits`` bits differ.
   share such a midpoint exactly when they are linked.
 * Keys and midpoints are many rows a fingerprint, which Spark's size estimates
   leave out, so their joins ask for a sort-merge join and are never broadcast.
+  So do the joins with a row a fingerprint, a component or a document that
+  stays: at any broadcast threshold the driver holds none of these tables.
 """
 
 from __future__ import annotations
@@ -167,13 +169,13 @@ def near_duplicates(
     """
     prints = staged(fingerprints(docs, shingle, id_col, text_col), "simhash-fingerprints")
     roots = connected_components(links(prints, max_bits, max_bucket), "simhash-links")
-    own = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    own = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).join(roots.withColumnRenamed("node", "fp").hint("merge"), "fp", "left")
     own = staged(own.select("fp", "least", "rows", F.coalesce("root", "fp").alias("root")), "simhash-roots")
     # a component or a fingerprint may have a large share of all rows
     least = staged(own.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("prints")), "simhash-components")
-    named = staged(join_weighted(own, least, "root", "prints").select("fp", "component_id", "root", "rows"), "simhash-names")
+    named = staged(join_weighted(own, least, "root", "prints", hint="merge").select("fp", "component_id", "root", "rows"), "simhash-names")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return join_weighted(prints, named, "fp", "rows").select("doc_id", hexed, "component_id", "k1", "k2", "root")
+    return join_weighted(prints, named, "fp", "rows", hint="merge").select("doc_id", hexed, "component_id", "k1", "k2", "root")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -185,7 +187,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")
     stay = found.groupBy("root").agg(F.min(first).alias("k")).select(F.col("k.k1").alias("_llm_k1"), F.col("k.k2").alias("_llm_k2"))
-    kept = docs.select("*", *row_key(id_col, text_col)).join(stay, ["_llm_k1", "_llm_k2"], "left_semi")
+    kept = docs.select("*", *row_key(id_col, text_col)).join(stay.hint("merge"), ["_llm_k1", "_llm_k2"], "left_semi")
     return kept.dropDuplicates(["_llm_k1", "_llm_k2"]).select(*docs.columns)
 
 

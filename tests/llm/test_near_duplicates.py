@@ -231,3 +231,19 @@ def test_keys_and_midpoints_are_never_broadcast(spark, monkeypatch, max_bucket):
     # all six are within four bits of zero: one component
     linked = {0} | {r.u for r in found.collect()} | {r.v for r in found.collect()}
     assert linked == set(fps)
+
+
+def test_tables_that_grow_with_the_documents_are_never_broadcast(spark, odd_docs, monkeypatch):
+    """Only the few heavy keys of a weighted join pass the driver: two joins for each of the two."""
+    plans = []
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+    def recorded(df, label, write=simhash.staged):
+        plans.append(plan_of(df))
+        return write(df, label)
+
+    monkeypatch.setattr(simhash, "staged", recorded)
+    kept = simhash.drop_near_duplicates(odd_docs)
+    plans.append(plan_of(kept))
+    assert [n for p in plans if (n := p.count("BroadcastHashJoin"))] == [2, 2]
+    assert kept.count() == len({r.root for r in simhash.near_duplicates(odd_docs).collect()})
